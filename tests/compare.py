@@ -1,0 +1,72 @@
+"""Run every query on Spark and its SQL on DuckDB, and compare the rows.
+
+``python tests/compare.py <table folder> [query ...]`` prints one line per query.
+"""
+
+import datetime
+import sys
+import time
+from decimal import Decimal
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+import __spark_entry__ as entry  # noqa: E402
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+    "labels conversations"
+).split()
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, Decimal):
+        return float(value)
+    if isinstance(value, datetime.datetime):
+        return value.replace(tzinfo=None)
+    return value
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    plain = [tuple(_plain(row[i]) for i in order) for row in rows]
+    return [columns[i] for i in order], sorted(plain, key=repr)
+
+
+def compare(spark, connection, folder: str, name: str) -> str | None:
+    """None when equal, else what differs."""
+    answer = entry.queries()[name](spark, folder)
+    got_columns, got = _rows(answer.columns, answer.collect())
+    cursor = connection.execute(entry.oracle_sql()[name])
+    want_columns, want = _rows([d[0] for d in cursor.description], cursor.fetchall())
+    if got_columns != want_columns:
+        return f"columns {got_columns} != {want_columns}"
+    if len(got) != len(want):
+        return f"{len(got)} rows != {len(want)}"
+    wrong = [(a, b) for a, b in zip(got, want) if repr(a) != repr(b)]
+    return f"{len(wrong)} of {len(got)} rows differ, first {wrong[0]}" if wrong else None
+
+
+if __name__ == "__main__":
+    from conftest import session
+
+    spark, connection = session(), connect(sys.argv[1])
+    for query in sys.argv[2:] or entry.queries():
+        started = time.time()
+        if query not in entry.oracle_sql():
+            print(f"{query:28s} no SQL", flush=True)
+            continue
+        try:
+            result = compare(spark, connection, sys.argv[1], query)
+        except Exception as error:  # noqa: BLE001 - report and go on
+            result = f"{type(error).__name__}: {str(error)[:700]}"
+        print(f"{query:28s} {time.time() - started:7.2f} s  {result or 'ok'}", flush=True)
