@@ -36,11 +36,12 @@ def canonical_names(df: DataFrame, names: DataFrame) -> DataFrame:
 def with_category(df: DataFrame, profiles: DataFrame) -> DataFrame:
     """Category of each symbol; symbols without one fall into the default category.
 
-    ``profiles`` holds one row per symbol.  No broadcast hint: Catalyst broadcasts it when it is small
-    and shuffles when the number of symbols makes it large.
+    ``profiles`` holds one row per symbol; if it has names, they come along.  No broadcast hint: Catalyst
+    broadcasts it when it is small and shuffles when the number of symbols makes it large.
     """
+    known = [c for c in ("name", "category") if c in profiles.columns and c not in df.columns]
     return (
-        df.join(profiles.select("symbol", F.col("category")), "symbol", "left")
+        df.join(profiles.select("symbol", *known), "symbol", "left")
         .withColumn("category", F.coalesce("category", F.lit(FALLBACK_CATEGORY)))
     )
 
@@ -102,6 +103,8 @@ def with_category_average(bars: DataFrame) -> DataFrame:
 
 
 def enrich(bars: DataFrame, profiles: DataFrame) -> DataFrame:
+    """All features.  Bars are read twice, for themselves and for the averages: pass a stored table, not
+    the plan that builds it from ticks."""
     return with_category_average(volatility(price_movement(with_category(bars, profiles))))
 
 

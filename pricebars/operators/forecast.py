@@ -28,7 +28,6 @@ PHIS = [0.80, 0.85, 0.90, 0.95, 0.98]
 # ----------------------------------------------------------------------------
 
 GRID = list(product(ALPHAS, BETAS, PHIS))
-_BLOCK = 256  # series fitted side by side; bounds the padded value matrix
 
 
 def _sum(values: Column) -> Column:
@@ -41,7 +40,7 @@ def _values() -> Column:
 
 def _with_last(series: DataFrame) -> DataFrame:
     return series.withColumns(
-        {"n": F.size("points"), "last": F.element_at("points", -1)["time_index"], "y": _values()}
+        {"n": F.size("points").cast("bigint"), "last": F.element_at("points", -1)["time_index"], "y": _values()}
     )
 
 
@@ -51,7 +50,7 @@ def ols_fit(series: DataFrame) -> DataFrame:
     The index has a closed-form mean and spread.  Residuals are summed in a second pass over the array,
     since the one-pass formula cancels on near-linear series.
     """
-    n = F.col("n")
+    n = F.col("n").cast("double")  # n cubed does not fit an integer for long series
     sxy = _sum(F.transform("y", lambda y, i: (i - F.col("x_mean")) * (y - F.col("y_mean"))))
 
     def residual(y: Column, i: Column) -> Column:
@@ -61,7 +60,7 @@ def ols_fit(series: DataFrame) -> DataFrame:
     raw = F.when(n > 2, divide(F.col("ssr"), n - 2)).otherwise(MIN_VARIANCE)
     return (
         _with_last(series)
-        .withColumns({"x_mean": (n - 1) / 2.0, "sxx": n * (n * n - 1) / 12.0, "y_mean": divide(_sum(F.col("y")), n)})
+        .withColumns({"x_mean": (n - 1) / 2, "sxx": n * (n * n - 1) / 12, "y_mean": divide(_sum(F.col("y")), n)})
         .withColumn("beta1", F.coalesce(divide(sxy, F.col("sxx")), F.lit(0.0)))
         .withColumn("beta0", F.col("y_mean") - F.col("beta1") * F.col("x_mean"))
         .withColumn("ssr", ssr)
@@ -107,44 +106,50 @@ def linear_trend(series: DataFrame, horizon: int = HORIZON) -> DataFrame:
     )
 
 
-def _fit_block(block: list[np.ndarray], alpha: np.ndarray, beta: np.ndarray, phi: np.ndarray) -> list[tuple]:
-    """Best grid point of each series.  ``block`` is sorted by falling length, so that the series still
-    running at a step are its first rows and no masking is needed."""
-    lengths = np.array([len(y) for y in block])
-    y = np.zeros((len(block), lengths[0]))
-    for row, values in zip(y, block):
-        row[: len(values)] = values
-    level = np.repeat(y[:, :1], len(alpha), axis=1)
-    trend = np.repeat(y[:, 1:2] - y[:, :1], len(alpha), axis=1)
-    sse = np.zeros_like(level)
-    for t in range(1, lengths[0]):
-        live = np.count_nonzero(lengths > t)
-        value = y[:live, t : t + 1]
-        damped = phi * trend[:live]
-        expected = level[:live] + damped
-        error = value - expected
-        sse[:live] += error * error
-        new_level = alpha * value + (1.0 - alpha) * expected
-        trend[:live] = beta * (new_level - level[:live]) + (1.0 - beta) * damped
-        level[:live] = new_level
-    best = sse.argmin(axis=1)  # the first of equals, that is the smallest (alpha, beta, phi)
-    rows = np.arange(len(block))
-    return list(zip(sse[rows, best], alpha[best], beta[best], phi[best], level[rows, best], trend[rows, best]))
+_HOLT = "sse DOUBLE, alpha DOUBLE, beta DOUBLE, phi DOUBLE, level DOUBLE, trend DOUBLE"
 
 
-_HOLT = "sse DOUBLE, alpha DOUBLE, beta DOUBLE, phi DOUBLE, level DOUBLE, trend DOUBLE"
+def _holt_function(grid: list[tuple[float, float, float]], block: int = 256):
+    """The Arrow function that fits a batch of value arrays.
 
+    It carries its helper inside: nothing of this package has to be installed on the executors.
+    ``block`` series are fitted side by side, which bounds the padded value matrix.
+    """
+    alpha, beta, phi = (np.array(axis) for axis in zip(*grid))
+
+    def fit_block(values: list[np.ndarray]) -> list[tuple]:
+        """Best grid point of each series.  The series come by falling length, so those still running
+        at a step are the first rows and no masking is needed."""
+        lengths = np.array([len(v) for v in values])
+        y = np.zeros((len(values), lengths[0]))
+        for row, v in zip(y, values):
+            row[: len(v)] = v
+        level = np.repeat(y[:, :1], len(alpha), axis=1)
+        trend = np.repeat(y[:, 1:2] - y[:, :1], len(alpha), axis=1)
+        sse = np.zeros_like(level)
+        for t in range(1, lengths[0]):
+            live = np.count_nonzero(lengths > t)
+            now = y[:live, t : t + 1]
+            damped = phi * trend[:live]
+            expected = level[:live] + damped
+            error = now - expected
+            sse[:live] += error * error
+            new_level = alpha * now + (1.0 - alpha) * expected
+            trend[:live] = beta * (new_level - level[:live]) + (1.0 - beta) * damped
+            level[:live] = new_level
+        best = sse.argmin(axis=1)  # the first of equals, that is the smallest (alpha, beta, phi)
+        rows = np.arange(len(values))
+        return list(zip(sse[rows, best], alpha[best], beta[best], phi[best], level[rows, best], trend[rows, best]))
 
-def _holt_function(grid: list[tuple[float, float, float]]):
     @F.pandas_udf(_HOLT)
     def fit(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        alpha, beta, phi = (np.array(axis) for axis in zip(*grid))
         for series in batches:
-            order = sorted(range(len(series)), key=lambda i: -len(series.iloc[i]))
+            values = list(series)
+            order = sorted(range(len(values)), key=lambda i: -len(values[i]))
             out: list[tuple] = [()] * len(order)
-            for start in range(0, len(order), _BLOCK):
-                picked = order[start : start + _BLOCK]
-                for i, fitted in zip(picked, _fit_block([series.iloc[i] for i in picked], alpha, beta, phi)):
+            for start in range(0, len(order), block):
+                picked = order[start : start + block]
+                for i, fitted in zip(picked, fit_block([values[i] for i in picked])):
                     out[i] = fitted
             yield pd.DataFrame(out, columns=["sse", "alpha", "beta", "phi", "level", "trend"])
 

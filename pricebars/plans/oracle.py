@@ -410,7 +410,7 @@ FROM s LEFT JOIN pay USING (symbol) LEFT JOIN part ON CAST(p_partkey AS VARCHAR)
         "trend_distribution": q(
             PO, PO_BARS, movement("bars"), select="SELECT price_trend, count(*) AS n FROM moved GROUP BY price_trend"
         ),
-        "enriched_bars": q(SILVER, select="SELECT * EXCLUDE (name) FROM silver"),
+        "enriched_bars": q(SILVER, select="SELECT * FROM silver"),
         "list_symbols": q(PO, PO_BARS, NATIONS, DIM, select="SELECT id, symbol, name, category FROM dim"),
         "categories": q(PO, PO_BARS, NATIONS, DIM, select="SELECT DISTINCT category FROM dim"),
         "prices_filtered": q(

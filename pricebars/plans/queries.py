@@ -64,8 +64,9 @@ def _order_bars(spark: SparkSession, folder: str) -> DataFrame:
     return bars.ohlc_all(tables.order_ticks(spark, folder))
 
 
-def _order_enriched(spark: SparkSession, folder: str) -> DataFrame:
-    return features.enrich(_order_bars(spark, folder), tables.nation_profiles(spark, folder))
+def _stored_order_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Bars written once, for queries that read them twice: bars are far smaller than the ticks behind them."""
+    return store.materialise(_order_bars(spark, folder), "bars")
 
 
 def _event_days(spark: SparkSession, folder: str) -> DataFrame:
@@ -288,7 +289,7 @@ def canonical_names(spark, folder):
 
 @_query
 def category_map(spark, folder):
-    """Order bars with categories known for some nations only: those whose name is not the region's first."""
+    """Order bars with a category table that does not know the nations of one region."""
     profiles = tables.nation_profiles(spark, folder)
     known = profiles.filter(F.col("category") != "AFRICA")
     return features.with_category(_order_bars(spark, folder), known).select(*BAR_KEY, "close_price", "category")
@@ -312,14 +313,15 @@ def category_avg(spark, folder):
 
 @_query
 def category_avg_join(spark, folder):
-    rows = features.with_category(_order_bars(spark, folder), tables.nation_profiles(spark, folder))
+    profiles = tables.nation_profiles(spark, folder).drop("name")
+    rows = features.with_category(_stored_order_bars(spark, folder), profiles)
     return features.with_category_average(rows)
 
 
 @_query
 def category_avg_window(spark, folder):
     """The average over (category, timeframe, date) on every bar of the part table's many symbols."""
-    rows = bars.ohlc_all(tables.lineitem_ticks(spark, folder), ["month", "year"])
+    rows = store.materialise(bars.ohlc_all(tables.lineitem_ticks(spark, folder), ["month", "year"]), "bars")
     rows = features.with_category(rows, tables.part_profiles(spark, folder))
     return features.with_category_average(rows).select(*BAR_KEY, "category", "category_avg_close", "category_count")
 
@@ -331,7 +333,7 @@ def trend_distribution(spark, folder):
 
 @_query
 def enriched_bars(spark, folder):
-    return _order_enriched(spark, folder)
+    return features.enrich(_stored_order_bars(spark, folder), tables.nation_profiles(spark, folder))
 
 
 # --- serving ----------------------------------------------------------------

@@ -69,13 +69,12 @@ def load(
     long = reshape.union_sources([reshape.conform_long(s) for s in sources])
     store.write_layer(layers.bronze(long, at), f"{root}/bronze")
 
-    bars = features.drop_missing_price(reshape.to_wide(warehouse.bronze, priority))
-    named = features.enrich(bars, profiles).join(profiles.select("symbol", "name"), "symbol", "left")
-    store.write_layer(layers.silver(named, at), f"{root}/silver")
+    bars = store.materialise(features.drop_missing_price(reshape.to_wide(warehouse.bronze, priority)), "bars")
+    store.write_layer(layers.silver(features.enrich(bars, profiles), at), f"{root}/silver")
 
     layers.build_dim(warehouse.silver).write.mode("overwrite").parquet(f"{root}/gold/dim")
     fact = layers.gold(warehouse.silver, warehouse.dim, at)
-    store.write_layer(fact, f"{root}/gold/fact", sort_by=["id", "time_index"])
+    store.write_served(fact, f"{root}/gold/fact", ["id", "time_index"])
 
 
 def predict(warehouse: Warehouse, run_at: datetime, test_size: int = TEST_SIZE) -> None:
@@ -86,8 +85,8 @@ def predict(warehouse: Warehouse, run_at: datetime, test_size: int = TEST_SIZE)
         forecast.forecast(points).withColumn("fit_scope", F.lit("full"))
         .unionByName(held_out.withColumn("fit_scope", F.lit("holdout")))
     )
-    fact = layers.prediction_fact(rows, warehouse.dim, run_at)
-    store.write_layer(fact, f"{warehouse.root}/gold/predictions", sort_by=["id", "indicator", "model_name"])
+    fact = layers.prediction_fact(store.materialise(rows, "predictions"), warehouse.dim, run_at)
+    store.write_served(fact, f"{warehouse.root}/gold/predictions", ["id", "indicator", "model_name"])
 
 
 def export(warehouse: Warehouse, folder: str) -> None:

@@ -6,8 +6,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebars.schema import BAR_KEY
-
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
@@ -34,14 +32,19 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_layer(df: DataFrame, path: str, sort_by: list[str] | None = None) -> None:
-    """Full replacement of a layer, one folder per timeframe.
+def write_layer(df: DataFrame, path: str) -> None:
+    """Full replacement of a layer that is read whole: one folder per timeframe, no extra shuffle."""
+    df.write.mode("overwrite").partitionBy("timeframe").parquet(path)
+
+
+def write_served(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Full replacement of a layer that is looked up by key, one folder per timeframe.
 
-    Rows are range-partitioned on timeframe and key, so a file covers one short key range and its
-    row-group statistics prune look-ups by key and date; no timeframe is written by a single task.
+    Rows are range-partitioned and sorted, so a file covers one short key range and its row-group
+    statistics prune look-ups by key and date; no timeframe is written by a single task.  Choosing the
+    ranges samples ``df``, which runs it once more: pass a stored table or a cheap plan.
     """
-    keys = sort_by or BAR_KEY
-    ordered = ["timeframe", *[k for k in keys if k != "timeframe"]]
+    ordered = ["timeframe", *keys]
     (
         df.repartitionByRange(*ordered)
         .sortWithinPartitions(*ordered)
