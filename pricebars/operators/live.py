@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from pricebars.functions.numeric import divide, zero_as_null
 from pricebars.operators.bars import day_bars
 
+HOT_ROWS = 20_000_000  # ticks of one symbol a single task may sort
+
 
 def direction(change: Column) -> Column:
     return F.when(change > 0, "up").when(change < 0, "down").otherwise("flat")
@@ -15,30 +17,35 @@ def _order(ticks: DataFrame) -> list[str]:
     return ["ts", "seq"] if "seq" in ticks.columns else ["ts"]
 
 
-def tick_change(ticks: DataFrame, bucket: str = "hour") -> DataFrame:
+def tick_change(ticks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Price minus the previous tick's price of the symbol, 0 for its first tick.
 
-    A window over a symbol would pull all its ticks into one task.  Ticks are split by symbol and time
-    bucket instead; the first tick of a bucket takes the last price of the symbol's bucket before, which
-    comes from a pre-aggregated table of one row per symbol and bucket.  Window and join share the
-    partitioning, so ticks move once.
+    A window over the symbol is one task per symbol, which is fine until a symbol has more than
+    ``hot_rows`` ticks.  Ticks of such a symbol are split by minute, and each minute is opened by an
+    extra row with the last price of the symbol's minute before, taken from a pre-aggregated table of one
+    row per minute.  Ticks move once, and no join follows.
     """
     order = _order(ticks)
-    cut = F.date_trunc(bucket, F.col("ts").cast("timestamp"))
-    rows = ticks.filter(F.col("price").isNotNull()).withColumn("bucket", cut)
-    last = rows.groupBy("symbol", "bucket").agg(
-        F.max_by("price", F.col("ts") if order == ["ts"] else F.struct(*order)).alias("last_price")
-    )
-    carried = last.select(
-        "symbol", "bucket",
-        F.lag("last_price").over(Window.partitionBy("symbol").orderBy("bucket")).alias("carried"),
+    rows = ticks.filter(F.col("price").isNotNull())
+    counts = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    # At most one symbol per hot_rows ticks can be in this list: safe to broadcast.
+    hot = counts.filter(F.col("n") > hot_rows).select("symbol", F.lit(True).alias("hot"))
+    rows = (
+        rows.join(F.broadcast(hot), "symbol", "left")
+        .withColumn("minute", F.when(F.col("hot"), F.date_trunc("minute", F.col("ts").cast("timestamp"))))
+        .select(*ticks.columns, "minute", F.lit(True).alias("is_tick"))
     )
-    inside = F.lag("price").over(Window.partitionBy("symbol", "bucket").orderBy(*order))
-    change = F.coalesce(F.col("price") - F.coalesce("inside", "carried"), F.lit(0.0))
+    last_tick = F.max_by("price", F.col("ts") if order == ["ts"] else F.struct(*order))
+    minutes = rows.filter(F.col("minute").isNotNull()).groupBy("symbol", "minute").agg(last_tick.alias("last"))
+    openers = minutes.select(
+        "symbol", "minute", F.lit(False).alias("is_tick"),
+        F.lag("last").over(Window.partitionBy("symbol").orderBy("minute")).alias("price"),
+    ).filter(F.col("price").isNotNull())
+    previous = F.lag("price").over(Window.partitionBy("symbol", "minute").orderBy("is_tick", *order))
     return (
-        rows.withColumn("inside", inside)
-        .join(carried, ["symbol", "bucket"])
-        .withColumn("tick_change", F.round(change, 4))
+        rows.unionByName(openers, allowMissingColumns=True)
+        .withColumn("tick_change", F.coalesce(F.col("price") - previous, F.lit(0.0)))
+        .filter("is_tick")
         .select(*ticks.columns, "tick_change", direction(F.col("tick_change")).alias("tick_status"))
     )
 
@@ -78,9 +85,7 @@ def day_change(quotes: DataFrame) -> DataFrame:
     before = zero_as_null(F.col("previous_close"))
     change = F.coalesce(F.col("live_price") - before, F.lit(0.0))
     pct = F.coalesce(divide(change, before) * 100, F.lit(0.0))
-    return quotes.withColumns(
-        {"day_change": F.round(change, 4), "day_change_pct": F.round(pct, 4), "direction": direction(change)}
-    )
+    return quotes.withColumns({"day_change": change, "day_change_pct": pct, "direction": direction(change)})
 
 
 def board(days: DataFrame) -> DataFrame:
@@ -89,11 +94,10 @@ def board(days: DataFrame) -> DataFrame:
     ``days`` are day bars: at most one per symbol and date, so the window is bounded by the calendar.
     """
     history = Window.partitionBy("symbol").orderBy("time_index")
-    newest = Window.partitionBy("symbol").orderBy(F.desc("time_index"))
     return day_change(
         days.withColumn("previous_close", F.lag("close_price").over(history))
-        .withColumn("place", F.row_number().over(newest))
-        .filter(F.col("place") == 1)
+        .withColumn("next", F.lead("time_index").over(history))
+        .filter(F.col("next").isNull())
         .select("symbol", "time_index", F.col("latest_price").alias("live_price"), "previous_close")
     )
 

@@ -259,8 +259,8 @@ QUOTES = f"""quotes AS (
   FROM board b JOIN days USING (symbol, time_index) LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = b.symbol
   WHERE close_price <> 0)"""
 TICK_CHANGE = f"""changes AS (
-  SELECT *, {direction("tick_change")} AS tick_status
-  FROM (SELECT event_id, symbol, ts, price, coalesce({rnd("price - before", 4)}, 0) AS tick_change
+  SELECT event_id, symbol, ts, price, {rnd("change", 4)} AS tick_change, {direction("change")} AS tick_status
+  FROM (SELECT *, coalesce(price - before, 0) AS change
         FROM (SELECT event_id, CAST(user_id AS VARCHAR) AS symbol, ts, value AS price,
                      lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events)))"""
 

@@ -441,7 +441,7 @@ def forecast_bridge(spark, folder):
 
 @_query
 def tick_change(spark, folder):
-    return live.tick_change(tables.event_ticks(spark, folder))
+    return _rounded(live.tick_change(tables.event_ticks(spark, folder)), 4, "tick_change")
 
 
 @_query
@@ -463,7 +463,7 @@ def quote_fallback(spark, folder):
 
 @_query
 def day_change(spark, folder):
-    return live.tick_board(tables.event_ticks(spark, folder))
+    return _rounded(live.tick_board(tables.event_ticks(spark, folder)), 4, "day_change", "day_change_pct")
 
 
 @_query
@@ -650,37 +650,40 @@ def _stream(spark: SparkSession, folder: str) -> DataFrame:
     return stream_ticks.tick_stream(spark, folder, "events.parquet")
 
 
-def _run_bars(spark: SparkSession, folder: str, timeframe: str) -> str:
+def _kept_bars(spark: SparkSession, rows: DataFrame) -> DataFrame:
     out = store.new_folder(spark, "stream")
-    stream_bars.maintain(_stream(spark, folder), out, f"{out}/checkpoint", timeframe).awaitTermination()
-    return out
+    stream_bars.keep_bars(rows, out, f"{out}/checkpoint").awaitTermination()
+    return stream_bars.current_bars(spark, out)
 
 
 @_query
 def stream_day_bars(spark, folder):
-    return stream_bars.current_bars(spark, _run_bars(spark, folder, "day"))
+    return _kept_bars(spark, stream_bars.stream_bars(_stream(spark, folder), "day"))
 
 
 @_query
 def stream_week_bars(spark, folder):
-    return stream_bars.current_bars(spark, _run_bars(spark, folder, "week"), "week")
+    return _kept_bars(spark, stream_bars.stream_bars(_stream(spark, folder), "week"))
 
 
 @_query
 def stream_rollup(spark, folder):
-    return stream_bars.current_bars(spark, _run_bars(spark, folder, "day"), "rollup")
+    return _kept_bars(spark, stream_bars.stream_rollup(_stream(spark, folder)))
 
 
 @_query
 def stream_board(spark, folder):
-    return stream_bars.current_board(spark, _run_bars(spark, folder, "day"))
+    out = store.new_folder(spark, "stream")
+    stream_bars.keep_board(_stream(spark, folder), out, f"{out}/checkpoint").awaitTermination()
+    return _rounded(stream_bars.current_board(spark, out), 4, "day_change", "day_change_pct")
 
 
 @_query
 def stream_tick_change(spark, folder):
     out = store.new_folder(spark, "stream")
     stream_ticks.stream_tick_change(_stream(spark, folder), out, f"{out}/checkpoint").awaitTermination()
-    return stream_tables.all_batches(spark, f"{out}/changes", stream_ticks.CHANGE_SCHEMA).drop("batch")
+    changes = stream_tables.all_batches(spark, f"{out}/changes", stream_ticks.CHANGE_SCHEMA).drop("batch")
+    return _rounded(changes, 4, "tick_change")
 
 
 @_query

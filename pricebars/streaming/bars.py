@@ -1,14 +1,14 @@
-"""Bars, roll-ups and the live board, kept up to date from a tick stream."""
+"""Bars of all timeframes and the live board, kept up to date from a tick stream."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pricebars.functions.periods import period_start
-from pricebars.operators.bars import roll_up
 from pricebars.operators.live import board
 from pricebars.schema import BAR_KEY, INDICATORS, struct
+from pricebars.sources.tables import read_or_empty
 from pricebars.streaming.tables import current, write_batch
 
 BAR_SCHEMA = struct([*BAR_KEY, *INDICATORS])
@@ -25,83 +25,113 @@ BOARD_SCHEMA = T.StructType(
 )
 
 
-def _window(timeframe: str):
-    """Windows count from a Thursday (1970-01-01); four days on, weeks start on Monday."""
-    if timeframe == "week":
-        return F.window("ts", "7 days", "7 days", "4 days")
-    if timeframe == "day":
-        return F.window("ts", "1 day")
-    raise ValueError("a stream has fixed-length windows only: day or week; roll up months and years")
+def _prices() -> list[Column]:
+    return [
+        F.min_by("price", "ts").alias("open_price"),
+        F.max("price").alias("high_price"),
+        F.min("price").alias("low_price"),
+        F.max_by("price", "ts").alias("close_price"),
+    ]
 
 
-def stream_bars(ticks: DataFrame, timeframe: str = "day", watermark: str = "1 day") -> DataFrame:
-    """Streaming bars of a tick stream.  Partial aggregation keeps a hot symbol off the network."""
-    return (
-        ticks.filter(F.col("price").isNotNull() & ~F.isnan("price"))
-        .withWatermark("ts", watermark)
-        .groupBy("symbol", _window(timeframe).alias("w"))
-        .agg(
-            F.min_by("price", "ts").alias("open_price"),
-            F.max("price").alias("high_price"),
-            F.min("price").alias("low_price"),
-            F.max_by("price", "ts").alias("close_price"),
-        )
-        .select(
-            "symbol", F.lit(timeframe).alias("timeframe"), F.col("w.start").cast("date").alias("time_index"),
-            *INDICATORS[:4], F.col("close_price").alias("latest_price"),
-        )
+def _usable(ticks: DataFrame) -> DataFrame:
+    return ticks.filter(F.col("price").isNotNull() & ~F.isnan("price"))
+
+
+def _as_bars(grouped: DataFrame, timeframe: Column, start: Column) -> DataFrame:
+    return grouped.select(
+        "symbol", timeframe.alias("timeframe"), start.cast("date").alias("time_index"),
+        *INDICATORS[:4], F.col("close_price").alias("latest_price"),
     )
 
 
-def stream_rollup(batch: DataFrame, days: DataFrame) -> DataFrame:
-    """Month and year bars touched by a batch of changed day bars.
+def stream_bars(ticks: DataFrame, timeframe: str = "day", watermark: str = "1 day") -> DataFrame:
+    """Day or week bars of a tick stream; a bar's state is dropped once the watermark has passed it.
 
-    Every day bar of a touched symbol and year is needed, no more; the batch is reduced to those keys.
+    Partial aggregation keeps a hot symbol's ticks off the network.
     """
-    touched = batch.select("symbol", F.year("time_index").alias("y")).distinct()
-    months = batch.select("symbol", F.trunc("time_index", "month").alias("m")).distinct()
-    affected = days.withColumn("y", F.year("time_index")).join(touched, ["symbol", "y"], "left_semi").drop("y")
-    years = roll_up(affected, ["year"])
-    in_month = affected.withColumn("m", period_start(F.lit("month"), F.col("time_index"))).join(
-        months, ["symbol", "m"], "left_semi"
-    ).drop("m")
-    return roll_up(in_month, ["month"]).unionByName(years)
+    if timeframe == "day":
+        window = F.window("ts", "1 day")
+    elif timeframe == "week":
+        # Windows count from 1970-01-01, a Thursday; four days on they start on Mondays.
+        window = F.window("ts", "7 days", "7 days", "4 days")
+    else:
+        raise ValueError("windows have a fixed length: day or week; use stream_rollup for months and years")
+    grouped = _usable(ticks).withWatermark("ts", watermark).groupBy("symbol", window.alias("w")).agg(*_prices())
+    return _as_bars(grouped, F.lit(timeframe), F.col("w.start"))
 
 
-def current_bars(spark: SparkSession, out: str, table: str = "day") -> DataFrame:
-    return current(spark, f"{out}/{table}", BAR_SCHEMA, BAR_KEY)
+def stream_rollup(ticks: DataFrame) -> DataFrame:
+    """Month and year bars of a tick stream.
 
+    Calendar periods are plain grouping keys, so the state keeps one row per symbol and period for good
+    and late ticks are never lost.
+    """
+    date = F.col("ts").cast("date")
+    expanded = _usable(ticks).withColumn("timeframe", F.explode(F.array(F.lit("month"), F.lit("year"))))
+    grouped = expanded.groupBy(
+        "symbol", "timeframe", period_start(F.col("timeframe"), date).alias("start")
+    ).agg(*_prices())
+    return _as_bars(grouped, F.col("timeframe"), F.col("start"))
+
+
+def current_bars(spark: SparkSession, out: str) -> DataFrame:
+    return current(spark, f"{out}/bars", BAR_SCHEMA, BAR_KEY)
+
+
+def current_board(spark: SparkSession, out: str) -> DataFrame:
+    return current(spark, f"{out}/board", BOARD_SCHEMA, ["symbol"])
 
-def maintain(
-    ticks: DataFrame, out: str, checkpoint: str, timeframe: str = "day", watermark: str = "1 day"
-) -> StreamingQuery:
-    """Keep bars under ``out``; for day bars also the month and year roll-ups and the board.
 
-    Update mode: a batch holds the new version of every bar it changed.  All writes are replacements of
-    a folder named by the batch, so a batch that is run again leaves the same tables.
+def last_two_days(changed: DataFrame, known: DataFrame) -> DataFrame:
+    """The two newest day bars per symbol after a batch; a changed bar replaces the known one."""
+    rows = changed.withColumn("fresh", F.lit(1)).unionByName(known.withColumn("fresh", F.lit(0)))
+    newest = F.max(F.struct("fresh", F.struct("timeframe", *INDICATORS).alias("row"))).alias("v")
+    bars = rows.groupBy("symbol", "time_index").agg(newest).select("symbol", "time_index", "v.row.*")
+    place = F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("time_index")))
+    return bars.withColumn("place", place).filter(F.col("place") <= 2).select(*BAR_SCHEMA.names)
+
+
+def keep_bars(bars: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Write the changed bars of each micro-batch under ``out``; see :func:`current_bars`.
+
+    Update mode: a batch holds the new version of every bar it changed, in a folder named by the batch,
+    so a batch that is run again leaves the same table.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, f"{out}/bars", batch_id)
+
+    return (
+        bars.writeStream.outputMode("update").foreachBatch(handle)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def keep_board(ticks: DataFrame, out: str, checkpoint: str, watermark: str = "1 day") -> StreamingQuery:
+    """Day bars as in :func:`keep_bars`, and the live board of the symbols each batch touched.
+
+    The board needs the last two day bars per symbol.  They are kept in two alternating folders: a batch
+    reads the one the batch before has written and replaces the other.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        write_batch(batch, f"{out}/{timeframe}", batch_id)
-        if timeframe != "day":
-            return
-        changed = spark.read.schema(BAR_SCHEMA).parquet(f"{out}/day/batch={batch_id}")
-        days = current_bars(spark, out)
-        write_batch(stream_rollup(changed, days), f"{out}/rollup", batch_id)
-        touched = days.join(changed.select("symbol").distinct(), "symbol", "left_semi")
+        write_batch(batch, f"{out}/bars", batch_id)
+        changed = spark.read.schema(BAR_SCHEMA).parquet(f"{out}/bars/batch={batch_id}")
+        known = read_or_empty(spark, f"{out}/last/{(batch_id + 1) % 2}", BAR_SCHEMA)
+        if batch_id == 0:
+            known = spark.createDataFrame([], BAR_SCHEMA)
+        last_two_days(changed, known).write.mode("overwrite").parquet(f"{out}/last/{batch_id % 2}")
+        last = spark.read.schema(BAR_SCHEMA).parquet(f"{out}/last/{batch_id % 2}")
+        touched = last.join(changed.select("symbol").distinct(), "symbol", "left_semi")
         write_batch(board(touched), f"{out}/board", batch_id)
 
     return (
-        stream_bars(ticks, timeframe, watermark)
+        stream_bars(ticks, "day", watermark)
         .writeStream.outputMode("update").foreachBatch(handle)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
-def current_board(spark: SparkSession, out: str) -> DataFrame:
-    return current(spark, f"{out}/board", BOARD_SCHEMA, ["symbol"])
-
-
 def closed_bars(
     ticks: DataFrame, out: str, checkpoint: str, timeframe: str = "day", watermark: str = "1 day"
 ) -> StreamingQuery:

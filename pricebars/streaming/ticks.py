@@ -68,8 +68,8 @@ def change_batch(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFra
     """Tick changes of one micro-batch, and the last tick per symbol after it.
 
     ``state`` has the last tick of each symbol so far.  A tick older than that is reported as ``late``
-    and changes nothing.  The state rows join the batch as its earliest ticks, so the bucketed batch
-    operator does the work and a hot symbol is spread over tasks.
+    and changes nothing.  The state rows join the batch as its earliest ticks, so the batch operator
+    does the work, which spreads a hot symbol over tasks.
     """
     known = state.select("symbol", F.col("ts").alias("state_ts"))
     ticks = batch.select("event_id", "symbol", "ts", "price").join(known, "symbol", "left")
