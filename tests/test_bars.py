@@ -1,0 +1,146 @@
+import random
+
+from helpers import BARS, D, TS, bar, by_key, one, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from pricebars.operators import bars, reshape
+from pricebars.schema import BAR_KEY, BRONZE_COLUMNS, INDICATORS
+
+TICKS = "symbol STRING, ts DATE, seq BIGINT, price DOUBLE"
+
+
+def ticks(spark, *data):
+    return spark.createDataFrame([("A", D(d), s, p) for d, s, p in data], TICKS)
+
+
+def test_day_bar_orders_ticks_by_seq(spark):
+    got = bars.day_bars(ticks(spark, ("2024-01-01", 2, 5.0), ("2024-01-01", 1, 3.0), ("2024-01-01", 3, 4.0)))
+    assert rows(got, "time_index") == [("A", "day", D("2024-01-01"), 3.0, 5.0, 3.0, 4.0, 4.0)]
+
+
+def test_time_stamps_order_before_seq(spark):
+    df = spark.createDataFrame(
+        [("A", TS("2024-01-01T10:00:00"), 9, 1.0), ("A", TS("2024-01-01T11:00:00"), 1, 2.0), ("A", TS("2024-01-01T11:00:00"), 2, 3.0)],
+        "symbol STRING, ts TIMESTAMP, seq BIGINT, price DOUBLE",
+    )
+    row = one(bars.day_bars(df))
+    assert (row.open_price, row.close_price) == (1.0, 3.0)
+
+
+def test_ticks_without_price_do_not_count(spark):
+    got = bars.day_bars(ticks(spark, ("2024-01-01", 1, None), ("2024-01-01", 2, float("nan")), ("2024-01-01", 3, 4.0)))
+    assert rows(got, "time_index") == [("A", "day", D("2024-01-01"), 4.0, 4.0, 4.0, 4.0, 4.0)]
+
+
+def test_iso_week_spans_new_year_and_sunday_belongs_to_monday(spark):
+    got = bars.ohlc(ticks(spark, ("2024-12-30", 1, 1.0), ("2025-01-05", 2, 2.0), ("2025-01-06", 3, 3.0)), "week")
+    assert rows(got.select("time_index", "close_price"), "time_index") == [(D("2024-12-30"), 2.0), (D("2025-01-06"), 3.0)]
+
+
+def test_first_open_missing_stays_missing_and_highs_may_be_missing(spark):
+    days = spark.createDataFrame(
+        [bar("A", "day", "2024-01-01", None, None, 1.0, 2.0), bar("A", "day", "2024-01-02", 5.0, None, 3.0, 4.0)], BARS
+    )
+    row = one(bars.roll_up(days, ["week"]))
+    assert (row.open_price, row.high_price, row.low_price, row.close_price) == (None, None, 1.0, 4.0)
+
+
+def test_all_timeframes(spark):
+    got = bars.ohlc_all(ticks(spark, ("2024-01-31", 1, 1.0), ("2024-02-01", 2, 2.0)))
+    assert {(r.timeframe, r.time_index, r.open_price, r.close_price) for r in got.collect()} == {
+        ("day", D("2024-01-31"), 1.0, 1.0), ("day", D("2024-02-01"), 2.0, 2.0), ("week", D("2024-01-29"), 1.0, 2.0),
+        ("month", D("2024-01-01"), 1.0, 1.0), ("month", D("2024-02-01"), 2.0, 2.0), ("year", D("2024-01-01"), 1.0, 2.0),
+    }
+
+
+tick_lists = st.lists(
+    st.tuples(st.sampled_from("AB"), st.dates(D("2023-12-20"), D("2024-02-10")), st.integers(1, 40)), min_size=1, max_size=25
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(tick_lists)
+def test_bar_properties(spark, data):
+    df = spark.createDataFrame([(s, d, i, float(p)) for i, (s, d, p) in enumerate(data)], TICKS)
+    shuffled = spark.createDataFrame(
+        random.sample([(s, d, i, float(p)) for i, (s, d, p) in enumerate(data)], len(data)), TICKS
+    ).repartition(5)
+    got = bars.ohlc_all(df)
+    assert rows(got, *BAR_KEY) == rows(bars.ohlc_all(shuffled), *BAR_KEY)
+    assert got.filter("NOT (low_price <= least(open_price, close_price) AND high_price >= greatest(open_price, close_price))").count() == 0
+    expected = {}
+    for i, (symbol, day, price) in enumerate(data):
+        expected.setdefault((symbol, day.replace(day=1)), []).append((day, i, float(price)))
+    want = {
+        (s, "month", m): (min(v)[2], max(p for *_, p in v), min(p for *_, p in v), max(v)[2]) for (s, m), v in expected.items()
+    }
+    assert by_key(got.filter("timeframe = 'month'"), *INDICATORS[:4]) == want
+
+
+def test_day_bars_need_no_sort(spark):
+    df = ticks(spark, ("2024-01-01", 1, 1.0))
+    plan = bars.ohlc_all(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.split("Initial Plan")[0].count("Exchange hashpartitioning") == 2
+
+
+def long_rows(spark, *data):
+    return spark.createDataFrame(
+        [("A", "a", i, "day", D("2024-01-01"), v, s) for i, v, s in data],
+        "symbol STRING, name STRING, indicator STRING, timeframe STRING, time_index DATE, value DOUBLE, source STRING",
+    )
+
+
+def test_long_drops_missing_prices(spark):
+    days = spark.createDataFrame([bar("A", "day", "2024-01-01", None, 2.0, 1.0, 1.5)], BARS)
+    assert sorted(r.indicator for r in reshape.to_long(days).collect()) == sorted(set(INDICATORS) - {"open_price"})
+
+
+def test_pivot_undoes_unpivot(spark):
+    days = spark.createDataFrame(
+        [bar("A", "day", "2024-01-01", None, 2.0, 1.0, 1.5), bar("B", "week", "2024-01-01", 1.0, 2.0, 1.0, 1.5)], BARS
+    )
+    back = reshape.to_wide(reshape.to_long(days).withColumn("source", F.lit("x")))
+    assert rows(back.select(days.columns), "symbol") == rows(days, "symbol")
+
+
+def test_pivot_prefers_priority_then_source_then_value(spark):
+    close = lambda df, **p: one(reshape.to_wide(df, p)).close_price
+    df = long_rows(spark, ("close_price", 9.0, "a"), ("close_price", 1.0, "b"), ("close_price", None, "c"))
+    assert close(df) == 1.0
+    assert close(df, a=1) == 9.0
+    assert close(long_rows(spark, ("close_price", 1.0, "a"), ("close_price", 2.0, "a"))) == 2.0
+
+
+def test_pivot_ignores_the_name(spark):
+    df = long_rows(spark, ("close_price", 1.0, "a")).unionByName(
+        long_rows(spark, ("open_price", 2.0, "a")).withColumn("name", F.lit("other"))
+    )
+    assert one(reshape.to_wide(df)).open_price == 2.0
+
+
+def test_union_needs_a_source(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        reshape.union_sources([])
+    df = long_rows(spark, ("close_price", 1.0, "a"))
+    assert reshape.union_sources([df, df]).columns == BRONZE_COLUMNS
+
+
+def test_nan_to_null_and_column_order(spark):
+    df = spark.createDataFrame([(float("nan"), 1, "A")], "z DOUBLE, b INT, symbol STRING")
+    clean = reshape.order_columns(reshape.nan_to_null(df))
+    assert clean.columns == ["symbol", "b", "z"] and one(clean).z is None
+
+
+def test_dedupe_is_deterministic(spark):
+    df = spark.createDataFrame([("A", 2, "x"), ("A", 1, "y"), ("B", 5, "z")], "k STRING, o INT, v STRING")
+    assert rows(reshape.dedupe(df.repartition(3), ["k"], ["o"]), "k") == [("A", 1, "y"), ("B", 5, "z")]
+
+
+def test_observed_counts_without_another_job(spark):
+    df, seen = reshape.observed(spark.range(7), "seven")
+    df.collect()
+    assert seen.get["rows"] == 7
