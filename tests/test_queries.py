@@ -1,0 +1,41 @@
+"""Every query against its SQL on the smallest tables."""
+
+import pytest
+from compare import compare, connect
+
+import __spark_entry__ as entry
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return connect(FOLDER)
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_query_equals_sql(spark, connection, name):
+    assert compare(spark, connection, FOLDER, name) is None
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+
+
+def test_comparison_notices_a_difference(spark, connection, monkeypatch):
+    sql = dict(entry.oracle_sql())
+    monkeypatch.setattr(entry, "oracle_sql", lambda: {"categories": sql["categories"].replace("SELECT DISTINCT category", "SELECT DISTINCT lower(category) AS category")})
+    assert "rows differ" in compare(spark, connection, FOLDER, "categories")
+
+
+PLAIN = sorted(set(entry.queries()) - {n for n in entry.queries() if n.startswith("stream")})
+
+
+@pytest.mark.parametrize("name", PLAIN)
+def test_plans_have_no_cross_join(spark, name):
+    plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
