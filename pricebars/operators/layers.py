@@ -37,13 +37,14 @@ def silver(enriched: DataFrame, at: datetime) -> DataFrame:
 
 
 def distinct_symbols(df: DataFrame) -> DataFrame:
-    """One row per symbol; name and category of its earliest bar win."""
-    rows = normalise(df, RENAMES)
-    seen = F.struct("time_index", "name", "category")
-    return (
-        rows.groupBy("symbol").agg(F.min(seen).alias("first"))
-        .select("symbol", "first.name", "first.category")
-    )
+    """One row per symbol; name and category of its earliest bar win.
+
+    Distinct (symbol, name, category) come first, in a hash table, which leaves next to nothing for the
+    struct minimum to sort.
+    """
+    seen = normalise(df, RENAMES).groupBy("symbol", "name", "category").agg(F.min("time_index").alias("since"))
+    first = F.min(F.struct("since", "name", "category")).alias("first")
+    return seen.groupBy("symbol").agg(first).select("symbol", "first.name", "first.category")
 
 
 def dense_ids(df: DataFrame, order: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricebars.functions.numeric import divide, zero_as_null
 from pricebars.operators.bars import day_bars
@@ -17,6 +18,15 @@ def _order(ticks: DataFrame) -> list[str]:
     return ["ts", "seq"] if "seq" in ticks.columns else ["ts"]
 
 
+def _minute(ticks: DataFrame) -> Column:
+    """Number of the minute, in the order of ``ts`` whatever the session time zone."""
+    kind = ticks.schema["ts"].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.floor(F.unix_seconds("ts") / 60)
+    day = F.unix_date(F.col("ts").cast("date")).cast("bigint") * 1440
+    return day if isinstance(kind, T.DateType) else day + F.hour("ts") * 60 + F.minute("ts")
+
+
 def tick_change(ticks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Price minus the previous tick's price of the symbol, 0 for its first tick.
 
@@ -32,7 +42,7 @@ def tick_change(ticks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     hot = counts.filter(F.col("n") > hot_rows).select("symbol", F.lit(True).alias("hot"))
     rows = (
         rows.join(F.broadcast(hot), "symbol", "left")
-        .withColumn("minute", F.when(F.col("hot"), F.date_trunc("minute", F.col("ts").cast("timestamp"))))
+        .withColumn("minute", F.when(F.col("hot"), _minute(ticks)))
         .select(*ticks.columns, "minute", F.lit(True).alias("is_tick"))
     )
     last_tick = F.max_by("price", F.col("ts") if order == ["ts"] else F.struct(*order))

@@ -31,6 +31,11 @@ def _only_symbol(table: DataFrame, dim: DataFrame, symbol: str) -> DataFrame:
     return table.filter(F.col("id") == wanted.scalar())
 
 
+def live_quote(snapshots: DataFrame, symbol: str) -> DataFrame:
+    """The quote of one symbol as one wide row."""
+    return snapshots.filter(F.col("symbol") == symbol.upper())
+
+
 def list_symbols(dim: DataFrame) -> DataFrame:
     return dim.select("id", *LABELS).orderBy("symbol")
 

@@ -30,7 +30,7 @@ COMPARE = " nation_3, NATION_11,,nation_20 "
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
-_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_WAREHOUSES: dict[tuple, Warehouse] = {}
 
 
 def _query(function: Query) -> Query:
@@ -48,9 +48,10 @@ def _long(rows: DataFrame, profiles: DataFrame, source: str) -> DataFrame:
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """The warehouse of all orders, built on first use in this application."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _WAREHOUSES:
+    """The warehouse of all orders, built on first use and again when the tables have changed."""
+    inputs = ["orders", "customer", "nation", "region"]
+    key = (spark.sparkContext.applicationId, folder, tables.fingerprint(spark, folder, inputs))
+    if key not in _WAREHOUSES or not tables.exists(spark, f"{_WAREHOUSES[key].root}/gold/predictions"):
         built = Warehouse(spark, store.new_folder(spark, "warehouse"))
         profiles = tables.nation_profiles(spark, folder)
         source = _long(bars.ohlc_all(tables.order_ticks(spark, folder)), profiles, "orders")

@@ -15,6 +15,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fingerprint(spark: SparkSession, folder: str, names: list[str]) -> tuple:
+    """Number, size and age of the tables' files, from a listing that reads none of them."""
+    files = spark.read.format("binaryFile").load([f"{folder}/{name}.parquet" for name in names])
+    return tuple(files.agg(F.count("path"), F.sum("length"), F.max("modificationTime")).first())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table, or no rows of the same schema when nothing has been written there yet."""
     try:
@@ -50,7 +64,7 @@ def event_ticks(spark: SparkSession, folder: str) -> DataFrame:
     """Events as ticks of the user; time stamps are unique, so no ``seq``."""
     return table(spark, folder, "events").select(
         F.col("user_id").cast("string").alias("symbol"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts",
         F.col("value").alias("price"),
     )
 

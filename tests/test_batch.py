@@ -1,0 +1,56 @@
+import json
+
+from helpers import D, one
+from pyspark.sql import functions as F
+
+from pricebars.operators import quality, serve
+from pricebars.plans import batch
+
+TODAY = D("2024-01-31")
+
+
+def test_batch_job(spark, tmp_path):
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def land(name, data):
+        rows = [(s, json.dumps(p)) for s, p in data.items()]
+        spark.createDataFrame(rows, batch.PAYLOADS).write.parquet(f"{landing}/{name}")
+
+    days = [19700 + i for i in range(40)] + [10000]  # 2023-12-09 ..., and one far before the window
+    land("candles", {
+        "AAPL": dict(s="ok", t=[d * 86400 for d in days], o=[100 + i for i in range(41)], h=[102 + i for i in range(41)],
+                     l=[99 + i for i in range(41)], c=[101 + i for i in range(41)]),
+        "V": dict(s="no_data"),
+        "BAD": dict(s="ok", t=[1]),
+    })
+    land("quotes", {s: dict(c=50.0, o=49.0, h=51.0, l=48.0, pc=0) for s in ("AAPL", "V", "NEW")} | {"BAD": dict(c=0)})
+    land("profiles", {"NEW": dict(name="New Corp", exchange="NX")})
+
+    built = batch.run(spark, landing, out, TODAY, years=5)
+    assert [tuple(r) for r in built.dim.orderBy("id").collect()] == [
+        (1, "AAPL", "Apple Inc", "Technology"), (2, "NEW", "New Corp", "NX"), (3, "V", "Visa Inc", "Financial Services"),
+    ]
+    counts = {(r.symbol, r.timeframe): r["count"] for r in built.prices.groupBy("symbol", "timeframe").count().collect()}
+    assert counts[("AAPL", "day")] == 40
+    assert [counts[("V", t)] for t in ("day", "week", "month", "year")] == [91, 104, 36, 5]
+    assert counts[("NEW", "day")] == 91
+    assert set(r.source for r in built.bronze.select("source").distinct().collect()) == {
+        "candles", "quote", "backcast day", "backcast week", "backcast month", "backcast year",
+    }
+    assert one(built.prices.filter("symbol = 'V' AND timeframe = 'day' AND time_index = date'2024-01-31'")).close_price == 50.0
+    assert quality.violations_unique(built.fact, ["id", "timeframe", "time_index"]).count() == 0
+    assert serve.symbol_predictions(built.prediction_fact, built.dim, "v").filter("fit_scope = 'full'").count() == 4 * 5 * 2 * 3
+    csv = spark.read.option("header", True).csv(f"{out}/export/predictions")
+    assert csv.filter(F.col("timeframe") == "week").count() > 0
+
+
+def test_batch_job_without_any_payload(spark, tmp_path):
+    built = batch.run(spark, str(tmp_path / "none"), str(tmp_path / "out"), TODAY)
+    assert built.prices.count() == 0 and built.predictions.count() == 0
+
+
+def test_symbol_selection(spark, tmp_path):
+    rows = [(s, json.dumps(dict(c=5.0))) for s in ("A", "B")]
+    spark.createDataFrame(rows, batch.PAYLOADS).write.parquet(str(tmp_path / "in/quotes"))
+    (long, projected), profiles = batch.sources(spark, str(tmp_path / "in"), TODAY, 5, "b,c")
+    assert long.count() == 0 and {r.symbol for r in projected.select("symbol").distinct().collect()} == {"B"}

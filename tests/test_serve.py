@@ -142,15 +142,16 @@ def test_tick_change_with_and_without_hot_symbols(spark, hot_rows):
     ]
 
 
-def test_hot_split_changes_nothing(spark):
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_hot_split_changes_nothing(spark, kind):
     df = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 50)).alias("symbol"),
-        F.timestamp_seconds(F.col("id") * 7).alias("ts"), (F.col("id") % 97).alias("seq"),
+        F.timestamp_seconds(F.col("id") * 7).alias("ts"), F.col("id").alias("seq"),
         F.round(F.rand(3) * 100, 2).alias("price"),
     )
-    stored = spark.createDataFrame(df.collect(), df.schema)
+    stored = spark.createDataFrame(df.collect(), df.schema).withColumn("ts", F.col("ts").cast(kind))
     a, b = live.tick_change(stored, 500), live.tick_change(stored, 10**9)
-    assert rows(a, "symbol", "ts") == rows(b, "symbol", "ts")
+    assert rows(a, "symbol", "ts", "seq") == rows(b, "symbol", "ts", "seq")
     assert a.count() == 5000
 
 
