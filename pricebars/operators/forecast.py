@@ -52,11 +52,8 @@ def ols_fit(series: DataFrame) -> DataFrame:
     """
     n = F.col("n").cast("double")  # n cubed does not fit an integer for long series
     sxy = _sum(F.transform("y", lambda y, i: (i - F.col("x_mean")) * (y - F.col("y_mean"))))
-
-    def residual(y: Column, i: Column) -> Column:
-        return y - (F.col("beta0") + F.col("beta1") * i)
-
-    ssr = _sum(F.transform("y", lambda y, i: residual(y, i) * residual(y, i)))
+    residuals = F.transform("y", lambda y, i: y - (F.col("beta0") + F.col("beta1") * i))
+    ssr = F.aggregate(residuals, F.lit(0.0), lambda total, r: total + r * r)
     raw = F.when(n > 2, divide(F.col("ssr"), n - 2)).otherwise(MIN_VARIANCE)
     return (
         _with_last(series)

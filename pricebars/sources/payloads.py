@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pricebars.functions.numeric import clean_double, zero_as_null
 from pricebars.functions.reference_data import DEFAULT_PROFILES, PROFILE_CATEGORY
 
+# Field names of the landed payloads.
 # Prices are read as text first: one bad number must become one NULL, not a rejected payload.
 _CANDLE = "s STRING, t ARRAY<STRING>, o ARRAY<STRING>, h ARRAY<STRING>, l ARRAY<STRING>, c ARRAY<STRING>"
 _QUOTE = "c STRING, o STRING, h STRING, l STRING, pc STRING"

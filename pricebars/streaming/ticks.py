@@ -31,7 +31,13 @@ STATE_SCHEMA = T.StructType(
 def tick_stream(
     spark: SparkSession, folder: str, files: str = "*.parquet", max_files: int | None = None
 ) -> DataFrame:
-    """Event files as a stream of ``event_id, symbol, ts, price``; watermarks need TIMESTAMP, hence the cast."""
+    """Event files as a stream of ``event_id, symbol, ts, price``.
+
+    Watermarks need TIMESTAMP, and the files hold times without a zone: the session has to be in UTC, or
+    days would begin at another hour than in the batch operators.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT"):
+        raise ValueError("set spark.sql.session.timeZone to UTC before streaming")
     reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", files)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

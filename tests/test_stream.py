@@ -70,6 +70,15 @@ def test_other_timeframes_have_no_window(spark, landed):
         stream_bars.stream_bars(ticks_of(spark, landed), "month")
 
 
+def test_streams_need_a_utc_session(spark, landed):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Phnom_Penh")
+    try:
+        with pytest.raises(ValueError):
+            ticks_of(spark, landed)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_append_gives_the_closed_windows_once(spark, landed, tmp_path):
     out = str(tmp_path / "o")
     stream_bars.closed_bars(ticks_of(spark, landed), out, str(tmp_path / "c")).awaitTermination()
