@@ -59,28 +59,40 @@ def model_report(evaluation: DataFrame) -> DataFrame:
     )
 
 
-def backtest(
+def holdout_forecast(
     series: DataFrame, test_size: int = TEST_SIZE, horizon: int = HORIZON, min_obs: int = MIN_OBS
-) -> tuple[DataFrame, DataFrame]:
-    """Forecasts refitted without the last ``test_size`` points, and the score of each hold-out point.
+) -> DataFrame:
+    """Forecasts refitted without the last ``test_size`` points of each eligible series."""
+    return forecast(split(eligible(series, min_obs), test_size), horizon, min_obs=1)
+
+
+def score(
+    predictions: DataFrame, series: DataFrame, test_size: int = TEST_SIZE, min_obs: int = MIN_OBS
+) -> DataFrame:
+    """Errors of hold-out forecasts at the points held out.
 
-    A hold-out point is scored when its date is one of the projected dates.  Training points and hold-out
-    travel in the same row, so scoring joins two small tables on the series key.
+    A point is scored when its date is one of the projected dates.  Both sides have a few rows per
+    series.  Fitting costs more than scoring: pass stored predictions when they are needed again.
     """
-    parts = split(eligible(series, min_obs), test_size)
-    predictions = forecast(parts, horizon, min_obs=1)
-    held = parts.select(*SERIES_KEY, F.explode("test").alias("p")).select(
+    held = split(eligible(series, min_obs), test_size).select(*SERIES_KEY, F.explode("test").alias("p")).select(
         *SERIES_KEY, F.col("p.time_index").alias("predicted_time"), F.col("p.value").alias("actual")
     )
     error = F.abs(F.col("actual") - F.col("predicted_value"))
-    scores = predictions.join(held, [*SERIES_KEY, "predicted_time"]).select(
+    return predictions.join(held, [*SERIES_KEY, "predicted_time"]).select(
         *SERIES_KEY, "model_name", "predicted_time", "actual", "predicted_value",
         F.round(error, 4).alias("mae"),
         F.round(error, 4).alias("rmse"),
         F.round(divide(error, F.abs("actual")) * 100, 4).alias("mape"),
         F.lit(None).cast("double").alias("r2"),
     )
-    return predictions, scores
+
+
+def backtest(
+    series: DataFrame, test_size: int = TEST_SIZE, horizon: int = HORIZON, min_obs: int = MIN_OBS
+) -> tuple[DataFrame, DataFrame]:
+    """Hold-out forecasts and their scores."""
+    predictions = holdout_forecast(series, test_size, horizon, min_obs)
+    return predictions, score(predictions, series, test_size, min_obs)
 
 
 def backtest_summary(scores: DataFrame) -> DataFrame:

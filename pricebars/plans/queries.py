@@ -14,7 +14,7 @@ from pricebars.functions.reference_data import CANONICAL_NAMES
 from pricebars.operators import (
     backcast, bars, evaluate, features, forecast, layers, live, quality, reshape, serve, series,
 )
-from pricebars.plans.warehouse import Warehouse, load, predict
+from pricebars.plans.warehouse import Warehouse, holdout_predictions, load, predict
 from pricebars.schema import BAR_KEY, BRONZE_COLUMNS, FACT_COLUMNS, INDICATORS, NOT_NULL, SERIES_KEY, SILVER_COLUMNS
 from pricebars.sources import payloads, store, tables
 from pricebars.streaming import bars as stream_bars
@@ -573,8 +573,8 @@ def model_report(spark, folder):
 
 @_query
 def run_metrics(spark, folder):
-    points = _series(spark, folder)
-    return evaluate.run_metrics(points, *evaluate.backtest(points)).drop("avg_r2")
+    points, predictions = _series(spark, folder), holdout_predictions(warehouse(spark, folder))
+    return evaluate.run_metrics(points, predictions, evaluate.score(predictions, points)).drop("avg_r2")
 
 
 @_query

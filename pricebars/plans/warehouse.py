@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pricebars.operators import evaluate, features, forecast, layers, reshape, serve, series
 from pricebars.schema import (
-    BRONZE_SCHEMA, DIM_SCHEMA, FACT_SCHEMA, MODELS, PREDICTION_SCHEMA, SILVER_SCHEMA, TEST_SIZE,
+    BRONZE_SCHEMA, DIM_SCHEMA, FACT_SCHEMA, PREDICTION_SCHEMA, SERIES_KEY, SILVER_SCHEMA, TEST_SIZE,
 )
 from pricebars.sources import store
 from pricebars.sources.tables import read_or_empty
@@ -80,17 +80,24 @@ def load(
 def predict(warehouse: Warehouse, run_at: datetime, test_size: int = TEST_SIZE) -> None:
     """Fit both models on the whole history and without the hold-out, and write both sets of forecasts."""
     points = series.to_series(warehouse.prices)
-    held_out, _ = evaluate.backtest(points, test_size)
     rows = (
         forecast.forecast(points).withColumn("fit_scope", F.lit("full"))
-        .unionByName(held_out.withColumn("fit_scope", F.lit("holdout")))
+        .unionByName(evaluate.holdout_forecast(points, test_size).withColumn("fit_scope", F.lit("holdout")))
     )
     fact = layers.prediction_fact(store.materialise(rows, "predictions"), warehouse.dim, run_at)
     store.write_served(fact, f"{warehouse.root}/gold/predictions", ["id", "indicator", "model_name"])
 
 
-def export(warehouse: Warehouse, folder: str) -> None:
-    """Hold-out forecasts and their scores as CSV, one folder per model and timeframe."""
-    predictions, scores = evaluate.backtest(series.to_series(warehouse.prices))
-    store.export_csv(predictions.filter(F.col("model_name").isin(MODELS)), f"{folder}/predictions")
+def holdout_predictions(warehouse: Warehouse) -> DataFrame:
+    rows = warehouse.predictions.filter(F.col("fit_scope") == "holdout")
+    return rows.select(
+        *SERIES_KEY, "model_name", "predicted_time", "predicted_value", "confidence_low", "confidence_high"
+    )
+
+
+def export(warehouse: Warehouse, folder: str, test_size: int = TEST_SIZE) -> None:
+    """Stored hold-out forecasts and their scores as CSV, one folder per model and timeframe."""
+    predictions = holdout_predictions(warehouse)
+    scores = evaluate.score(predictions, series.to_series(warehouse.prices), test_size)
+    store.export_csv(predictions, f"{folder}/predictions")
     store.export_csv(scores, f"{folder}/metrics")

@@ -23,3 +23,13 @@ def current(spark: SparkSession, path: str, schema: T.StructType, keys: list[str
         all_batches(spark, path, schema).groupBy(*keys).agg(newest)
         .select(*keys, "newest.row.*").select(*schema.names)
     )
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], target: str) -> None:
+    """Write the last version of each key to a new folder, which readers and the stream's next run can use.
+
+    Done between runs of the stream: old versions pile up under ``path`` and slow readers down.
+    """
+    newest = all_batches(spark, path, schema).agg(F.max("batch")).first()[0]
+    if newest is not None:
+        write_batch(current(spark, path, schema, keys), target, newest)

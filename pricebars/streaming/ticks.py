@@ -27,6 +27,15 @@ STATE_SCHEMA = T.StructType(
     ]
 )
 
+CHANGE_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        *STATE_SCHEMA.fields,
+        T.StructField("tick_change", T.DoubleType()),
+        T.StructField("tick_status", T.StringType()),
+    ]
+)
+
 
 def tick_stream(
     spark: SparkSession, folder: str, files: str = "*.parquet", max_files: int | None = None
@@ -63,15 +72,15 @@ def late_rows(query: StreamingQuery) -> int:
     )
 
 
-def _last_ticks(ticks: DataFrame) -> DataFrame:
+def last_ticks(ticks: DataFrame) -> DataFrame:
     return (
-        ticks.groupBy("symbol").agg(F.max(F.struct("ts", "price")).alias("t"))
+        ticks.groupBy("symbol").agg(F.max(F.struct("ts", "event_id", "price")).alias("t"))
         .select("symbol", "t.ts", "t.price")
     )
 
 
-def change_batch(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Tick changes of one micro-batch, and the last tick per symbol after it.
+def change_batch(batch: DataFrame, state: DataFrame) -> DataFrame:
+    """Tick changes of one micro-batch.
 
     ``state`` has the last tick of each symbol so far.  A tick older than that is reported as ``late``
     and changes nothing.  The state rows join the batch as its earliest ticks, so the batch operator
@@ -91,7 +100,7 @@ def change_batch(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFra
     # The event id orders ticks that share a time stamp; a state row has none and comes first.
     numbered = fresh.unionByName(seeds).withColumn("seq", F.coalesce("event_id", F.lit(-1)))
     changes = tick_change(numbered).filter(F.col("event_id").isNotNull()).drop("seq")
-    return changes.unionByName(late), _last_ticks(state.unionByName(fresh.select(*STATE_SCHEMA.names)))
+    return changes.unionByName(late)
 
 
 def stream_tick_change(ticks: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
@@ -105,21 +114,13 @@ def stream_tick_change(ticks: DataFrame, out: str, checkpoint: str) -> Streaming
         state = read_or_empty(spark, f"{out}/state/{(batch_id + 1) % 2}", STATE_SCHEMA)
         if batch_id == 0:
             state = spark.createDataFrame([], STATE_SCHEMA)
-        changes, after = change_batch(batch, state)
-        write_batch(changes, f"{out}/changes", batch_id)
-        after.write.mode("overwrite").parquet(f"{out}/state/{batch_id % 2}")
+        write_batch(change_batch(batch, state), f"{out}/changes", batch_id)
+        written = spark.read.schema(CHANGE_SCHEMA).parquet(f"{out}/changes/batch={batch_id}")
+        fresh = written.filter(F.col("tick_status") != "late").select("event_id", *STATE_SCHEMA.names)
+        known = state.withColumn("event_id", F.lit(None).cast("bigint"))
+        last_ticks(known.unionByName(fresh)).write.mode("overwrite").parquet(f"{out}/state/{batch_id % 2}")
 
     return (
         ticks.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
-
-
-CHANGE_SCHEMA = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        *STATE_SCHEMA.fields,
-        T.StructField("tick_change", T.DoubleType()),
-        T.StructField("tick_status", T.StringType()),
-    ]
-)

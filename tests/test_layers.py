@@ -111,3 +111,20 @@ def test_quality_finds_planted_violations(spark):
     assert rows(quality.violations_length(df, {"v": 3}), "column_name") == [("v", 1)]
     table = quality.all_violations({"u": quality.violations_unique(df, ["k", "v"]), "f": quality.violations_fk(df, parent, "k", "id")})
     assert rows(table, "check_name") == [("f", "2", 1), ("u", "1|a", 2)]
+
+
+def test_query_warehouse_is_rebuilt_when_tables_change(spark, tmp_path):
+    from pricebars.plans import queries
+    from pricebars.sources.tables import table
+
+    folder = str(tmp_path / "tables")
+    for name in ("customer", "nation", "region"):
+        table(spark, "/root/testdata/sf0.001", name).write.parquet(f"{folder}/{name}.parquet")
+    orders = table(spark, "/root/testdata/sf0.001", "orders")
+    orders.filter("o_orderdate >= timestamp_ntz'2000-01-01'").write.parquet(f"{folder}/orders.parquet")
+    first = queries.warehouse(spark, folder)
+    assert queries.warehouse(spark, folder) is first
+    orders.filter("o_orderdate < timestamp_ntz'2000-01-01'").write.mode("append").parquet(f"{folder}/orders.parquet")
+    second = queries.warehouse(spark, folder)
+    assert second is not first
+    assert second.fact.count() == queries.warehouse(spark, "/root/testdata/sf0.001").fact.count() > first.fact.count()

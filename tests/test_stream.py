@@ -168,3 +168,16 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
         stream_tables.write_batch(spark.range(3), path, 4)
     assert stream_tables.all_batches(spark, path, schema).count() == 3
     assert stream_tables.all_batches(spark, str(tmp_path / "none"), schema).count() == 0
+
+
+def test_compaction_keeps_the_last_versions(spark, tmp_path):
+    path, target = str(tmp_path / "t"), str(tmp_path / "u")
+    df = lambda *data: spark.createDataFrame(data, "k STRING, v INT")
+    stream_tables.write_batch(df(("a", 1), ("b", 1)), path, 0)
+    stream_tables.write_batch(df(("a", 2), ("c", 2)), path, 1)
+    schema = df(("a", 1)).schema
+    stream_tables.compact(spark, path, schema, ["k"], target)
+    stream_tables.write_batch(df(("c", 3)), target, 2)
+    assert rows(stream_tables.current(spark, target, schema, ["k"]), "k") == [("a", 2), ("b", 1), ("c", 3)]
+    stream_tables.compact(spark, str(tmp_path / "none"), schema, ["k"], str(tmp_path / "v"))
+    assert stream_tables.all_batches(spark, str(tmp_path / "v"), schema).count() == 0
