@@ -2,8 +2,8 @@
 
     spark-submit pricebars/plans/batch.py --landing DIR --out DIR --today 2024-01-31 [--years 5] [--symbols A,B]
 
-``DIR/candles``, ``DIR/quotes`` and ``DIR/profiles`` hold Parquet tables ``symbol, payload``; a missing one
-counts as empty.  Symbols without usable candles take their quote and a back-cast history.
+``DIR/candles``, ``DIR/quotes`` and ``DIR/profiles`` hold Parquet tables ``symbol, payload[, landed_at]``; a
+missing one counts as empty, and the newest payload of a symbol counts.  Symbols without usable candles take their quote and a back-cast history.
 """
 
 import argparse
@@ -24,14 +24,21 @@ from pricebars.plans.warehouse import Warehouse, export, load, predict  # noqa:
 from pricebars.schema import BRONZE_COLUMNS, TIMEFRAMES  # noqa: E402
 from pricebars.sources import payloads, store, tables  # noqa: E402
 
-PAYLOADS = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("payload", T.StringType())])
+PAYLOADS = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("payload", T.StringType()),
+        T.StructField("landed_at", T.TimestampType()),
+    ]
+)
 
 
 def sources(spark: SparkSession, landing: str, today: date, years: int, symbols: str | None):
     """Long rows of candles and of back-cast quotes, and the profiles of all symbols."""
     def landed(name: str) -> DataFrame:
         rows = tables.read_or_empty(spark, f"{landing}/{name}", PAYLOADS)
-        return rows.filter(F.col("symbol").isin(symbol_list(symbols))) if symbols else rows
+        wanted = rows.filter(F.col("symbol").isin(symbol_list(symbols))) if symbols else rows
+        return payloads.newest_payloads(wanted)
 
     candles, quotes = landed("candles"), landed("quotes")
     profiles = store.materialise(

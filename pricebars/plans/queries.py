@@ -119,7 +119,7 @@ def profile_fallback(spark, folder):
         F.struct(
             text(rich, F.col("c_name")).alias("name"),
             F.when(known, F.concat(F.lit("T"), F.col("c_custkey"))).alias("ticker"),
-            F.when(rich, F.col("c_mktsegment")).alias("finnhubIndustry"),
+            F.when(rich, F.col("c_mktsegment")).alias("vendorIndustry"),
             text(known, F.col("n_name")).alias("exchange"),
         )
     )

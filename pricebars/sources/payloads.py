@@ -6,11 +6,20 @@ from pyspark.sql import functions as F
 from pricebars.functions.numeric import clean_double, zero_as_null
 from pricebars.functions.reference_data import DEFAULT_PROFILES, PROFILE_CATEGORY
 
-# Field names of the landed payloads.
+# Field names and formats of the landed payloads.
 # Prices are read as text first: one bad number must become one NULL, not a rejected payload.
 _CANDLE = "s STRING, t ARRAY<STRING>, o ARRAY<STRING>, h ARRAY<STRING>, l ARRAY<STRING>, c ARRAY<STRING>"
 _QUOTE = "c STRING, o STRING, h STRING, l STRING, pc STRING"
-_PROFILE = "name STRING, ticker STRING, finnhubIndustry STRING, exchange STRING"
+_PROFILE = "MAP<STRING, STRING>"  # vendors prefix the industry field with their name
+
+
+def newest_payloads(landed: DataFrame) -> DataFrame:
+    """``symbol, landed_at, payload`` -> the newest payload of each symbol.
+
+    Reduced on the map side: a symbol that has landed many times sends one payload per split.
+    """
+    newest = F.max(F.struct("landed_at", "payload")).alias("n")
+    return landed.groupBy("symbol").agg(newest).select("symbol", "n.payload")
 
 
 def explode_candles(payloads: DataFrame) -> DataFrame:
@@ -101,18 +110,22 @@ def resolve_profile(symbols: DataFrame, payloads: DataFrame, defaults: DataFrame
     profile = payloads.select("symbol", F.from_json("payload", _PROFILE).alias("p"))
     known = defaults.select("symbol", F.col("name").alias("d_name"), F.col("category").alias("d_category"))
 
-    def text(column: str) -> Column:
-        return F.nullif(F.col(column), F.lit(""))
+    def text(column: Column) -> Column:
+        return F.nullif(column, F.lit(""))
+
+    def field(name: str) -> Column:
+        return text(F.try_element_at("p", F.lit(name)))
 
+    industries = F.map_values(F.map_filter("p", lambda k, v: F.lower(k).endswith("industry") & (v != "")))
     return (
         symbols.select("symbol").distinct()
         .join(profile, "symbol", "left")
         .join(known, "symbol", "left")
         .select(
             "symbol",
-            F.coalesce(text("p.name"), text("p.ticker"), text("d_name"), F.col("symbol")).alias("name"),
+            F.coalesce(field("name"), field("ticker"), text(F.col("d_name")), F.col("symbol")).alias("name"),
             F.coalesce(
-                text("p.finnhubIndustry"), text("p.exchange"), text("d_category"), F.lit(PROFILE_CATEGORY)
+                F.get(industries, F.lit(0)), field("exchange"), text(F.col("d_category")), F.lit(PROFILE_CATEGORY)
             ).alias("category"),
         )
     )

@@ -1,6 +1,6 @@
 import json
 
-from helpers import D, one
+from helpers import D, TS, one
 from pyspark.sql import functions as F
 
 from pricebars.operators import quality, serve
@@ -13,8 +13,9 @@ def test_batch_job(spark, tmp_path):
     landing, out = str(tmp_path / "in"), str(tmp_path / "out")
 
     def land(name, data):
-        rows = [(s, json.dumps(p)) for s, p in data.items()]
-        spark.createDataFrame(rows, batch.PAYLOADS).write.parquet(f"{landing}/{name}")
+        rows = [(s, json.dumps(p), TS("2024-01-31T00:00:00")) for s, p in data.items()]
+        old = [(s, json.dumps(dict(s="ok", c=7.0, name="old")), TS("2024-01-30T00:00:00")) for s in data]
+        spark.createDataFrame(rows + old, batch.PAYLOADS).repartition(3).write.parquet(f"{landing}/{name}")
 
     days = [19700 + i for i in range(40)] + [10000]  # 2023-12-09 ..., and one far before the window
     land("candles", {
@@ -51,6 +52,6 @@ def test_batch_job_without_any_payload(spark, tmp_path):
 
 def test_symbol_selection(spark, tmp_path):
     rows = [(s, json.dumps(dict(c=5.0))) for s in ("A", "B")]
-    spark.createDataFrame(rows, batch.PAYLOADS).write.parquet(str(tmp_path / "in/quotes"))
+    spark.createDataFrame(rows, "symbol STRING, payload STRING").write.parquet(str(tmp_path / "in/quotes"))
     (long, projected), profiles = batch.sources(spark, str(tmp_path / "in"), TODAY, 5, "b,c")
     assert long.count() == 0 and {r.symbol for r in projected.select("symbol").distinct().collect()} == {"B"}

@@ -80,6 +80,11 @@ def test_latest_kpi_and_sectors(prices):
     assert rows(serve.sector_breakdown(latest), "category") == [("X", 2), ("Y", 1)]
 
 
+def test_live_quote(spark):
+    df = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "symbol STRING, latest_price DOUBLE")
+    assert one(serve.live_quote(df, "b")).latest_price == 2.0
+
+
 def test_lists(gold):
     assert [r.symbol for r in serve.list_symbols(gold[1]).collect()] == ["AAA", "BBB", "CCC"]
     assert [r.category for r in serve.categories(gold[1]).collect()] == ["X", "Y"]
@@ -158,6 +163,8 @@ def test_hot_split_changes_nothing(spark, kind):
 def test_recent_ticks(spark):
     df = ticks(spark, ("A", "10:00:00", 1.0), ("A", "10:00:30", 3.0), ("B", "10:00:10", 5.0))
     assert [r.price for r in live.recent_ticks(df, 2).collect()] == [3.0, 5.0]
+    plan = live.recent_ticks_per_symbol(df, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
     assert rows(live.recent_ticks_per_symbol(df, 1).select("symbol", "price"), "symbol") == [("A", 3.0), ("B", 5.0)]
 
 

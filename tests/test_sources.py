@@ -90,7 +90,7 @@ def test_profile_fallbacks(spark):
     symbols = spark.createDataFrame([(s,) for s in "ABCDE"], "symbol STRING")
     landed = spark.createDataFrame(
         [
-            ("A", json.dumps(dict(name="Alpha", ticker="AA", finnhubIndustry="Tech", exchange="X"))),
+            ("A", json.dumps(dict(name="Alpha", ticker="AA", industry="Tech", exchange="X"))),
             ("B", json.dumps(dict(name="", ticker="BB", exchange="X"))),
             ("C", json.dumps({})),
             ("D", "broken"),
