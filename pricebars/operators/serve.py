@@ -1,6 +1,7 @@
 """The questions users ask of the gold layer.  Every answer is a DataFrame over the Parquet tables."""
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pricebars.functions.text import matches, symbol_list
 from pricebars.schema import FEATURES, INDICATORS, RANKABLE
 
 LABELS = ["symbol", "name", "category"]
+LOOKUPS = 16  # symbols that are worth a subquery each
 SUMMARY = [*LABELS, "timeframe", "time_index", "close_price", "price_change_pct", "price_trend", "volatility_level"]
 
 
@@ -25,10 +27,16 @@ def predictions(preds: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def _only_symbol(table: DataFrame, dim: DataFrame, symbol: str) -> DataFrame:
-    """Rows of one symbol.  The id is looked up first, so that the scan gets it as a pushed-down filter."""
-    wanted = dim.filter(F.col("symbol") == symbol.upper()).select("id")
-    return table.filter(F.col("id") == wanted.scalar())
+def only_symbols(table: DataFrame, dim: DataFrame, symbols: list[str]) -> DataFrame:
+    """Rows of a few symbols.
+
+    The ids are looked up first, in scalar subqueries, so that the scan gets them as a pushed-down
+    filter and skips row groups.  Long lists go through a join instead.
+    """
+    if len(symbols) > LOOKUPS:
+        return table.join(dim.filter(F.col("symbol").isin(symbols)).select("id"), "id", "left_semi")
+    ids = [F.col("id") == dim.filter(F.col("symbol") == s).select("id").scalar() for s in symbols]
+    return table.filter(reduce(lambda a, b: a | b, ids))
 
 
 def live_quote(snapshots: DataFrame, symbol: str) -> DataFrame:
@@ -58,11 +66,11 @@ def prices_filtered(
 
 
 def price_history(fact: DataFrame, dim: DataFrame, symbol: str) -> DataFrame:
-    return prices(_only_symbol(fact, dim, symbol), dim).orderBy(F.desc("time_index"), "timeframe")
+    return prices(only_symbols(fact, dim, [symbol.upper()]), dim).orderBy(F.desc("time_index"), "timeframe")
 
 
 def symbol_predictions(preds: DataFrame, dim: DataFrame, symbol: str, model: str | None = None) -> DataFrame:
-    rows = predictions(_only_symbol(preds, dim, symbol), dim)
+    rows = predictions(only_symbols(preds, dim, [symbol.upper()]), dim)
     if model:
         rows = rows.filter(F.col("model_name") == model)
     return rows.orderBy("indicator", "model_name", "timeframe", "predicted_time")
@@ -94,12 +102,12 @@ def top_n(
     )
 
 
-def compare(prices: DataFrame, symbols: str) -> DataFrame:
+def compare(fact: DataFrame, dim: DataFrame, symbols: str) -> DataFrame:
     names = symbol_list(symbols) if symbols.strip() else []
     if not names:
         raise ValueError("give at least one symbol")
     return (
-        prices.filter(F.col("symbol").isin(names)).select(*SUMMARY)
+        prices(only_symbols(fact, dim, names), dim).select(*SUMMARY)
         .orderBy("symbol", F.desc("time_index"), "timeframe")
     )
 
@@ -163,21 +171,22 @@ def sector_breakdown(latest: DataFrame) -> DataFrame:
 
 
 def forecast_view(
-    prices: DataFrame, preds: DataFrame, symbol: str, timeframe: str, indicator: str, model: str
+    fact: DataFrame, preds: DataFrame, dim: DataFrame, symbol: str, timeframe: str, indicator: str, model: str
 ) -> DataFrame:
     """History, a zero-width bridge at its last point, and the forecast, as one table with ``part``.
 
     Without any forecast rows there is nothing to bridge to, and only the history is returned.
     """
-    history = prices.filter((F.col("symbol") == symbol) & (F.col("timeframe") == timeframe)).select(
+    history = only_symbols(fact.filter(F.col("timeframe") == timeframe), dim, [symbol]).select(
         F.col("time_index").alias("time"), F.col(indicator).alias("value")
     )
-    ahead = preds.filter(
-        (F.col("symbol") == symbol) & (F.col("timeframe") == timeframe)
-        & (F.col("indicator") == indicator) & (F.col("model_name") == model)
-    ).select(
+    wanted = preds.filter(
+        (F.col("timeframe") == timeframe) & (F.col("indicator") == indicator) & (F.col("model_name") == model)
+    )
+    values = {"value": "predicted_value", "confidence_low": "confidence_low", "confidence_high": "confidence_high"}
+    ahead = only_symbols(wanted, dim, [symbol]).select(
         F.lit("forecast").alias("part"), F.col("predicted_time").alias("time"),
-        F.col("predicted_value").alias("value"), "confidence_low", "confidence_high",
+        *[F.col(column).cast("double").alias(name) for name, column in values.items()],
     )
     last = history.agg(F.max(F.struct("time", "value")).alias("p")).filter(F.col("p").isNotNull())
     bridge = last.select(

@@ -54,7 +54,7 @@ def sources(spark: SparkSession, landing: str, today: date, years: int, symbols:
     quoted = payloads.quote_snapshot(quotes.join(profiles.select("symbol", "name"), "symbol"), F.lit(today))
     projected = backcast.backcast(backcast.symbols_without_history(quoted, daily), today, years)
     from_candles = (
-        reshape.to_long(history).join(profiles.select("symbol", "name"), "symbol")
+        reshape.to_long(history.join(profiles.select("symbol", "name"), "symbol"))
         .withColumn("source", F.lit("candles")).select(*BRONZE_COLUMNS)
     )
     return [from_candles, reshape.to_long(projected).select(*BRONZE_COLUMNS)], profiles

@@ -43,8 +43,8 @@ def queries() -> dict[str, Query]:
 
 
 def _long(rows: DataFrame, profiles: DataFrame, source: str) -> DataFrame:
-    named = reshape.to_long(rows).join(profiles.select("symbol", "name"), "symbol", "left")
-    return named.withColumn("source", F.lit(source)).select(*BRONZE_COLUMNS)
+    named = rows.join(profiles.select("symbol", "name"), "symbol", "left")
+    return reshape.to_long(named).withColumn("source", F.lit(source)).select(*BRONZE_COLUMNS)
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
@@ -379,7 +379,8 @@ def top_n(spark, folder):
 
 @_query
 def compare_symbols(spark, folder):
-    return serve.compare(warehouse(spark, folder).prices, COMPARE)
+    built = warehouse(spark, folder)
+    return serve.compare(built.fact, built.dim, COMPARE)
 
 
 @_query
@@ -404,7 +405,7 @@ def date_range_filter(spark, folder):
 
 @_query
 def date_domain(spark, folder):
-    return serve.date_domain(warehouse(spark, folder).prices, "week")
+    return serve.date_domain(warehouse(spark, folder).fact, "week")
 
 
 @_query
@@ -433,8 +434,8 @@ def forecast_spread(spark, folder):
 @_query
 def forecast_bridge(spark, folder):
     built = warehouse(spark, folder)
-    full = built.predictions.filter(F.col("fit_scope") == "full")
-    return serve.forecast_view(built.prices, full, SYMBOL, "month", "close_price", "holt_smoothing")
+    full = built.prediction_fact.filter(F.col("fit_scope") == "full")
+    return serve.forecast_view(built.fact, full, built.dim, SYMBOL, "month", "close_price", "holt_smoothing")
 
 
 # --- live -------------------------------------------------------------------

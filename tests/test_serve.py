@@ -42,9 +42,11 @@ def test_filters(prices):
 def test_symbol_lookup(gold, prices):
     assert keys(serve.price_history(*gold, "aaa")) == [("AAA", "2024-01-02"), ("AAA", "2024-01-01")]
     assert serve.price_history(*gold, "nope").count() == 0
-    assert keys(serve.compare(prices, " ccc,aaa,,")) == [("AAA", "2024-01-02"), ("AAA", "2024-01-01"), ("CCC", "2024-01-01")]
+    assert keys(serve.compare(*gold, " ccc,aaa,,")) == [("AAA", "2024-01-02"), ("AAA", "2024-01-01"), ("CCC", "2024-01-01")]
     with pytest.raises(ValueError):
-        serve.compare(prices, " , ")
+        serve.compare(*gold, " , ")
+    many = ",".join(["aaa", "ccc", *[f"x{i}" for i in range(20)]])
+    assert serve.compare(*gold, many).count() == 3
     assert {r.symbol for r in serve.default_compare(prices, 2).collect()} == {"AAA", "BBB"}
 
 
@@ -103,16 +105,16 @@ def test_predictions_and_forecast_view(spark, gold, prices):
     )
     assert serve.symbol_predictions(preds, gold[1], "aaa").count() == 2
     assert one(serve.symbol_predictions(preds, gold[1], "aaa", "linear_trend")).predicted_value == 14.0
-    named = serve.predictions(preds, gold[1])
-    view = serve.forecast_view(prices, named, "AAA", "day", "close_price", "linear_trend")
+    fact, dim = gold
+    view = serve.forecast_view(fact, preds, dim, "AAA", "day", "close_price", "linear_trend")
     assert rows(view, "time", "part") == [
         ("history", D("2024-01-01"), 10.0, None, None, None),
         ("bridge", D("2024-01-02"), 12.0, 12.0, 12.0, 0.0),
         ("history", D("2024-01-02"), 12.0, None, None, None),
         ("forecast", D("2024-01-03"), 14.0, 13.0, 16.0, 21.4286),
     ]
-    assert serve.forecast_view(prices, named, "BBB", "day", "close_price", "linear_trend").count() == 2
-    assert serve.forecast_view(prices, named, "ZZZ", "day", "close_price", "linear_trend").count() == 0
+    assert serve.forecast_view(fact, preds, dim, "BBB", "day", "close_price", "linear_trend").count() == 2
+    assert serve.forecast_view(fact, preds, dim, "ZZZ", "day", "close_price", "linear_trend").count() == 0
 
 
 def test_lookup_pushes_the_id_to_the_scan(spark, gold, tmp_path):
@@ -122,6 +124,8 @@ def test_lookup_pushes_the_id_to_the_scan(spark, gold, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "fact")), spark.read.parquet(str(tmp_path / "dim"))
     plan = serve.price_history(*stored, "aaa")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(id,ScalarSubquery" in plan
+    plan = serve.compare(*stored, "aaa,bbb")._jdf.queryExecution().executedPlan().toString()
+    assert "Or(EqualTo(id,ScalarSubquery" in plan
 
 
 def test_local_time(spark):
