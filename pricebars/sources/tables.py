@@ -11,8 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table; its schema is read from the files once per application, not by a job in every query."""
+    path = f"{folder}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def fingerprint(spark: SparkSession, folder: str, names: list[str]) -> tuple:
