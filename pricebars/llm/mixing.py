@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricebars.llm.text import WORD
+from pricebars.sources.store import materialise
 
 #: Weights of the sources in code-point order (null last), repeating.
 WEIGHTS = (3, 1, 2)
@@ -69,7 +70,7 @@ def copies(docs: DataFrame, found: DataFrame, seed: str = SEED) -> DataFrame:
     names are replaced.
     """
     new = ["source_size", "target", "rate", "copies"]
-    found = found.withColumnRenamed("source", "_of")
+    found = materialise(found.withColumnRenamed("source", "_of"), "rates")
     if found.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         found = F.broadcast(found)
     joined = docs.drop(*new).join(found, F.col("source").eqNullSafe(F.col("_of")), "left").drop("_of")

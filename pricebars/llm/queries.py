@@ -5,8 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebars.llm import mixing, simhash
-from pricebars.llm.text import read
+from pricebars.llm import mixing, quality, simhash, token_files, toxicity, urls
+from pricebars.llm.text import read, remainder
+from pricebars.sources.store import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -66,3 +67,34 @@ FROM rated
 def op7_simhash(spark, sf_dir):
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
+def _judged(spark, sf_dir, kind, least):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = kind.score(docs, kind.fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", (remainder() == 0).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted")
+    )
+
+
+@_query
+def op1_toxicity(spark, sf_dir):
+    return _judged(spark, sf_dir, toxicity, 0.5)
+
+
+@_query
+def op5_quality(spark, sf_dir):
+    return _judged(spark, sf_dir, quality, 0.3)
+
+
+@_query
+def op4_token_files(spark, sf_dir):
+    path = new_folder(spark, "tokens")
+    token_files.write(read(spark, sf_dir, "documents"), path)
+    return token_files.digest(spark, path)
+
+
+@_query
+def op8_urls(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.fit()).select("page_id", "host", "path", "rule", "verdict", "score")

@@ -7,7 +7,7 @@ partition, are compared there, and leave as a spanning forest rather than as pai
 ``RUN`` fingerprints is dealt out again in cells of two chunks, so that no task holds it.
 """
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from itertools import combinations, repeat
 
 import numpy as np
@@ -47,15 +47,14 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view(np.int64)[0])
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [fingerprint(t) for t in texts(batch.column("text"))]
-        yield pa.record_batch({"doc_id": batch.column("doc_id"), "fp": pa.array(found, pa.int64())})
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, fp`` of every row; a null text has no words."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_fingerprints, "doc_id long, fp long")
+
+    @F.arrow_udf("long")
+    def prints(column: pa.Array) -> pa.Array:
+        return pa.array([fingerprint(t) for t in texts(column)], pa.int64())
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), prints("text").alias("fp"))
 
 
 def masks(bits: tuple[int, ...] = BLOCK_BITS, distance: int = DISTANCE) -> list[int]:
