@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebars.llm import mixing, quality, simhash, token_files, toxicity, urls
+from pricebars.llm import decontamination, mixing, quality, simhash, token_files, toxicity, urls
 from pricebars.llm.text import read, remainder
 from pricebars.sources.store import new_folder
 
@@ -98,3 +98,9 @@ def op4_token_files(spark, sf_dir):
 def op8_urls(spark, sf_dir):
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, urls.fit()).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@_query
+def op10_decontamination(spark, sf_dir):
+    docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return decontamination.matches(docs, benchmark)
