@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebars.llm import decontamination, mixing, quality, simhash, token_files, toxicity, urls
+from pricebars.llm import (
+    decontamination, embeddings, language_model, mixing, quality, simhash, token_files, toxicity, urls,
+)
 from pricebars.llm.text import read, remainder
 from pricebars.sources.store import new_folder
 
@@ -104,3 +106,17 @@ def op8_urls(spark, sf_dir):
 def op10_decontamination(spark, sf_dir):
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     return decontamination.matches(docs, benchmark)
+
+
+@_query
+def op2_language_model(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").withColumn("training", remainder() != 1)
+    scored = language_model.score(docs)
+    return scored.withColumn("held_out", remainder() == 1).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+@_query
+def op3_embeddings(spark, sf_dir):
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
