@@ -42,7 +42,8 @@ def codes(units: np.ndarray) -> np.ndarray:
     draw = np.random.default_rng(SEED)
     a, b = draw.standard_normal((units.shape[1], TABLES * CELLS)), draw.uniform(0, WIDTH, TABLES * CELLS)
     cell = np.floor((units @ a + b) / WIDTH).astype(np.int64).reshape(len(units), TABLES, CELLS).view(np.uint64)
-    h = np.repeat(np.arange(1, TABLES + 1, dtype=np.uint64)[None, :], len(units), axis=0)
+    table = np.arange(1, TABLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # tables share no hash
+    h = np.repeat(table[None, :], len(units), axis=0)
     for i in range(CELLS):
         h = (h ^ cell[:, :, i]) * np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
