@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricebars.llm import (
-    decontamination, embeddings, language_model, mixing, quality, simhash, token_files, toxicity, urls,
+    decontamination, embeddings, language_model, mixing, quality, simhash, suffixes, token_files, toxicity,
+    urls,
 )
 from pricebars.llm.text import read, remainder
 from pricebars.sources.store import new_folder
@@ -120,3 +121,9 @@ def op2_language_model(spark, sf_dir):
 @_query
 def op3_embeddings(spark, sf_dir):
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op9_suffixes(spark, sf_dir):
+    found = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
