@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricebars.llm.graph import components
+from pricebars.llm.runs import bounds, forest, runs
 from pricebars.llm.text import texts, words
 from pricebars.sources.store import materialise
 
@@ -25,8 +26,8 @@ SHINGLE = 3
 SEED = 42
 DISTANCE = 3
 BLOCK_BITS = (11, 11, 11, 11, 10, 10)
-#: Fingerprints of a key that are compared in one go: 4 million comparisons, 32 MB.
-RUN = 2048
+#: Fingerprints of a key that are compared in one go: a million comparisons, 8 MB.
+RUN = 1024
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -65,18 +66,6 @@ def masks(bits: tuple[int, ...] = BLOCK_BITS, distance: int = DISTANCE) -> list[
     return [m - (1 << 64) if m >> 63 else m for m in chosen]
 
 
-def forest(near: np.ndarray) -> np.ndarray:
-    """For each row of a symmetric link matrix the first row of its component."""
-    label = np.arange(len(near))
-    while True:
-        lower = np.where(near, label[None, :], len(near)).min(axis=1)
-        lower = np.minimum(label, lower)
-        lower = np.minimum(lower, lower[lower])
-        if np.array_equal(lower, label):
-            return label
-        label = lower
-
-
 def _near(fp: np.ndarray, distance: int) -> np.ndarray:
     return np.bitwise_count(fp[:, None] ^ fp[None, :]) <= distance
 
@@ -84,63 +73,36 @@ def _near(fp: np.ndarray, distance: int) -> np.ndarray:
 def _links(distance: int, run: int) -> Callable:
     """Links of sorted ``key, fp, rep`` rows: ``a, b`` are linked, or ``b`` is null and ``key, fp, a`` are put off."""
 
-    def of_runs(key, fp, rep):
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        sizes = np.diff(np.r_[starts, len(key)])
-        two = starts[sizes == 2]
-        two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= distance]
-        a, b = [rep[two]], [rep[two + 1]]
-        for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-            if size <= run:
+    def links(batches):
+        for table, late in runs(batches, run):
+            key, fp, rep = (table.column(c).to_numpy() for c in ("key", "fp", "rep"))
+            if late:
+                yield _rows(key, fp, rep, None)
+                continue
+            starts, sizes = bounds(table)
+            two = starts[sizes == 2]
+            two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= distance]
+            a, b = [rep[two]], [rep[two + 1]]
+            for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
                 part = slice(start, start + size)
                 first = forest(_near(fp[part], distance))
                 linked = np.flatnonzero(first != np.arange(size))
                 a.append(rep[part][linked])
                 b.append(rep[part][first[linked]])
-        a, b = np.concatenate(a), np.concatenate(b)
-        off = np.repeat(sizes > run, sizes)
-        none = pa.nulls(int(off.sum()), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(key[off])]),
-                pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(fp[off])]),
-                pa.array(np.r_[a, rep[off]]),
-                pa.concat_arrays([pa.array(b), none]),
-            ],
-            names=["key", "fp", "a", "b"],
-        )
-
-    def links(batches):
-        """A run that goes on in the next batch waits for it, unless it is over ``run`` long already."""
-        held = [np.empty(0, np.int64)] * 3
-        hot = None  # the key whose rows are being put off
-        for batch in batches:
-            new = [batch.column(c).to_numpy() for c in ("key", "fp", "rep")]
-            key, fp, rep = (np.concatenate(x) for x in zip(held, new))
-            if not len(key):
-                continue
-            last = int(np.searchsorted(key, key[-1]))
-            if len(key) - last > run or hot == key[-1]:
-                hot, last = key[-1], len(key)
-            if hot is not None and last and key[0] == hot and len(key):
-                n = int(np.searchsorted(key, hot, side="right"))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[:n]), pa.array(fp[:n]), pa.array(rep[:n]), pa.nulls(n, pa.int64())],
-                    names=["key", "fp", "a", "b"],
-                )
-                key, fp, rep, last = key[n:], fp[n:], rep[n:], max(0, last - n)
-            if last:
-                yield of_runs(key[:last], fp[:last], rep[:last])
-            held = [key[last:], fp[last:], rep[last:]]
-        if len(held[0]):
-            yield of_runs(*held)
+            yield _rows(None, None, np.concatenate(a), np.concatenate(b))
 
     return links
 
 
+def _rows(key, fp, a, b) -> pa.RecordBatch:
+    columns = {"key": key, "fp": fp, "a": a, "b": b}
+    none = pa.nulls(len(a), pa.int64())
+    return pa.record_batch({c: none if v is None else pa.array(v) for c, v in columns.items()})
+
+
 def _cells(late: DataFrame, distance: int, run: int) -> DataFrame:
     """Links within keys of more than ``run`` fingerprints: every two chunks of a key meet in a cell."""
-    chunks = late.groupBy("key").agg(F.ceil(F.count("fp") / (run / 4)).alias("n"))
+    chunks = late.groupBy("key").agg(F.ceil(F.count("fp") * 4 / run).alias("n"))
     dealt = late.join(chunks, "key").withColumn("c", F.pmod(F.xxhash64("fp"), F.col("n")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("o")
     cells = dealt.select("key", "fp", "a", "c", other)
@@ -161,8 +123,8 @@ def classes(
     each = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "classes")
     keys = [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(bits, distance))]
     keyed = each.select(F.explode(F.array(*keys)).alias("key"), "fp", "rep")
-    runs = keyed.repartition("key").sortWithinPartitions("key")
-    found = materialise(runs.mapInArrow(_links(distance, run), "key long, fp long, a long, b long"), "links")
+    dealt = keyed.repartition("key").sortWithinPartitions("key")
+    found = materialise(dealt.mapInArrow(_links(distance, run), "key long, fp long, a long, b long"), "links")
     edges, late = found.where("b is not null").select("a", "b"), found.where("b is null")
     if not late.isEmpty():
         edges = edges.unionByName(_cells(late, distance, run))

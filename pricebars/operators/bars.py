@@ -46,16 +46,16 @@ def day_bars(ticks: DataFrame) -> DataFrame:
 
 
 def candle_bars(candles: DataFrame) -> DataFrame:
-    """Daily candles ``symbol, ts, open, high, low, close`` are day bars as they are."""
-    return candles.select(
-        "symbol",
-        F.lit("day").alias("timeframe"),
-        F.col("ts").alias("time_index"),
-        F.col("open").alias("open_price"),
-        F.col("high").alias("high_price"),
-        F.col("low").alias("low_price"),
-        F.col("close").alias("close_price"),
-        F.col("close").alias("latest_price"),
+    """Candles ``symbol, ts, seq, open, high, low, close`` as day bars: the first open and the last close of a date."""
+    return (
+        candles.groupBy("symbol", F.col("ts").alias("time_index"))
+        .agg(
+            F.min_by("open", "seq").alias("open_price"),
+            F.max("high").alias("high_price"),
+            F.min("low").alias("low_price"),
+            F.max_by("close", "seq").alias("close_price"),
+        )
+        .select("symbol", F.lit("day").alias("timeframe"), "time_index", *_prices())
     )
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricebars.functions.numeric import divide
+from pricebars.functions.numeric import divide, exact_mean
 from pricebars.operators.forecast import forecast
 from pricebars.operators.series import eligible, split
 from pricebars.schema import HORIZON, INDICATORS, MIN_OBS, SERIES_KEY, TEST_SIZE
@@ -13,12 +13,16 @@ def _metric_columns(matched: Column) -> dict[str, Column]:
     """Aggregates over ``actual`` and ``predicted`` of the matched rows."""
     actual = F.when(matched, F.col("actual"))
     error = F.when(matched, F.col("actual") - F.col("predicted"))
-    spread = F.var_pop(actual) * F.count(actual)
+    squared, n = exact_mean(error * error), F.count(actual)
+    # n times the variance of the actuals, from sums that don't depend on the order of the rows
+    total = F.sum(actual.cast("decimal(28,8)")).cast("double")
+    spread = F.sum((actual * actual).cast("decimal(38,8)")).cast("double") - divide(total * total, n)
+    varies = F.max(actual) > F.min(actual)
     return {
-        "mae": F.round(F.avg(F.abs(error)), 4),
-        "rmse": F.round(F.sqrt(F.avg(error * error)), 4),
-        "mape": F.round(F.avg(F.abs(divide(error, actual))) * 100, 4),
-        "r2": F.round(1 - divide(F.sum(error * error), spread), 4),
+        "mae": F.round(exact_mean(F.abs(error)), 4),
+        "rmse": F.round(F.sqrt(squared), 4),
+        "mape": F.round(exact_mean(F.abs(divide(error, actual))) * 100, 4),
+        "r2": F.round(F.when(varies, 1 - divide(squared * n, spread)), 4),
     }
 
 
@@ -55,7 +59,7 @@ def evaluate(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
 
 def model_report(evaluation: DataFrame) -> DataFrame:
     return evaluation.groupBy("model_name").agg(
-        *[F.round(F.avg(m), 4).alias(f"avg_{m}") for m in ("mae", "rmse", "r2")]
+        *[F.round(exact_mean(F.col(m)), 4).alias(f"avg_{m}") for m in ("mae", "rmse", "r2")]
     )
 
 
@@ -98,7 +102,7 @@ def backtest(
 def backtest_summary(scores: DataFrame) -> DataFrame:
     """Mean of the hold-out scores per model and timeframe."""
     return scores.groupBy("model_name", "timeframe").agg(
-        *[F.round(F.avg(m), 6).alias(f"avg_{m}") for m in ("mae", "rmse", "mape", "r2")],
+        *[F.round(exact_mean(F.col(m)), 6).alias(f"avg_{m}") for m in ("mae", "rmse", "mape", "r2")],
         F.count(F.lit(1)).alias("n_points"),
     )
 

@@ -1,6 +1,6 @@
 """Bar features: movement, volatility, category averages, names and categories."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricebars.functions.numeric import exact_mean, percent
@@ -36,14 +36,22 @@ def canonical_names(df: DataFrame, names: DataFrame) -> DataFrame:
 def with_category(df: DataFrame, profiles: DataFrame) -> DataFrame:
     """Category of each symbol; symbols without one fall into the default category.
 
-    ``profiles`` holds one row per symbol; if it has names, they come along.  No broadcast hint: Catalyst
-    broadcasts it when it is small and shuffles when the number of symbols makes it large.
+    ``profiles`` holds one row per symbol, in any case of letters.  Its name goes before a name that ``df`` brings, and that
+    before the symbol.  No broadcast hint: Catalyst broadcasts it when it is small and shuffles when the number of
+    symbols makes it large.
     """
-    known = [c for c in ("name", "category") if c in profiles.columns and c not in df.columns]
-    return (
-        df.join(profiles.select("symbol", *known), "symbol", "left")
-        .withColumn("category", F.coalesce("category", F.lit(FALLBACK_CATEGORY)))
+    found = profiles.select(
+        F.upper("symbol").alias("_symbol"), *[F.col(c).alias(f"_{c}") for c in ("name", "category") if c in profiles.columns]
     )
+    out = df.join(found, F.upper(df["symbol"]) == F.col("_symbol"), "left")
+
+    def filled(column: str, last: Column) -> Column:
+        known = [F.nullif(F.col(c), F.lit("")) for c in (f"_{column}", column) if c in out.columns]
+        return F.coalesce(*known, last)
+
+    if "_name" in out.columns or "name" in df.columns:
+        out = out.withColumn("name", filled("name", F.col("symbol")))
+    return out.withColumn("category", filled("category", F.lit(FALLBACK_CATEGORY))).drop("_symbol", "_name", "_category")
 
 
 def price_movement(bars: DataFrame, up: float = 1, down: float = -1) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from pricebars.functions.numeric import divide, zero_as_null
 from pricebars.operators.bars import day_bars
 
-HOT_ROWS = 20_000_000  # ticks of one symbol a single task may sort
+SLOT = 10_000  # of the numbers that order the ticks of a date, as many make a part
 
 
 def direction(change: Column) -> Column:
@@ -18,40 +18,45 @@ def _order(ticks: DataFrame) -> list[str]:
     return ["ts", "seq"] if "seq" in ticks.columns else ["ts"]
 
 
-def _minute(ticks: DataFrame) -> Column:
-    """Number of the minute, in the order of ``ts`` whatever the session time zone."""
+def _slot(ticks: DataFrame) -> list[Column]:
+    """Two numbers that ascend with the order of the ticks: the minute, and a part of it.
+
+    Ticks of a DATE have only their day, which ``seq`` (its first field, if it has several) cuts into parts.
+    """
     kind = ticks.schema["ts"].dataType
+    none = F.lit(0).cast("bigint")
     if isinstance(kind, T.TimestampType):
-        return F.floor(F.unix_seconds("ts") / 60)
+        return [F.floor(F.unix_seconds("ts") / 60), none]
     day = F.unix_date(F.col("ts").cast("date")).cast("bigint") * 1440
-    return day if isinstance(kind, T.DateType) else day + F.hour("ts") * 60 + F.minute("ts")
+    if not isinstance(kind, T.DateType):
+        return [day + F.hour("ts") * 60 + F.minute("ts"), none]
+    if "seq" not in ticks.columns:
+        return [day, none]
+    seq, of = F.col("seq"), ticks.schema["seq"].dataType
+    if isinstance(of, T.StructType):
+        seq, of = seq[of[0].name], of[0].dataType
+    return [day, F.floor(seq / SLOT).cast("bigint") if isinstance(of, T.NumericType) else none]
 
 
-def tick_change(ticks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Price minus the previous tick's price of the symbol, 0 for its first tick.
+def tick_change(ticks: DataFrame) -> DataFrame:
+    """Price minus the previous tick's price of the symbol, 0 for its first tick; ticks without a price are none.
 
-    A window over the symbol is one task per symbol, which is fine until a symbol has more than
-    ``hot_rows`` ticks.  Ticks of such a symbol are split by minute, and each minute is opened by an
-    extra row with the last price of the symbol's minute before, taken from a pre-aggregated table of one
-    row per minute.  Ticks move once, and no join follows.
+    Every symbol is split by time, so no task holds all ticks of one.  Each slot is opened by an extra row with the last
+    price of the symbol's slot before, taken from a pre-aggregated table of one row per slot.
     """
     order = _order(ticks)
-    rows = ticks.filter(F.col("price").isNotNull())
-    counts = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-    # At most one symbol per hot_rows ticks can be in this list: safe to broadcast.
-    hot = counts.filter(F.col("n") > hot_rows).select("symbol", F.lit(True).alias("hot"))
+    slot = ["minute", "part"]
     rows = (
-        rows.join(F.broadcast(hot), "symbol", "left")
-        .withColumn("minute", F.when(F.col("hot"), _minute(ticks)))
-        .select(*ticks.columns, "minute", F.lit(True).alias("is_tick"))
+        ticks.filter(F.col("price").isNotNull() & ~F.isnan("price"))
+        .withColumns({**dict(zip(slot, _slot(ticks))), "is_tick": F.lit(True)})
     )
     last_tick = F.max_by("price", F.col("ts") if order == ["ts"] else F.struct(*order))
-    minutes = rows.filter(F.col("minute").isNotNull()).groupBy("symbol", "minute").agg(last_tick.alias("last"))
-    openers = minutes.select(
-        "symbol", "minute", F.lit(False).alias("is_tick"),
-        F.lag("last").over(Window.partitionBy("symbol").orderBy("minute")).alias("price"),
+    last = rows.groupBy("symbol", *slot).agg(last_tick.alias("last"))
+    openers = last.select(
+        "symbol", *slot, F.lit(False).alias("is_tick"),
+        F.lag("last").over(Window.partitionBy("symbol").orderBy(*slot)).alias("price"),
     ).filter(F.col("price").isNotNull())
-    previous = F.lag("price").over(Window.partitionBy("symbol", "minute").orderBy("is_tick", *order))
+    previous = F.lag("price").over(Window.partitionBy("symbol", *slot).orderBy("is_tick", *order))
     return (
         rows.unionByName(openers, allowMissingColumns=True)
         .withColumn("tick_change", F.coalesce(F.col("price") - previous, F.lit(0.0)))

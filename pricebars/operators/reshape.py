@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,23 +22,30 @@ def to_series_rows(prices: DataFrame) -> DataFrame:
 
 
 def to_wide(long: DataFrame, priority: dict[str, int] | None = None) -> DataFrame:
-    """Long -> one bar per symbol, timeframe and time_index, in one shuffle.
+    """Long -> one bar per symbol, timeframe and time_index, in one shuffle of the rows.
 
-    When several sources report the same price, the one with the highest priority wins, then the source
-    name, then the larger value; names belong to the dimension and are not part of the key.
+    When several sources report the same price, the one with the highest priority wins, then the last source
+    name, then the larger value.  Sources are numbered in that order, so that both steps aggregate scalars in hash tables.
+    Names are not part of the key; see ``source_names``.
     """
     rank: Column = F.lit(0)
     for source, weight in (priority or {}).items():
         rank = F.when(F.col("source") == source, F.lit(weight)).otherwise(rank)
-    candidate = F.struct(rank.alias("rank"), F.coalesce("source", F.lit("")).alias("source"), "value")
-    present = F.col("value").isNotNull()
-    picked = [
-        F.max(F.when((F.col("indicator") == i) & present, candidate)).alias(i) for i in INDICATORS
-    ]
-    return (
-        long.groupBy(*BAR_KEY).agg(*picked)
-        .select(*BAR_KEY, *[F.col(f"{i}.value").alias(i) for i in sorted(INDICATORS)])
+    sources = long.select(F.coalesce("source", F.lit("")).alias("source")).distinct()  # a few rows, one per feed
+    place = F.row_number().over(Window.orderBy(rank, "source"))
+    rows = long.withColumn("source", F.coalesce("source", F.lit(""))).join(sources.select("source", place.alias("place")), "source")
+    largest = (
+        rows.filter(F.col("value").isNotNull()).repartition(*BAR_KEY)
+        .groupBy(*BAR_KEY, "indicator", "place").agg(F.max("value").alias("value"))
     )
+    picked = [F.max_by("value", F.when(F.col("indicator") == i, F.col("place"))).alias(i) for i in sorted(INDICATORS)]
+    return largest.groupBy(*BAR_KEY).agg(*picked)
+
+
+def source_names(long: DataFrame) -> DataFrame:
+    """The name that the sources give each symbol: the first by alphabet, of those that aren't empty."""
+    named = long.filter(F.col("name") != "").select("symbol", "name").distinct()
+    return named.groupBy("symbol").agg(F.min("name").alias("name"))
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:

@@ -15,8 +15,9 @@ from pricebars.schema import INDICATORS, MIN_OBS, SERIES_KEY, TEST_SIZE
 
 
 def in_history(df: DataFrame, today: date, years: int = 5, column: str = "time_index") -> DataFrame:
-    """Rows from 1 January of the first history year to ``today``; years are clamped to 1..20."""
-    years = max(1, min(20, years))
+    """Rows from 1 January of the first of ``years`` history years to ``today``."""
+    if years < 1:
+        raise ValueError("a history has at least one year")
     return df.filter(F.col(column).between(F.lit(date(today.year - years + 1, 1, 1)), F.lit(today)))
 
 

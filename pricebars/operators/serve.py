@@ -1,17 +1,15 @@
 """The questions users ask of the gold layer.  Every answer is a DataFrame over the Parquet tables."""
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebars.functions.numeric import divide
+from pricebars.functions.numeric import divide, exact_mean
 from pricebars.functions.text import matches, symbol_list
 from pricebars.schema import FEATURES, INDICATORS, RANKABLE
 
 LABELS = ["symbol", "name", "category"]
-LOOKUPS = 16  # symbols that are worth a subquery each
 SUMMARY = [*LABELS, "timeframe", "time_index", "close_price", "price_change_pct", "price_trend", "volatility_level"]
 
 
@@ -28,15 +26,13 @@ def predictions(preds: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def only_symbols(table: DataFrame, dim: DataFrame, symbols: list[str]) -> DataFrame:
-    """Rows of a few symbols.
+    """Rows of the named symbols, however many.
 
-    The ids are looked up first, in scalar subqueries, so that the scan gets them as a pushed-down
-    filter and skips row groups.  Long lists go through a join instead.
+    Their ids are looked up first, at most a row per name and dimension row of it, so that the scan gets them as a
+    pushed-down filter and skips row groups.
     """
-    if len(symbols) > LOOKUPS:
-        return table.join(dim.filter(F.col("symbol").isin(symbols)).select("id"), "id", "left_semi")
-    ids = [F.col("id") == dim.filter(F.col("symbol") == s).select("id").scalar() for s in symbols]
-    return table.filter(reduce(lambda a, b: a | b, ids))
+    ids = sorted(r.id for r in dim.filter(F.col("symbol").isin(symbols)).select("id").collect())
+    return table.filter(F.col("id").isin(ids))
 
 
 def live_quote(snapshots: DataFrame, symbol: str) -> DataFrame:
@@ -85,15 +81,15 @@ def category_prices(prices: DataFrame, category: str) -> DataFrame:
 
 
 def top_n(
-    prices: DataFrame, indicator: str = "close_price", n: int = 10, order: str = "desc", latest_only: bool = False
+    prices: DataFrame, indicator: str = "close_price", n: int = 10, order: str = "desc", latest: str | None = None
 ) -> DataFrame:
     """The n best rows by a metric; ties go by symbol, timeframe and date.
 
-    Each task keeps its own n best, so only those reach the final merge.
+    ``latest`` names a timeframe of which only the last bars count.  Each task keeps its own n best, so only those reach the final merge.
     """
     if indicator not in RANKABLE:
         raise ValueError(f"indicator must be one of {sorted(RANKABLE)}")
-    rows = latest_snapshot(prices) if latest_only else prices
+    rows = latest_snapshot(prices, latest) if latest else prices
     by = F.col(indicator).asc_nulls_last() if order.lower() == "asc" else F.col(indicator).desc_nulls_last()
     columns = SUMMARY if indicator in SUMMARY else [*SUMMARY, indicator]
     return (
@@ -112,22 +108,42 @@ def compare(fact: DataFrame, dim: DataFrame, symbols: str) -> DataFrame:
     )
 
 
-def default_compare(prices: DataFrame, n: int = 4) -> DataFrame:
-    """Rows of the first n symbols by name."""
-    first = prices.select("symbol").distinct().orderBy("symbol").limit(n)
-    return prices.join(first, "symbol", "left_semi")
+def default_compare(fact: DataFrame, dim: DataFrame, timeframe: str, n: int = 4) -> DataFrame:
+    """Rows of the first n symbols by name, which the dimension alone tells."""
+    first = [r.symbol for r in dim.select("symbol").orderBy("symbol").limit(n).collect()]
+    return prices(only_symbols(fact.filter(F.col("timeframe") == timeframe), dim, first), dim)
 
 
-def search(prices: DataFrame, text: str, regex: bool = True) -> DataFrame:
-    return prices.filter(matches(F.col("symbol"), text, regex) | matches(F.col("name"), text, regex))
+def search(prices: DataFrame, timeframe: str, text: str, regex: bool = True) -> DataFrame:
+    return select_prices(prices, timeframe, text=text, regex=regex)
 
 
-def search_count(prices: DataFrame, text: str, regex: bool = True) -> DataFrame:
-    return search(prices, text, regex).agg(F.countDistinct("symbol").alias("n_symbols"))
+def search_count(prices: DataFrame, timeframe: str, text: str, regex: bool = True) -> DataFrame:
+    return search(prices, timeframe, text, regex).agg(F.countDistinct("symbol").alias("n_symbols"))
 
 
-def between_dates(prices: DataFrame, low: date, high: date) -> DataFrame:
-    return prices.filter(F.col("time_index").between(F.lit(low), F.lit(high)))
+def between_dates(prices: DataFrame, timeframe: str, low: date, high: date) -> DataFrame:
+    return select_prices(prices, timeframe, low=low, high=high)
+
+
+def select_prices(
+    prices: DataFrame, timeframe: str, sectors: list[str] | None = None, low: date | None = None,
+    high: date | None = None, text: str | None = None, regex: bool = True,
+) -> DataFrame:
+    """Bars of one timeframe, then of some sectors, dates and names: what every other answer starts from.
+
+    Bars of different timeframes have changes and ranges of different size, so no answer mixes them.
+    """
+    out = prices.filter(F.col("timeframe") == timeframe)
+    if sectors:
+        out = out.filter(F.col("category").isin(sectors))
+    if low is not None:
+        out = out.filter(F.col("time_index") >= F.lit(low))
+    if high is not None:
+        out = out.filter(F.col("time_index") <= F.lit(high))
+    if text:
+        out = out.filter(matches(F.col("symbol"), text, regex) | matches(F.col("name"), text, regex))
+    return out
 
 
 def date_domain(prices: DataFrame, timeframe: str) -> DataFrame:
@@ -139,26 +155,22 @@ def date_domain(prices: DataFrame, timeframe: str) -> DataFrame:
     return ends.withColumn("max_date", F.when(single, F.date_add("max_date", 1)).otherwise(F.col("max_date")))
 
 
-def latest_snapshot(prices: DataFrame) -> DataFrame:
-    """The last row per symbol, dearest first.
+def latest_snapshot(prices: DataFrame, timeframe: str) -> DataFrame:
+    """The last bar per symbol of a timeframe.
 
-    Reduced on the map side to one row per symbol and split; between timeframes that end on one date
-    the alphabetically last wins.
+    The last dates come from a hash aggregation, one row per symbol and split, and pick their bars in a join.
     """
-    rest = [c for c in prices.columns if c not in ("symbol", "time_index", "timeframe")]
-    last = F.max(F.struct("time_index", "timeframe", F.struct(*rest).alias("row"))).alias("last")
-    return (
-        prices.groupBy("symbol").agg(last)
-        .select("symbol", "last.timeframe", "last.time_index", "last.row.*")
-        .select(*prices.columns).orderBy(F.desc_nulls_last("close_price"), "symbol")
-    )
+    rows = prices.filter(F.col("timeframe") == timeframe)
+    last = rows.groupBy("symbol").agg(F.max("time_index").alias("time_index"))
+    return rows.join(last, ["symbol", "time_index"]).select(*prices.columns)
 
 
 def kpi(latest: DataFrame) -> DataFrame:
+    """Means and counts over a snapshot; the means don't depend on the order of the rows."""
     pct = F.col("price_change_pct")
     return latest.agg(
-        F.round(F.avg("close_price"), 4).alias("avg_close"),
-        F.round(F.avg(pct), 4).alias("avg_change_pct"),
+        F.round(exact_mean(F.col("close_price")), 4).alias("avg_close"),
+        F.round(exact_mean(pct), 4).alias("avg_change_pct"),
         F.count_if(pct > 0).alias("n_rising"),
         F.count_if(pct < 0).alias("n_falling"),
         F.count_if(F.col("volatility_level") == "high").alias("n_high_volatility"),
@@ -177,14 +189,14 @@ def forecast_view(
 
     Without any forecast rows there is nothing to bridge to, and only the history is returned.
     """
-    history = only_symbols(fact.filter(F.col("timeframe") == timeframe), dim, [symbol]).select(
+    history = only_symbols(fact.filter(F.col("timeframe") == timeframe), dim, [symbol.upper()]).select(
         F.col("time_index").alias("time"), F.col(indicator).alias("value")
     )
     wanted = preds.filter(
         (F.col("timeframe") == timeframe) & (F.col("indicator") == indicator) & (F.col("model_name") == model)
     )
     values = {"value": "predicted_value", "confidence_low": "confidence_low", "confidence_high": "confidence_high"}
-    ahead = only_symbols(wanted, dim, [symbol]).select(
+    ahead = only_symbols(wanted, dim, [symbol.upper()]).select(
         F.lit("forecast").alias("part"), F.col("predicted_time").alias("time"),
         *[F.col(column).cast("double").alias(name) for name, column in values.items()],
     )

@@ -4,11 +4,31 @@ The statements are built from a few shared WITH parts.  They compute bars straig
 timeframe, metrics from rows and the smoother by recursion, so they share no shape with the Spark plans.
 """
 
-from pricebars.functions.reference_data import (
-    BACKCAST, BACKCAST_FLOOR, CANONICAL_NAMES, FALLBACK_CATEGORY, PROFILE_CATEGORY,
-)
-from pricebars.operators.forecast import ALPHAS, BETAS, MIN_RMSE, MIN_VARIANCE, PHIS, Z95
-from pricebars.schema import HORIZON, INDICATORS, MIN_OBS, NOT_NULL, TIMEFRAMES
+from pricebars.functions.reference_data import CANONICAL_NAMES
+
+# Fixed values, written out here once more so that a wrong one in the engine shows.
+INDICATORS = ["open_price", "high_price", "low_price", "close_price", "latest_price"]
+TIMEFRAMES = ["day", "week", "month", "year"]
+HORIZON, MIN_OBS = 3, 3
+Z95, MIN_VARIANCE, MIN_RMSE = 1.96, 0.0001, 0.01
+ALPHAS = [0.1, 0.3, 0.5, 0.7, 0.9]
+BETAS = [0.05, 0.1, 0.2, 0.3]
+PHIS = [0.8, 0.85, 0.9, 0.95, 0.98]
+FALLBACK_CATEGORY, PROFILE_CATEGORY = "Other", "Equity"
+BACKCAST = {
+    "day": (90, 0.001, 0.99, 0.004, 1.008, 0.992),
+    "week": (104, 0.005, 0.98, 0.008, 1.018, 0.982),
+    "month": (36, 0.02, 0.97, 0.012, 1.03, 0.97),
+    "year": (None, 0.06, 0.96, 0.016, 1.045, 0.955),
+}
+BACKCAST_FLOOR = 0.01
+NOT_NULL = {
+    "bronze": ["symbol", "indicator", "timeframe", "time_index"],
+    "silver": ["symbol", "timeframe", "time_index"],
+    "dim": ["id", "symbol"],
+    "fact": ["id", "timeframe", "time_index"],
+    "predictions": ["id", "timeframe", "indicator", "model_name", "predicted_time"],
+}
 
 P4 = "open_price, high_price, low_price, close_price"
 P5 = ", ".join(INDICATORS)
@@ -229,7 +249,7 @@ def errors(a: str = "actual", p: str = "predicted") -> str:
 SCORES = f"""scores AS (
   SELECT {SKEY}, model_name, predicted_time, actual, predicted_value,
          {rnd("abs(actual - predicted_value)", 4)} AS mae, {rnd("abs(actual - predicted_value)", 4)} AS rmse,
-         {rnd("abs(actual - predicted_value) / nullif(abs(actual), 0) * 100", 4)} AS mape
+         {rnd("abs(actual - predicted_value) / nullif(abs(actual), 0) * 100", 4)} AS mape, CAST(NULL AS DOUBLE) AS r2
   FROM preds JOIN held USING ({SKEY}, predicted_time))"""
 EVALUATION = f"""report AS (
   SELECT model_name, timeframe, indicator, {errors("actual", "CASE WHEN actual IS NOT NULL THEN predicted_value END")},
@@ -239,7 +259,7 @@ EVALUATION = f"""report AS (
   GROUP BY model_name, timeframe, indicator HAVING count(actual) > 0)"""
 SUMMARY = f"""summary AS (
   SELECT model_name, timeframe, {rnd("avg(mae)", 6)} AS avg_mae, {rnd("avg(rmse)", 6)} AS avg_rmse,
-         {rnd("avg(mape)", 6)} AS avg_mape, count(*) AS n_points
+         {rnd("avg(mape)", 6)} AS avg_mape, CAST(NULL AS DOUBLE) AS avg_r2, count(*) AS n_points
   FROM scores GROUP BY model_name, timeframe)"""
 
 # --- events -----------------------------------------------------------------
@@ -291,18 +311,19 @@ UNION ALL SELECT symbol, name, timeframe, time_index, {own}, 'quote' AS source F
 
 
 TWO_SOURCES = f"""reversed AS (SELECT symbol, ts, -seq AS seq, price FROM po),
+{bars("rbars", "reversed")}, {bars("ebars", "pe")},
 two AS (
   SELECT l.*, name, 'orders' AS source FROM ({long("bars")}) l JOIN prof USING (symbol)
   UNION ALL SELECT l.*, name, 'orders reversed' AS source
-  FROM ({long("(" + bar_select("reversed", "week") + ")")}) l JOIN prof USING (symbol)
+  FROM ({long("rbars")}) l JOIN prof USING (symbol)
   UNION ALL SELECT l.*, c_name AS name, 'events' AS source
-  FROM ({long("(" + bar_select("pe", "day") + ")")}) l JOIN customer ON CAST(c_custkey AS VARCHAR) = l.symbol)"""
+  FROM ({long("ebars")}) l JOIN customer ON CAST(c_custkey AS VARCHAR) = l.symbol)"""
 TWO = [PO, PE, NATIONS, PO_BARS, TWO_SOURCES]
 SUMMARY_COLUMNS = (
     "symbol, name, category, timeframe, time_index, close_price, price_change_pct, price_trend, volatility_level"
 )
 LATEST = """latest AS (SELECT * EXCLUDE (place) FROM (
-  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY time_index DESC, timeframe DESC) AS place FROM silver)
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY time_index DESC) AS place FROM silver WHERE timeframe = 'week')
   WHERE place = 1)"""
 
 
@@ -400,7 +421,7 @@ FROM s LEFT JOIN pay USING (symbol) LEFT JOIN part ON CAST(p_partkey AS VARCHAR)
             select="SELECT * FROM cbars JOIN cavg USING (category, timeframe, time_index)",
         ),
         "category_avg_window": q(
-            PL, bars("bars", "pl", ["month", "year"]),
+            PL, bars("bars", "pl"),
             "prof AS (SELECT CAST(p_partkey AS VARCHAR) AS symbol, p_type AS category FROM part)",
             f"cbars AS (SELECT bars.*, coalesce(category, '{FALLBACK_CATEGORY}') AS category FROM bars LEFT JOIN prof USING (symbol))",
             select=f"""SELECT {KEY}, category, {rnd("CAST(total AS DOUBLE) / category_count", 4)} AS category_avg_close, category_count
@@ -431,20 +452,29 @@ FROM s LEFT JOIN pay USING (symbol) LEFT JOIN part ON CAST(p_partkey AS VARCHAR)
             SILVER,
             select=f"SELECT {SUMMARY_COLUMNS} FROM silver WHERE symbol IN ('NATION_3', 'NATION_11', 'NATION_20')",
         ),
+        "compare_many": q(
+            SILVER,
+            select=f"SELECT {SUMMARY_COLUMNS} FROM silver WHERE CAST(substr(symbol, 8) AS INTEGER) < 22",
+        ),
+        "dashboard_filter": q(
+            SILVER,
+            select="""SELECT * FROM silver WHERE timeframe = 'month' AND category IN ('ASIA', 'EUROPE')
+  AND time_index >= DATE '1997-03-01' AND time_index <= DATE '1999-06-30' AND regexp_matches(symbol, 'nation_.?2', 'i')""",
+        ),
         "default_compare": q(
             SILVER,
-            select="SELECT * FROM silver WHERE symbol IN (SELECT DISTINCT symbol FROM silver ORDER BY symbol LIMIT 4)",
+            select="SELECT * FROM silver WHERE timeframe = 'week' AND symbol IN (SELECT DISTINCT symbol FROM silver ORDER BY symbol LIMIT 4)",
         ),
         "search_symbols": q(
             SILVER,
-            select=f"SELECT {KEY}, name, close_price FROM silver WHERE regexp_matches(symbol, 'nation_1.?$', 'i') OR regexp_matches(name, 'nation_1.?$', 'i')",
+            select=f"SELECT {KEY}, name, close_price FROM silver WHERE timeframe = 'week' AND (regexp_matches(symbol, 'nation_1.?$', 'i') OR regexp_matches(name, 'nation_1.?$', 'i'))",
         ),
         "search_count": q(
             SILVER,
-            select="SELECT count(DISTINCT symbol) AS n_symbols FROM silver WHERE regexp_matches(symbol, 'nation_1.?$', 'i') OR regexp_matches(name, 'nation_1.?$', 'i')",
+            select="SELECT count(DISTINCT symbol) AS n_symbols FROM silver WHERE timeframe = 'week' AND (regexp_matches(symbol, 'nation_1.?$', 'i') OR regexp_matches(name, 'nation_1.?$', 'i'))",
         ),
         "date_range_filter": q(
-            SILVER, select="SELECT * FROM silver WHERE time_index BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"
+            SILVER, select="SELECT * FROM silver WHERE timeframe = 'day' AND time_index BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"
         ),
         "date_domain": q(
             SILVER,
@@ -454,7 +484,7 @@ FROM s LEFT JOIN pay USING (symbol) LEFT JOIN part ON CAST(p_partkey AS VARCHAR)
         "latest_snapshot": q(SILVER, LATEST, select="SELECT * FROM latest"),
         "kpi_summary": q(
             SILVER, LATEST,
-            select=f"""SELECT {rnd("avg(close_price)", 4)} AS avg_close, {rnd("avg(price_change_pct)", 4)} AS avg_change_pct,
+            select=f"""SELECT {rnd(mean("close_price"), 4)} AS avg_close, {rnd(mean("price_change_pct"), 4)} AS avg_change_pct,
   count(*) FILTER (WHERE price_change_pct > 0) AS n_rising, count(*) FILTER (WHERE price_change_pct < 0) AS n_falling,
   count(*) FILTER (WHERE volatility_level = 'high') AS n_high_volatility, count(*) AS n_symbols FROM latest""",
         ),
@@ -541,7 +571,7 @@ FROM s LEFT JOIN pay USING (symbol) LEFT JOIN part ON CAST(p_partkey AS VARCHAR)
   count(DISTINCT symbol) AS n_symbols FROM points GROUP BY timeframe)""",
             select=f"""SELECT model_name, timeframe, CAST({HORIZON} AS BIGINT) AS horizon, CAST({MIN_OBS} AS BIGINT) AS min_obs,
   CAST(1 AS BIGINT) AS test_size, n_symbols, CAST({len(INDICATORS)} AS BIGINT) AS n_indicators, '{",".join(INDICATORS)}' AS indicators,
-  n_series_total, n_series_fitted, n_predictions, avg_mae, avg_rmse, avg_mape
+  n_series_total, n_series_fitted, n_predictions, avg_mae, avg_rmse, avg_mape, avg_r2
   FROM fitted JOIN total USING (timeframe) LEFT JOIN summary USING (model_name, timeframe)""",
         ),
         "symbols_without_history": """SELECT CAST(c_custkey AS VARCHAR) AS symbol, c_name AS name, c_mktsegment AS category
@@ -551,18 +581,44 @@ FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)""",
         "dq_fact_unique": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1",
         "dq_fk_orphans": """SELECT l_partkey, count(*) AS n FROM lineitem
 WHERE l_partkey NOT IN (SELECT c_custkey FROM customer) GROUP BY l_partkey""",
-        "dq_nulls": q(
+        "dq_nulls": "SELECT * FROM (" + q(
             SILVER, DIM, FACT, f"bronze AS (SELECT symbol, indicator, timeframe, time_index FROM ({long('bars')}))",
             select=" UNION ALL ".join(
                 [null_counts(t, t, NOT_NULL[t]) for t in ("bronze", "silver", "dim", "fact")]
                 + [null_counts("fact optional", "fact", ["price_change", "price_change_pct"])]
             ),
-        ),
-        "dq_warehouse": q(
-            SILVER, DIM, FACT,
-            select="""SELECT 'dim symbol' AS check_name, symbol AS key, count(*) AS n FROM dim GROUP BY symbol HAVING count(*) > 1
-UNION ALL SELECT 'fact key', concat_ws('|', id, timeframe, time_index), count(*) FROM fact GROUP BY id, timeframe, time_index HAVING count(*) > 1
-UNION ALL SELECT 'fact id', CAST(id AS VARCHAR), count(*) FROM fact WHERE id NOT IN (SELECT id FROM dim) GROUP BY id""",
+        ) + ") UNION ALL SELECT * FROM (" + both_scopes(
+            null_counts("predictions", "keyed", NOT_NULL["predictions"]),
+            ", keyed AS (SELECT id, predictions.* FROM predictions JOIN dim USING (symbol))",
+        ) + ")",
+        "dq_warehouse": both_scopes(
+            """SELECT 'dim symbol' AS check_name, 'NATION_7' AS key, CAST(2 AS BIGINT) AS n
+UNION ALL SELECT 'fact key', concat_ws('|', id, 'year', time_index), 2 FROM years WHERE id = 1
+UNION ALL SELECT 'fact id', '-1', count(*) FROM years WHERE id = 2
+UNION ALL SELECT 'prediction id', '-1', count(*) FROM predictions JOIN dim USING (symbol) WHERE id = 2 AND timeframe = 'year'""",
+            ", years AS (SELECT id, time_index FROM bars JOIN dim USING (symbol) WHERE timeframe = 'year')",
+        ),
+        "cleaning_counts": q(
+            PO, PO_BARS,
+            select=f"""SELECT 'landed rows' AS step, count(*) AS rows FROM ({long("bars")})
+UNION ALL SELECT unnest(['bars', 'bars with a price', 'enriched bars']), count(*) FROM bars""",
+        ),
+        "csv_export": both_scopes(
+            f"""SELECT {SKEY}, model_name, predicted_time, predicted_value, confidence_low, confidence_high
+FROM predictions WHERE fit_scope = 'holdout'"""
+        ),
+        "live_quote": q(PE, PE_DAYS, BOARD, QUOTES, select="SELECT * FROM quotes WHERE symbol = '7'"),
+        "legacy_names": q(
+            PO, PO_BARS, select="SELECT *, symbol AS name, 'Other' AS category FROM bars"
+        ),
+        "nan_prices": "SELECT CAST(user_id AS VARCHAR) AS symbol, ts, nullif(value, 0) AS price FROM events",
+        "local_ticks": """SELECT CAST(user_id AS VARCHAR) AS symbol, ts - INTERVAL 5 HOUR AS ts, value AS price
+FROM events""",
+        "bars_without_prices": q(
+            PO, PO_BARS,
+            select=f"""SELECT {KEY}, open_price, CAST(NULL AS DOUBLE) AS price_change, CAST(NULL AS DOUBLE) AS price_change_pct,
+  CAST(NULL AS VARCHAR) AS price_trend, CAST(NULL AS DOUBLE) AS intraday_range,
+  CAST(NULL AS DOUBLE) AS intraday_range_pct, CAST(NULL AS VARCHAR) AS volatility_level FROM bars""",
         ),
         "stream_day_bars": q(PE, select=bar_select("pe", "day")),
         "stream_week_bars": q(PE, select=bar_select("pe", "week")),

@@ -10,6 +10,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricebars.functions.periods import to_local
 from pricebars.functions.reference_data import CANONICAL_NAMES
 from pricebars.operators import (
     backcast, bars, evaluate, features, forecast, layers, live, quality, reshape, serve, series,
@@ -84,7 +85,7 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 @_query
 def candle_explode(spark, folder):
     days = bars.day_bars(tables.order_ticks(spark, folder))
-    return payloads.explode_candles(payloads.pack_candles(days))
+    return payloads.explode_candles(payloads.pack_candles(days)).drop("seq")
 
 
 def _quotes(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,8 +238,8 @@ def _two_sources(spark: SparkSession, folder: str) -> DataFrame:
     return reshape.union_sources(
         [
             _long(bars.ohlc_all(ticks), profiles, "orders"),
-            _long(bars.ohlc(reversed_ticks, "week"), profiles, "orders reversed"),
-            _long(bars.ohlc(tables.event_ticks(spark, folder), "day"), tables.customer_profiles(spark, folder), "events"),
+            _long(bars.ohlc_all(reversed_ticks), profiles, "orders reversed"),
+            _long(bars.ohlc_all(tables.event_ticks(spark, folder)), tables.customer_profiles(spark, folder), "events"),
         ]
     )
 
@@ -322,7 +323,7 @@ def category_avg_join(spark, folder):
 @_query
 def category_avg_window(spark, folder):
     """The average over (category, timeframe, date) on every bar of the part table's many symbols."""
-    rows = store.materialise(bars.ohlc_all(tables.lineitem_ticks(spark, folder), ["month", "year"]), "bars")
+    rows = store.materialise(bars.ohlc_all(tables.lineitem_ticks(spark, folder)), "bars")
     rows = features.with_category(rows, tables.part_profiles(spark, folder))
     return features.with_category_average(rows).select(*BAR_KEY, "category", "category_avg_close", "category_count")
 
@@ -383,24 +384,39 @@ def compare_symbols(spark, folder):
     return serve.compare(built.fact, built.dim, COMPARE)
 
 
+@_query
+def compare_many(spark, folder):
+    """More symbols than anyone compares by hand."""
+    built = warehouse(spark, folder)
+    return serve.compare(built.fact, built.dim, ",".join(f"nation_{i}" for i in range(22)))
+
+
 @_query
 def default_compare(spark, folder):
-    return serve.default_compare(warehouse(spark, folder).prices)
+    built = warehouse(spark, folder)
+    return serve.default_compare(built.fact, built.dim, "week")
+
+
+@_query
+def dashboard_filter(spark, folder):
+    return serve.select_prices(
+        warehouse(spark, folder).prices, "month", ["ASIA", "EUROPE"], date(1997, 3, 1), date(1999, 6, 30), "nation_.?2"
+    )
 
 
 @_query
 def search_symbols(spark, folder):
-    return serve.search(warehouse(spark, folder).prices, "nation_1.?$").select(*BAR_KEY, "name", "close_price")
+    return serve.search(warehouse(spark, folder).prices, "week", "nation_1.?$").select(*BAR_KEY, "name", "close_price")
 
 
 @_query
 def search_count(spark, folder):
-    return serve.search_count(warehouse(spark, folder).prices, "nation_1.?$")
+    return serve.search_count(warehouse(spark, folder).prices, "week", "nation_1.?$")
 
 
 @_query
 def date_range_filter(spark, folder):
-    return serve.between_dates(warehouse(spark, folder).prices, date(1998, 1, 1), date(1998, 12, 31))
+    return serve.between_dates(warehouse(spark, folder).prices, "day", date(1998, 1, 1), date(1998, 12, 31))
 
 
 @_query
@@ -410,17 +426,19 @@ def date_domain(spark, folder):
 
 @_query
 def latest_snapshot(spark, folder):
-    return serve.latest_snapshot(warehouse(spark, folder).prices)
+    """The last week per symbol, dearest first."""
+    latest = serve.latest_snapshot(warehouse(spark, folder).prices, "week")
+    return latest.orderBy(F.desc_nulls_last("close_price"), "symbol")
 
 
 @_query
 def kpi_summary(spark, folder):
-    return serve.kpi(serve.latest_snapshot(warehouse(spark, folder).prices))
+    return serve.kpi(serve.latest_snapshot(warehouse(spark, folder).prices, "week"))
 
 
 @_query
 def sector_breakdown(spark, folder):
-    return serve.sector_breakdown(serve.latest_snapshot(warehouse(spark, folder).prices))
+    return serve.sector_breakdown(serve.latest_snapshot(warehouse(spark, folder).prices, "week"))
 
 
 @_query
@@ -541,12 +559,12 @@ def forecast_all(spark, folder):
 
 @_query
 def holdout_metrics(spark, folder):
-    return evaluate.backtest(_series(spark, folder))[1].drop("r2")
+    return evaluate.backtest(_series(spark, folder))[1]
 
 
 @_query
 def backtest_summary(spark, folder):
-    return evaluate.backtest_summary(evaluate.backtest(_series(spark, folder))[1]).drop("avg_r2")
+    return evaluate.backtest_summary(evaluate.backtest(_series(spark, folder))[1])
 
 
 @_query
@@ -575,7 +593,7 @@ def model_report(spark, folder):
 @_query
 def run_metrics(spark, folder):
     points, predictions = _series(spark, folder), holdout_predictions(warehouse(spark, folder))
-    return evaluate.run_metrics(points, predictions, evaluate.score(predictions, points)).drop("avg_r2")
+    return evaluate.run_metrics(points, predictions, evaluate.score(predictions, points))
 
 
 @_query
@@ -617,7 +635,10 @@ def dq_fk_orphans(spark, folder):
 @_query
 def dq_nulls(spark, folder):
     built = warehouse(spark, folder)
-    checks = {"bronze": built.bronze, "silver": built.silver, "dim": built.dim, "fact": built.fact}
+    checks = {
+        "bronze": built.bronze, "silver": built.silver, "dim": built.dim, "fact": built.fact,
+        "predictions": built.prediction_fact,
+    }
     required = [
         quality.violations_null(df, NOT_NULL[name]).select(F.lit(name).alias("layer"), "column_name", "n_null")
         for name, df in checks.items()
@@ -630,21 +651,80 @@ def dq_nulls(spark, folder):
 
 @_query
 def dq_warehouse(spark, folder):
-    """All keys of the built warehouse: no rows when it is sound."""
+    """All keys of the built warehouse with violations put in: a symbol twice, a symbol's years twice, and another's
+    years and forecasts under an id that the dimension doesn't have."""
     built = warehouse(spark, folder)
+    years, forecasts = built.fact.filter("timeframe = 'year'"), built.prediction_fact
+    unknown = F.lit(-1).cast("bigint")
+    dim = built.dim.unionByName(built.dim.filter(F.col("symbol") == SYMBOL))
+    fact = (
+        built.fact.unionByName(years.filter("id = 1")).unionByName(years.filter("id = 2").withColumn("id", unknown))
+    )
+    forecasts = forecasts.unionByName(forecasts.filter("id = 2 AND timeframe = 'year'").withColumn("id", unknown))
     return quality.all_violations(
         {
-            "dim symbol": quality.violations_unique(built.dim, ["symbol"]),
-            "fact key": quality.violations_unique(built.fact, ["id", "timeframe", "time_index"]),
+            "dim symbol": quality.violations_unique(dim, ["symbol"]),
+            "fact key": quality.violations_unique(fact, ["id", "timeframe", "time_index"]),
             "prediction key": quality.violations_unique(
-                built.prediction_fact, ["fit_scope", "id", "timeframe", "indicator", "model_name", "predicted_time"]
+                forecasts, ["fit_scope", "id", "timeframe", "indicator", "model_name", "predicted_time"]
             ),
-            "fact id": quality.violations_fk(built.fact, built.dim, "id"),
-            "prediction id": quality.violations_fk(built.prediction_fact, built.dim, "id"),
+            "fact id": quality.violations_fk(fact, dim.distinct(), "id"),
+            "prediction id": quality.violations_fk(forecasts, dim.distinct(), "id"),
         }
     )
 
 
+@_query
+def cleaning_counts(spark, folder):
+    """Rows before and after each cleaning step of the warehouse job."""
+    return warehouse(spark, folder).counts.select("step", "rows")
+
+
+@_query
+def csv_export(spark, folder):
+    """The hold-out forecasts as exported, read back from the CSV files."""
+    out = store.new_folder(spark, "export")
+    store.export_csv(holdout_predictions(warehouse(spark, folder)), out)
+    schema = (
+        "symbol STRING, indicator STRING, predicted_time DATE, predicted_value DOUBLE, confidence_low DOUBLE, "
+        "confidence_high DOUBLE, model_name STRING, timeframe STRING"
+    )
+    return spark.read.schema(schema).option("header", True).csv(out)
+
+
+@_query
+def live_quote(spark, folder):
+    quotes = payloads.quote_snapshot(_quotes(spark, folder), F.lit(TODAY))
+    return serve.live_quote(quotes, "7")
+
+
+@_query
+def legacy_names(spark, folder):
+    """Bars under the column names of an older layer, without a category."""
+    old = _order_bars(spark, folder).withColumnsRenamed({"symbol": "country_code"})
+    old = old.withColumns({"country_code": F.lower("country_code"), "commodity_name": F.col("country_code")})
+    return reshape.normalise(old, layers.RENAMES)
+
+
+@_query
+def nan_prices(spark, folder):
+    """Ticks whose zero prices have become NaN, as NULL."""
+    ticks = tables.event_ticks(spark, folder)
+    return reshape.nan_to_null(ticks.withColumn("price", F.when(F.col("price") == 0, float("nan")).otherwise(F.col("price"))))
+
+
+@_query
+def local_ticks(spark, folder):
+    return tables.event_ticks(spark, folder).withColumn("ts", to_local(F.col("ts"), "America/New_York"))
+
+
+@_query
+def bars_without_prices(spark, folder):
+    """Features of bars that lack the prices they need."""
+    keys = _order_bars(spark, folder).select(*BAR_KEY, "open_price")
+    return features.volatility(features.price_movement(keys))
+
+
 # --- streams ----------------------------------------------------------------
 
 

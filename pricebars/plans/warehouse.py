@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pricebars.operators import evaluate, features, forecast, layers, reshape, serve, series
 from pricebars.schema import (
-    BRONZE_SCHEMA, DIM_SCHEMA, FACT_SCHEMA, PREDICTION_SCHEMA, SERIES_KEY, SILVER_SCHEMA, TEST_SIZE,
+    BRONZE_SCHEMA, COUNTS_SCHEMA, DIM_SCHEMA, FACT_SCHEMA, PREDICTION_SCHEMA, SERIES_KEY, SILVER_SCHEMA, TEST_SIZE,
 )
 from pricebars.sources import store
 from pricebars.sources.tables import read_or_empty
@@ -48,6 +48,10 @@ class Warehouse:
     def prediction_fact(self) -> DataFrame:
         return self._read("gold/predictions", PREDICTION_SCHEMA)
 
+    @property
+    def counts(self) -> DataFrame:
+        return self._read("counts", COUNTS_SCHEMA)
+
     @property
     def prices(self) -> DataFrame:
         return serve.prices(self.fact, self.dim)
@@ -64,13 +68,27 @@ def load(
     at: datetime,
     priority: dict[str, int] | None = None,
 ) -> None:
-    """Write bronze, silver, dimension and fact from long-format sources."""
-    root = warehouse.root
-    long = reshape.union_sources([reshape.conform_long(s) for s in sources])
-    store.write_layer(layers.bronze(long, at), f"{root}/bronze")
+    """Write bronze, silver, dimension and fact from long-format sources.
 
-    bars = store.materialise(features.drop_missing_price(reshape.to_wide(warehouse.bronze, priority)), "bars")
-    store.write_layer(layers.silver(features.enrich(bars, profiles), at), f"{root}/silver")
+    The rows before and after each cleaning step are counted as they pass, and written to ``counts``.
+    """
+    root, spark = warehouse.root, warehouse.spark
+    seen = {}
+
+    def counted(df: DataFrame, step: str) -> DataFrame:
+        df, seen[step] = reshape.observed(df, step)
+        return df
+
+    long = reshape.union_sources([reshape.conform_long(s) for s in sources])
+    store.write_layer(layers.bronze(counted(long, "landed rows"), at), f"{root}/bronze")
+
+    wide = counted(reshape.to_wide(warehouse.bronze, priority), "bars")
+    priced = counted(features.drop_missing_price(wide), "bars with a price")
+    bars = store.materialise(priced, "bars").join(reshape.source_names(warehouse.bronze), "symbol", "left")
+    enriched = counted(features.enrich(bars, profiles), "enriched bars")
+    store.write_layer(layers.silver(enriched, at), f"{root}/silver")
+    counts = [(i, step, observation.get["rows"]) for i, (step, observation) in enumerate(seen.items())]
+    spark.createDataFrame(counts, "place INT, step STRING, rows BIGINT").write.mode("overwrite").parquet(f"{root}/counts")
 
     layers.build_dim(warehouse.silver).write.mode("overwrite").parquet(f"{root}/gold/dim")
     fact = layers.gold(warehouse.silver, warehouse.dim, at)

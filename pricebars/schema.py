@@ -53,6 +53,9 @@ BRONZE_SCHEMA = struct([*BRONZE_COLUMNS, "ingested_at"])
 SILVER_SCHEMA = struct([*SILVER_COLUMNS, "loaded_at"])
 DIM_SCHEMA = struct(["id", "symbol", "name", "category"])
 FACT_SCHEMA = struct([*FACT_COLUMNS, "loaded_at"])
+COUNTS_SCHEMA = T.StructType(
+    [T.StructField("place", T.IntegerType()), T.StructField("step", T.StringType()), T.StructField("rows", T.LongType())]
+)
 PREDICTION_COLUMNS = [
     "id", "timeframe", "indicator", "model_name", "predicted_time",
     "predicted_value", "confidence_low", "confidence_high",

@@ -10,6 +10,7 @@ from pricebars.functions.reference_data import DEFAULT_PROFILES, PROFILE_CATEGOR
 # Prices are read as text first: one bad number must become one NULL, not a rejected payload.
 _CANDLE = "s STRING, t ARRAY<STRING>, o ARRAY<STRING>, h ARRAY<STRING>, l ARRAY<STRING>, c ARRAY<STRING>"
 _QUOTE = "c STRING, o STRING, h STRING, l STRING, pc STRING"
+SECONDS = (-2208988800, 7258118400)
 _PROFILE = "MAP<STRING, STRING>"  # vendors prefix the industry field with their name
 
 
@@ -23,10 +24,10 @@ def newest_payloads(landed: DataFrame) -> DataFrame:
 
 
 def explode_candles(payloads: DataFrame) -> DataFrame:
-    """``symbol, payload`` -> one daily row per candle with a close.
+    """``symbol, payload`` -> one row per candle with a close; ``seq`` orders the candles of a date.
 
     A payload counts only when its status is ``ok`` and all five arrays are there; the shortest array
-    decides how many candles it has.
+    decides how many candles it has.  A candle whose time is no second between 1900 and 2200 is left out.
     """
     arrays = ["t", "o", "h", "l", "c"]
     candles = payloads.select("symbol", F.from_json("payload", _CANDLE).alias("p")).select("symbol", "p.*")
@@ -36,12 +37,14 @@ def explode_candles(payloads: DataFrame) -> DataFrame:
     usable = F.least(*[F.size(name) for name in arrays])
     return (
         candles.filter(complete)
-        .select("symbol", F.explode(F.slice(F.arrays_zip(*arrays), F.lit(1), usable)).alias("k"))
+        .select("symbol", F.posexplode(F.slice(F.arrays_zip(*arrays), F.lit(1), usable)).alias("place", "k"))
+        .withColumn("second", clean_double(F.col("k.t")))
+        .filter(F.col("second").between(*SECONDS))
         .select(
             "symbol",
-            F.date_add(
-                F.lit("1970-01-01").cast("date"), F.floor(clean_double(F.col("k.t")) / 86400).cast("int")
-            ).alias("ts"),
+            F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("second") / 86400).cast("int")).alias("ts"),
+            # seconds of the day first, then the place in the payload, in one number
+            (F.floor(F.pmod("second", F.lit(86400.0))).cast("long") * F.lit(1 << 32) + F.col("place")).alias("seq"),
             clean_double(F.col("k.o")).alias("open"),
             clean_double(F.col("k.h")).alias("high"),
             clean_double(F.col("k.l")).alias("low"),

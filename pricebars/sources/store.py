@@ -1,5 +1,6 @@
 """Layer files: Parquet laid out for pruning, CSV exports, and the shared scratch folder."""
 
+import re
 import tempfile
 import uuid
 
@@ -14,7 +15,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if re.match(r"local(\[|$)", spark.sparkContext.master) is None:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="pricebars-")
         spark.conf.set("spark.checkpoint.dir", folder)

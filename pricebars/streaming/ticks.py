@@ -63,13 +63,19 @@ def distinct_ticks(ticks: DataFrame, watermark: str = "1 day") -> DataFrame:
     return ticks.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the stateful operators dropped for being behind the watermark."""
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
+def await_late_rows(query: StreamingQuery, poll: float = 1.0) -> int:
+    """Wait for the end of a query; the rows its stateful operators dropped for being behind the watermark.
+
+    Spark remembers the last 100 micro-batches only, so they are gathered while the query runs, by number; a query that
+    finishes more of them within ``poll`` seconds needs a shorter one.
+    """
+    dropped: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(poll)
+        for progress in query.recentProgress:
+            dropped[progress.batchId] = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+    return sum(dropped.values())
 
 
 def last_ticks(ticks: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def test_batch_job(spark, tmp_path):
     land("quotes", {s: dict(c=50.0, o=49.0, h=51.0, l=48.0, pc=0) for s in ("AAPL", "V", "NEW")} | {"BAD": dict(c=0)})
     land("profiles", {"NEW": dict(name="New Corp", exchange="NX")})
 
-    built = batch.run(spark, landing, out, TODAY, years=5)
+    built = batch.run(spark, landing, out, TODAY, years=5, invent_history=True)
     assert [tuple(r) for r in built.dim.orderBy("id").collect()] == [
         (1, "AAPL", "Apple Inc", "Technology"), (2, "NEW", "New Corp", "NX"), (3, "V", "Visa Inc", "Financial Services"),
     ]
@@ -51,7 +51,18 @@ def test_batch_job_without_any_payload(spark, tmp_path):
 
 
 def test_symbol_selection(spark, tmp_path):
-    rows = [(s, json.dumps(dict(c=5.0))) for s in ("A", "B")]
+    rows = [(s, json.dumps(dict(c=5.0))) for s in ("A", "b")]
     spark.createDataFrame(rows, "symbol STRING, payload STRING").write.parquet(str(tmp_path / "in/quotes"))
     (long, projected), profiles = batch.sources(spark, str(tmp_path / "in"), TODAY, 5, "b,c")
+    assert {r.source for r in projected.select("source").distinct().collect()} == {"quote"}
     assert long.count() == 0 and {r.symbol for r in projected.select("symbol").distinct().collect()} == {"B"}
+
+
+def test_symbols_count_in_upper_case(spark, tmp_path):
+    def land(table, symbol, **payload):
+        spark.createDataFrame([(symbol, json.dumps(payload))], "symbol STRING, payload STRING").write.parquet(str(tmp_path / "in" / table))
+
+    land("candles", "aapl", s="ok", t=[1706572800], o=[1.0], h=[2.0], l=[0.5], c=[1.5])
+    land("profiles", "AApl", name="Apple", exchange="NX")
+    built = batch.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), TODAY, symbols="AAPL")
+    assert [tuple(r)[1:] for r in built.dim.collect()] == [("AAPL", "Apple", "NX")]

@@ -1,5 +1,6 @@
 import pytest
 from helpers import D, TS, one, rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricebars.functions.periods import to_local
@@ -47,7 +48,7 @@ def test_symbol_lookup(gold, prices):
         serve.compare(*gold, " , ")
     many = ",".join(["aaa", "ccc", *[f"x{i}" for i in range(20)]])
     assert serve.compare(*gold, many).count() == 3
-    assert {r.symbol for r in serve.default_compare(prices, 2).collect()} == {"AAA", "BBB"}
+    assert {(r.symbol, r.timeframe) for r in serve.default_compare(*gold, "day", 2).collect()} == {("AAA", "day"), ("BBB", "day")}
 
 
 def test_top_n(prices):
@@ -55,31 +56,33 @@ def test_top_n(prices):
     assert keys(serve.top_n(prices, n=3))[1:] == [("AAA", "2024-01-02"), ("BBB", "2024-01-02")]
     assert [r.price_change_pct for r in serve.top_n(prices, "price_change_pct", 99, "ASC").collect()] == [-60.0, 20.0]
     assert serve.top_n(prices, "intraday_range", 99).count() == 4
-    assert [r.close_price for r in serve.top_n(prices, n=9, latest_only=True).collect()] == [12.0, 12.0, 5.0]
+    assert [r.close_price for r in serve.top_n(prices, n=9, latest="day").collect()] == [12.0, 12.0]
     with pytest.raises(ValueError):
         serve.top_n(prices, "symbol")
 
 
 def test_search(prices):
     symbols = lambda df: {r.symbol for r in df.collect()}
-    assert symbols(serve.search(prices, "A.C")) == {"BBB"}
-    assert symbols(serve.search(prices, "a.c", regex=False)) == {"BBB"}
-    assert symbols(serve.search(prices, "al.ha")) == {"AAA"}
-    assert symbols(serve.search(prices, "al.ha", regex=False)) == set()
-    assert one(serve.search_count(prices, "^(a|c)")).n_symbols == 3
+    assert symbols(serve.search(prices, "day", "A.C")) == {"BBB"}
+    assert symbols(serve.search(prices, "day", "a.c", regex=False)) == {"BBB"}
+    assert symbols(serve.search(prices, "day", "al.ha")) == {"AAA"}
+    assert symbols(serve.search(prices, "day", "al.ha", regex=False)) == set()
+    assert one(serve.search_count(prices, "day", "^(a|c)")).n_symbols == 2
 
 
 def test_dates(prices):
-    assert serve.between_dates(prices, D("2024-01-01"), D("2024-01-01")).count() == 3
+    assert serve.between_dates(prices, "day", D("2024-01-01"), D("2024-01-01")).count() == 2
     assert tuple(one(serve.date_domain(prices, "day"))) == (D("2024-01-01"), D("2024-01-02"))
     assert tuple(one(serve.date_domain(prices, "week"))) == (D("2024-01-01"), D("2024-01-02"))
 
 
 def test_latest_kpi_and_sectors(prices):
-    latest = serve.latest_snapshot(prices)
-    assert keys(latest) == [("AAA", "2024-01-02"), ("BBB", "2024-01-02"), ("CCC", "2024-01-01")]
-    assert tuple(one(serve.kpi(latest))) == (9.6667, -20.0, 1, 1, 1, 3)
-    assert rows(serve.sector_breakdown(latest), "category") == [("X", 2), ("Y", 1)]
+    latest = serve.latest_snapshot(prices, "day")
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "rangepartitioning" not in plan
+    assert sorted(keys(latest)) == [("AAA", "2024-01-02"), ("BBB", "2024-01-02")]
+    assert tuple(one(serve.kpi(latest))) == (12.0, -20.0, 1, 1, 1, 2)
+    assert rows(serve.sector_breakdown(latest), "category") == [("X", 2)]
 
 
 def test_live_quote(spark):
@@ -123,9 +126,9 @@ def test_lookup_pushes_the_id_to_the_scan(spark, gold, tmp_path):
     dim.write.parquet(str(tmp_path / "dim"))
     stored = spark.read.parquet(str(tmp_path / "fact")), spark.read.parquet(str(tmp_path / "dim"))
     plan = serve.price_history(*stored, "aaa")._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(id,ScalarSubquery" in plan
+    assert "In(id, [1])" in plan or "EqualTo(id,1)" in plan
     plan = serve.compare(*stored, "aaa,bbb")._jdf.queryExecution().executedPlan().toString()
-    assert "Or(EqualTo(id,ScalarSubquery" in plan
+    assert "In(id, [1,2])" in plan
 
 
 def test_local_time(spark):
@@ -140,28 +143,30 @@ def ticks(spark, *data):
     return spark.createDataFrame([(s, TS(f"2024-01-01T{t}"), p) for s, t, p in data], TICKS)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 2, 10**9])
-def test_tick_change_with_and_without_hot_symbols(spark, hot_rows):
+def test_tick_change(spark):
     df = ticks(
         spark, ("A", "10:00:00", 1.0), ("A", "10:00:30", 3.0), ("A", "11:59:59", 2.0), ("B", "10:00:00", 5.0),
-        ("A", "12:00:00", 2.0), ("C", "10:00:00", None),
+        ("A", "12:00:00", 2.0), ("C", "10:00:00", None), ("A", "10:00:10", float("nan")),
     )
-    assert [(r.symbol, r.tick_change, r.tick_status) for r in live.tick_change(df, hot_rows).orderBy("symbol", "ts").collect()] == [
+    assert [(r.symbol, r.tick_change, r.tick_status) for r in live.tick_change(df).orderBy("symbol", "ts").collect()] == [
         ("A", 0.0, "flat"), ("A", 2.0, "up"), ("A", -1.0, "down"), ("A", 0.0, "flat"), ("B", 0.0, "flat"),
     ]
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
-def test_hot_split_changes_nothing(spark, kind):
+def test_splitting_by_time_changes_nothing(spark, kind, monkeypatch):
     df = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 50)).alias("symbol"),
         F.timestamp_seconds(F.col("id") * 7).alias("ts"), F.col("id").alias("seq"),
         F.round(F.rand(3) * 100, 2).alias("price"),
     )
     stored = spark.createDataFrame(df.collect(), df.schema).withColumn("ts", F.col("ts").cast(kind))
-    a, b = live.tick_change(stored, 500), live.tick_change(stored, 10**9)
-    assert rows(a, "symbol", "ts", "seq") == rows(b, "symbol", "ts", "seq")
-    assert a.count() == 5000
+    monkeypatch.setattr(live, "SLOT", 100)
+    got = live.tick_change(stored)
+    before = F.lag("price").over(Window.partitionBy("symbol").orderBy("ts", "seq"))
+    want = stored.withColumn("tick_change", F.coalesce(F.col("price") - before, F.lit(0.0)))
+    assert rows(got.drop("tick_status"), "symbol", "ts", "seq") == rows(want, "symbol", "ts", "seq")
+    assert got.count() == 5000
 
 
 def test_recent_ticks(spark):
@@ -187,3 +192,9 @@ def test_quote_fallback_and_day_change(spark):
         ("A", 1.0, 25.0, "up"), ("B", 0.0, 0.0, "flat"), ("C", 0.0, 0.0, "flat"), ("D", 0.0, 0.0, "flat"),
     ]
     assert tuple(one(live.live_counts(changed))) == (4, 1, 0, 3)
+
+
+def test_selection_composes_and_never_mixes_timeframes(prices):
+    assert {r.timeframe for r in serve.select_prices(prices, "day").collect()} == {"day"}
+    got = serve.select_prices(prices, "day", ["X"], D("2024-01-02"), D("2024-01-02"), "alpha")
+    assert keys(got) == [("AAA", "2024-01-02")]

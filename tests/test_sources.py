@@ -20,7 +20,7 @@ def candles(spark, **payload):
 
 def test_candles_become_daily_rows(spark):
     got = candles(spark, s="ok", t=[0, DAY + 5], o=[1, 2], h=[3, 4], l=[0.5, 1], c=[2, 3])
-    assert rows(got, "ts") == [
+    assert rows(got.drop("seq"), "ts") == [
         ("A", D("1970-01-01"), 1.0, 3.0, 0.5, 2.0),
         ("A", D("1970-01-02"), 2.0, 4.0, 1.0, 3.0),
     ]
@@ -133,12 +133,21 @@ def test_missing_table_reads_as_empty(spark, tmp_path):
     assert empty.count() == 0 and empty.columns == FACT_SCHEMA.names
 
 
-def test_history_window_is_clamped(spark):
+def test_history_window(spark):
     df = spark.createDataFrame([(D(f"{y}-01-01"),) for y in range(1990, 2026)], "time_index DATE")
     years = lambda n: [r[0].year for r in series.in_history(df, D("2024-06-30"), n).orderBy("time_index").collect()]
     assert years(5) == [2020, 2021, 2022, 2023, 2024]
-    assert years(0) == [2024]
-    assert years(99)[0] == 2005
+    assert years(1) == [2024]
+    assert years(30)[0] == 1995
+    with pytest.raises(ValueError):
+        years(0)
+
+
+def test_candles_of_one_date_keep_their_order(spark):
+    got = candles(spark, s="ok", t=[7200, 3600, 1e20, 3600], o=[2, 1, 9, 5], h=[2, 3, 9, 1], l=[2, 1, 9, 1], c=[8, 7, 9, 6])
+    for parts in (1, 7):
+        day = one(bars.candle_bars(got.repartition(parts, "seq")))
+        assert (day.open_price, day.high_price, day.low_price, day.close_price) == (1.0, 3.0, 1.0, 8.0)
 
 
 def test_history_window_reaches_the_scan(spark):

@@ -157,11 +157,20 @@ def test_rows_behind_the_watermark_are_dropped_and_counted(spark, tmp_path):
         land(events(spark, (i, f"2024-01-{day}T10:00:00", 7, price)), landing, f"part{i}")
     out = str(tmp_path / "o")
     query = stream_bars.keep_bars(stream_bars.stream_bars(ticks_of(spark, landing)), out, str(tmp_path / "c"))
-    query.awaitTermination()
-    assert stream_ticks.late_rows(query) == 1
+    assert stream_ticks.await_late_rows(query) == 1
     assert [r.time_index for r in stream_bars.current_bars(spark, out).orderBy("time_index").collect()] == [D("2024-01-10"), D("2024-01-11")]
 
 
+def test_late_rows_of_more_batches_than_spark_remembers(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    days = ["11", "12", *["02"] * 118]
+    for i, day in enumerate(days):
+        land(events(spark, (i, f"2024-01-{day}T10:00:00", 7, 1.0)), landing, f"part{i:03d}")
+    query = stream_bars.keep_bars(stream_bars.stream_bars(ticks_of(spark, landing)), str(tmp_path / "o"), str(tmp_path / "c"))
+    assert stream_ticks.await_late_rows(query) == 118
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     path, schema = str(tmp_path / "t"), spark.range(1).schema
     for _ in range(2):
