@@ -33,3 +33,29 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str
     newest = all_batches(spark, path, schema).agg(F.max("batch")).first()[0]
     if newest is not None:
         write_batch(current(spark, path, schema, keys), target, newest)
+
+
+#: After so many micro-batches a kept table is written anew as a whole.
+COMPACT_EVERY = 50
+
+
+def keep(spark: SparkSession, changed: DataFrame, path: str, batch_id: int, schema: T.StructType, keys: list[str]) -> None:
+    """Add the new versions of some keys to a table that :func:`kept` reads.
+
+    Each batch writes only what it changed; every ``COMPACT_EVERY`` batches one writes the whole table to a new epoch, which
+    is all that later batches read.  A batch that runs again replaces its folder and finds what it found before.
+    """
+    rows = changed.select(*schema.names)
+    if batch_id and batch_id % COMPACT_EVERY == 0:
+        rows = rows.unionByName(kept(spark, path, batch_id, schema, keys).join(changed.select(*keys), keys, "left_anti"))
+    rows.write.mode("overwrite").parquet(f"{path}/epoch={batch_id // COMPACT_EVERY}/batch={batch_id}")
+
+
+def kept(spark: SparkSession, path: str, batch_id: int, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The table as it was before a batch."""
+    if not batch_id:
+        return spark.createDataFrame([], schema)
+    epoch = f"{path}/epoch={(batch_id - 1) // COMPACT_EVERY}"
+    versions = all_batches(spark, epoch, schema).filter(F.col("batch") < batch_id)
+    last = versions.groupBy(*keys).agg(F.max("batch").alias("batch"))
+    return versions.join(last, [*keys, "batch"]).select(*schema.names)

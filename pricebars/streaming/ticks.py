@@ -6,8 +6,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pricebars.operators.live import tick_change
-from pricebars.sources.tables import read_or_empty
-from pricebars.streaming.tables import write_batch
+from pricebars.streaming.tables import keep, kept, write_batch
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -112,19 +111,19 @@ def change_batch(batch: DataFrame, state: DataFrame) -> DataFrame:
 def stream_tick_change(ticks: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Tick change per symbol across micro-batches, over all files landed so far.
 
-    The state is a table of one row per symbol in two alternating folders: a batch reads the one the
-    batch before has written and replaces the other, so a batch that is run again finds the same state.
+    A batch is read from its source once and written; the rest works on what was written.  The state, one
+    row per symbol, is kept by :func:`keep`: a batch adds the symbols it moved.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = read_or_empty(spark, f"{out}/state/{(batch_id + 1) % 2}", STATE_SCHEMA)
-        if batch_id == 0:
-            state = spark.createDataFrame([], STATE_SCHEMA)
-        write_batch(change_batch(batch, state), f"{out}/changes", batch_id)
+        landed = ["event_id", "symbol", "ts", "price"]
+        write_batch(batch.select(*landed), f"{out}/landed", batch_id)
+        rows = spark.read.parquet(f"{out}/landed/batch={batch_id}")
+        state = kept(spark, f"{out}/state", batch_id, STATE_SCHEMA, ["symbol"])
+        write_batch(change_batch(rows, state), f"{out}/changes", batch_id)
         written = spark.read.schema(CHANGE_SCHEMA).parquet(f"{out}/changes/batch={batch_id}")
         fresh = written.filter(F.col("tick_status") != "late").select("event_id", *STATE_SCHEMA.names)
-        known = state.withColumn("event_id", F.lit(None).cast("bigint"))
-        last_ticks(known.unionByName(fresh)).write.mode("overwrite").parquet(f"{out}/state/{batch_id % 2}")
+        keep(spark, last_ticks(fresh), f"{out}/state", batch_id, STATE_SCHEMA, ["symbol"])
 
     return (
         ticks.writeStream.foreachBatch(handle)

@@ -107,13 +107,18 @@ def changes(spark, out):
     return stream_tables.all_batches(spark, f"{out}/changes", stream_ticks.CHANGE_SCHEMA)
 
 
-def test_tick_change_over_batches_and_a_restart(spark, tmp_path):
+def test_tick_change_over_batches_and_a_restart(spark, tmp_path, monkeypatch):
     landing, out, checkpoint = tmp_path / "in", str(tmp_path / "o"), str(tmp_path / "c")
     landing.mkdir()
     source = table(spark, FOLDER, "events").withColumn("ts", F.col("ts"))
+    monkeypatch.setattr(stream_tables, "COMPACT_EVERY", 2)
+    read = 0
     for i, (low, high) in enumerate([("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-20"), ("2024-01-20", "2024-03-01")]):
         land(source.filter((F.col("ts") >= low) & (F.col("ts") < high)), landing, f"part{i}")
-        stream_ticks.stream_tick_change(ticks_of(spark, landing), out, checkpoint).awaitTermination()
+        query = stream_ticks.stream_tick_change(ticks_of(spark, landing), out, checkpoint)
+        query.awaitTermination()
+        read += sum(p.numInputRows for p in query.recentProgress)
+    assert read == source.count()  # each batch is read once
     want = live.tick_change(event_ticks(spark, FOLDER))
     got = changes(spark, out)
     assert got.select("batch").distinct().count() == 3
