@@ -66,8 +66,13 @@ def masks(bits: tuple[int, ...] = BLOCK_BITS, distance: int = DISTANCE) -> list[
     return [m - (1 << 64) if m >> 63 else m for m in chosen]
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits that differ; numpy counts those of signed numbers without their sign, so it gets unsigned ones."""
+    return np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64))
+
+
 def _near(fp: np.ndarray, distance: int) -> np.ndarray:
-    return np.bitwise_count(fp[:, None] ^ fp[None, :]) <= distance
+    return _apart(fp[:, None], fp[None, :]) <= distance
 
 
 def _links(distance: int, run: int) -> Callable:
@@ -81,7 +86,7 @@ def _links(distance: int, run: int) -> Callable:
                 continue
             starts, sizes = bounds(table)
             two = starts[sizes == 2]
-            two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= distance]
+            two = two[_apart(fp[two], fp[two + 1]) <= distance]
             a, b = [rep[two]], [rep[two + 1]]
             for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
                 part = slice(start, start + size)
