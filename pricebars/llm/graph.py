@@ -5,19 +5,27 @@ from pyspark.sql import functions as F
 
 from pricebars.sources.store import materialise
 
+#: Rows of a few numbers that make a file.
+FILE_ROWS = 500_000
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node, component`` (smallest node reachable) of every node that has an edge; ``edges`` are ``a, b``.
+
+def files(rows: int) -> int:
+    return max(1, -(-rows // FILE_ROWS))
+
+
+def components(edges: DataFrame, rows: int) -> DataFrame:
+    """``node, component`` (smallest node reachable) of every node that has an edge; ``edges`` are ``a, b``, about ``rows``.
 
     Nulls and loops are ignored, repeated edges count once, no edges give no rows.  Each round writes its
-    edges; the rounds grow with the logarithm of the number of nodes.  A node of very high degree is a hot key
-    of a join only, which adaptive execution splits; minima are combined before the shuffle.
+    edges, in files of some ``FILE_ROWS``; the rounds grow with the logarithm of the number of nodes.  A node of very high
+    degree is a hot key of a join only, which adaptive execution splits; minima are combined before the shuffle.
     """
     forward = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    current = materialise(forward.distinct(), "edges")
+    current = materialise(forward.distinct().coalesce(files(rows)), "edges")
     seen = _state(current)
     while seen[0]:
-        current = materialise(_small_star(_large_star(current)), "edges")
+        # a round has no more edges than the one before
+        current = materialise(_small_star(_large_star(current)).coalesce(files(seen[0])), "edges")
         state = _state(current)
         if state == seen:
             break

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricebars.llm.graph import components
+from pricebars.llm.graph import components, files
 from pricebars.llm.runs import bounds, forest, runs
 from pricebars.llm.text import texts, words
 from pricebars.sources.store import materialise
@@ -125,15 +125,18 @@ def classes(
     prints: DataFrame, distance: int = DISTANCE, bits: tuple[int, ...] = BLOCK_BITS, run: int = RUN
 ) -> DataFrame:
     """``fp, component_id`` of every fingerprint of ``doc_id, fp``: the smallest doc_id reachable by links."""
-    each = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "classes")
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep is not null")
+    count = prints.count()
+    each = materialise(least.coalesce(files(count)), "classes")
     keys = [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(bits, distance))]
     keyed = each.select(F.explode(F.array(*keys)).alias("key"), "fp", "rep")
     dealt = keyed.repartition("key").sortWithinPartitions("key")
-    found = materialise(dealt.mapInArrow(_links(distance, run), "key long, fp long, a long, b long"), "links")
+    linked = dealt.mapInArrow(_links(distance, run), "key long, fp long, a long, b long")
+    found = materialise(linked.coalesce(files(count * len(keys))), "links")
     edges, late = found.where("b is not null").select("a", "b"), found.where("b is null")
     if not late.isEmpty():
         edges = edges.unionByName(_cells(late, distance, run))
-    grouped = components(edges).withColumnRenamed("node", "rep")
+    grouped = components(edges, found.count()).withColumnRenamed("node", "rep")
     joined = each.join(grouped, "rep", "left")
     return joined.select("fp", F.coalesce("component", "rep").alias("component_id"))
 
@@ -147,7 +150,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     prints = materialise(fingerprints(docs), "prints")
     joined = prints.withColumnRenamed("fp", "own").join(classes(prints), F.col("own") == F.col("fp"), "left")
-    return joined.select("doc_id", F.col("own").alias("fp"), "component_id")
+    return joined.select("doc_id", F.col("own").alias("fp"), "component_id").coalesce(files(prints.count()))
 
 
 def hexadecimal(fp: str = "fp") -> Column:
