@@ -25,13 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricebars.llm.blocks import pack, sparing, stored, unpack
 from pricebars.llm.text import pieces, texts
-from pricebars.sources.store import materialise
 
 #: M, the weight of the shorter context's opinion, in observations.
 BACKOFF = 3.0
 #: Bytes of text in a batch, and words or tokens for which there is one hash range.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 8 << 20
 RANGE = 2_000_000
 #: The hash that stands for the end of a text, which is also the context of its first word.
 _END = np.uint64(1)
@@ -54,7 +54,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inner = np.ones(len(tokens), bool)
         inner[ends] = False
         tokens[inner] = coded.indices.to_numpy(zero_copy_only=False) + 1
-        spelled = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        spelled = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, spelled), np.uint64, len(spelled))
         row = {
             "batch": first + number, "doc_ids": batch.column("doc_id").to_pylist(),
@@ -104,7 +104,7 @@ class _Batch:
 
 
 def _ask(ranges: tuple[int, int]):
-    """Rows ``part, kind, batch, hashes, counts``: training counts of words (kind 0) and pairs (1) by hash range."""
+    """Rows ``part, kind, batch, payload``: training counts of words (kind 0) and pairs (1) by hash range."""
 
     def ask(batches):
         for batch in batches:
@@ -121,12 +121,12 @@ def _ask(ranges: tuple[int, int]):
                     filled = np.flatnonzero(np.diff(cuts))
                     for begin in range(0, len(filled), 256):
                         some = filled[begin : begin + 256]
+                        blocks = [pack(h[s:e], c[s:e]) for s, e in zip(cuts[some], cuts[some + 1])]
                         yield pa.record_batch({
                             "part": pa.array(some + kind * ranges[0], pa.int64()),
                             "kind": pa.array([kind] * len(some), pa.int32()),
                             "batch": pa.array([row["batch"]] * len(some), pa.int64()),
-                            "hashes": pa.array([h[cuts[i] : cuts[i + 1]].tobytes() for i in some], pa.binary()),
-                            "counts": pa.array([c[cuts[i] : cuts[i + 1]].tobytes() for i in some], pa.binary()),
+                            "payload": pa.array(blocks, pa.binary()),
                         })
 
     return ask
@@ -140,10 +140,9 @@ def _by_range(hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _answer(asked: pa.Table) -> pa.Table:
     """Totals of a range, to each batch in the order it asked, and what the range holds as a row without batch."""
-    parts = [np.frombuffer(x, np.uint64) for x in asked.column("hashes").to_pylist()]
-    counts = np.concatenate([np.frombuffer(x, np.uint32) for x in asked.column("counts").to_pylist()])
+    parts, counts = zip(*[unpack(x, "u8", "u4") for x in asked.column("payload").to_pylist()])
     distinct, place = np.unique(np.concatenate(parts), return_inverse=True)
-    total = np.bincount(place, counts, len(distinct)).astype(np.int64)
+    total = np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.int64)
     replies = np.split(total[place], np.cumsum([len(p) for p in parts])[:-1])
     part, kind = asked.column("part")[0].as_py(), asked.column("kind")[0].as_py()
     n = len(parts)
@@ -151,7 +150,7 @@ def _answer(asked: pa.Table) -> pa.Table:
         "part": pa.array([part] * (n + 1), pa.int64()),
         "kind": pa.array([kind] * (n + 1), pa.int32()),
         "batch": pa.array([*asked.column("batch").to_pylist(), None], pa.int64()),
-        "counts": pa.array([*[r.tobytes() for r in replies], None], pa.binary()),
+        "payload": pa.array([*[pack(r) for r in replies], None], pa.binary()),
         "held": pa.array([None] * n + [int((total > 0).sum())], pa.int64()),
         "tokens": pa.array([None] * n + [int(total.sum())], pa.int64()),
     })
@@ -223,8 +222,8 @@ def _scored(total: int, known: int, backoff: float):
         answers = answers.sort_by("part")
         counts = []
         for kind, hashes in enumerate(b.hashes):
-            got = answers.filter(pc.equal(answers.column("kind"), kind)).column("counts").to_pylist()
-            reply = np.concatenate([np.frombuffer(x, np.int64) for x in got])
+            got = answers.filter(pc.equal(answers.column("kind"), kind)).column("payload").to_pylist()
+            reply = np.concatenate([unpack(x, "i8")[0] for x in got])
             own = np.empty(len(hashes), np.int64)
             own[np.argsort(hashes)] = reply
             counts.append(own)
@@ -252,17 +251,18 @@ def score(docs: DataFrame, backoff: float = BACKOFF) -> DataFrame:
     """
     training = F.coalesce(F.col("training"), F.lit(False)).alias("training")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", training)
-    encoded = materialise(rows.mapInArrow(_encode, _ENCODED), "encoded")
-    words, tokens = encoded.agg(F.sum(F.length("vocabulary") / 8), F.sum(F.length("tokens") / 4)).first()
-    ranges = tuple(max(1, -(-int(n or 0) // RANGE)) for n in (words, tokens))  # there are no more pairs than tokens
-    asked = encoded.mapInArrow(_ask(ranges), "part long, kind int, batch long, hashes binary, counts binary")
-    answers = asked.groupBy("part").applyInArrow(
-        _answer, "part long, kind int, batch long, counts binary, held long, tokens long"
-    )
-    answers = materialise(answers, "answers")
+    with sparing(docs.sparkSession):
+        encoded = stored(rows.mapInArrow(_encode, _ENCODED), "encoded")
+        words, tokens = encoded.agg(F.sum(F.length("vocabulary") / 8), F.sum(F.length("tokens") / 4)).first()
+        ranges = tuple(max(1, -(-int(n or 0) // RANGE)) for n in (words, tokens))  # there are no more pairs than tokens
+        asked = encoded.mapInArrow(_ask(ranges), "part long, kind int, batch long, payload binary")
+        answers = asked.groupBy("part").applyInArrow(
+            _answer, "part long, kind int, batch long, payload binary, held long, tokens long"
+        )
+        answers = stored(answers, "answers")
     held = answers.where("kind = 0 and batch is null").agg(F.sum("held"), F.sum("tokens")).first()
     known, total = (int(x or 0) for x in held)
-    replies = answers.where("batch is not null").select("batch", "part", "kind", "counts")
+    replies = answers.where("batch is not null").select("batch", "part", "kind", "payload")
     return encoded.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(
         _scored(total, known, backoff),
         "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double",

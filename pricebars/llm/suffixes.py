@@ -27,13 +27,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricebars.llm.blocks import pack, sparing, stored, unpack
 from pricebars.llm.text import pieces, texts
-from pricebars.sources.store import new_folder
 
 LENGTH = 50
 ANCHOR = 20
@@ -47,28 +46,6 @@ _DEPTH = 48
 _ASKED = "part long, batch long, payload binary"
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = new_folder(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _pack(*columns: np.ndarray) -> bytes:
-    """Columns of one length as one compressed block, byte planes apart, so that sorted keys take little room."""
-    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
-
-
-def _unpack(block: bytes, *types: str) -> list[np.ndarray]:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8)
-    widths = [np.dtype(t).itemsize for t in types]
-    n, at, columns = len(raw) // sum(widths), 0, []
-    for t, w in zip(types, widths):
-        columns.append(np.ascontiguousarray(raw[at : at + n * w].reshape(w, n).T).view(t).reshape(n))
-        at += n * w
-    return columns
-
-
 # --- texts and anchors -------------------------------------------------------------------------------
 
 
@@ -156,7 +133,7 @@ def _dealt(batch: int, part: np.ndarray, *columns: np.ndarray) -> Iterator[pa.Re
     ends = np.r_[starts[1:], len(part)]
     for begin in range(0, len(filled), 64):
         some = slice(begin, begin + 64)
-        blocks = [_pack(*[c[s:e] for c in columns]) for s, e in zip(starts[some], ends[some])]
+        blocks = [pack(*[c[s:e] for c in columns]) for s, e in zip(starts[some], ends[some])]
         yield pa.record_batch({
             "part": pa.array(filled[some].astype(np.int64)),
             "batch": pa.array(np.full(len(blocks), batch, np.int64)),
@@ -170,12 +147,12 @@ def _answered(asked: pa.Table, answers: list[bytes]) -> pa.Table:
 
 def _answer_anchors(asked: pa.Table) -> pa.Table:
     """For each anchor whether several documents have it, whichever batches they are in."""
-    blocks = [_unpack(b, "u8", "u1") for b in asked.column("payload").to_pylist()]
+    blocks = [unpack(b, "u8", "u1") for b in asked.column("payload").to_pylist()]
     h, several = (np.concatenate(c) for c in zip(*blocks))
     distinct, place = np.unique(h, return_inverse=True)
     count = np.bincount(place, 1.0 + several, len(distinct))
     cuts = np.cumsum([len(b[0]) for b in blocks])[:-1]
-    return _answered(asked, [_pack(r) for r in np.split((count[place] > 1).astype(np.uint8), cuts)])
+    return _answered(asked, [pack(r) for r in np.split((count[place] > 1).astype(np.uint8), cuts)])
 
 
 # --- what can repeat ---------------------------------------------------------------------------------
@@ -187,7 +164,7 @@ _NONE = np.iinfo(np.int64).max
 
 def _joined(answers: pa.Table, *types: str) -> list[np.ndarray]:
     """The blocks of a batch, in the order of their ranges."""
-    blocks = [_unpack(b, *types) for b in answers.sort_by("part").column("payload").to_pylist()]
+    blocks = [unpack(b, *types) for b in answers.sort_by("part").column("payload").to_pylist()]
     return [np.concatenate(c) for c in zip(*blocks)] if blocks else [np.empty(0, t) for t in types]
 
 
@@ -238,6 +215,7 @@ class _Part:
     def __init__(self, row: dict):
         self.text = np.frombuffer(row["text"], np.uint8)
         self.lengths = np.array(row["lengths"], np.int64)
+        self.docs = np.array(row["docs"], np.int64)
         self.begin = np.cumsum(self.lengths) - self.lengths
         end = np.repeat(self.begin + self.lengths, self.lengths)
         place = np.arange(len(self.text))
@@ -251,6 +229,18 @@ class _Part:
         last = (padded[p + 16] << np.uint64(8) | padded[p + 17]).astype(np.uint16) if len(p) else np.empty(0, np.uint16)
         self.keys = (eight[p], eight[np.minimum(p + 8, len(self.text))], last)
 
+    def owners(self) -> np.ndarray:
+        """For each place the number of its text in the batch."""
+        return self.docs[np.searchsorted(self.begin, self.place, side="right") - 1]
+
+    def several(self, of: np.ndarray) -> np.ndarray:
+        """Whether more than one text of the batch has a key, for all distinct keys; ``of`` says which a place has."""
+        owner, count = self.owners(), int(of.max(initial=-1)) + 1
+        one, other = np.full(count, np.iinfo(np.int64).max), np.full(count, -1)
+        np.minimum.at(one, of, owner)
+        np.maximum.at(other, of, owner)
+        return (one < other).astype(np.uint8)
+
     def distinct(self) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
         """The distinct keys in ascending order, and which of them each place has."""
         return _distinct(*self.keys)
@@ -280,22 +270,29 @@ def _ask_names(bounds: np.ndarray) -> Callable:
     def ask(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                keys, _ = _Part(row).distinct()
-                yield from _dealt(row["batch"], np.searchsorted(bounds, keys[0], side="right"), *keys)
+                part = _Part(row)
+                keys, of = part.distinct()
+                yield from _dealt(row["batch"], np.searchsorted(bounds, keys[0], side="right"), *keys, part.several(of))
 
     return ask
 
 
 def _answer_names(asked: pa.Table) -> pa.Table:
-    """The rank of each key within its range, and as a row without batch how many keys the range has."""
-    blocks = [_unpack(b, "u8", "u8", "u2") for b in asked.column("payload").to_pylist()]
-    keys, of = _distinct(*(np.concatenate(c) for c in zip(*blocks)))
-    ranks = np.split(of.astype(np.uint32), np.cumsum([len(b[0]) for b in blocks])[:-1])
+    """The rank of each key within its range, and whether several texts have it.
+
+    A row without batch says how many keys the range has.
+    """
+    blocks = [unpack(b, "u8", "u8", "u2", "u1") for b in asked.column("payload").to_pylist()]
+    *columns, several = (np.concatenate(c) for c in zip(*blocks))
+    keys, of = _distinct(*columns)
+    shared = (np.bincount(of, 1.0 + several, len(keys[0])) > 1).astype(np.uint8)
+    cuts = np.cumsum([len(b[0]) for b in blocks])[:-1]
+    ranks, shares = np.split(of.astype(np.uint32), cuts), np.split(shared[of], cuts)
     part = asked.column("part")[0].as_py()
     return pa.table({
         "part": pa.array([part] * (len(blocks) + 1), pa.int64()),
         "batch": pa.array([*asked.column("batch").to_pylist(), None], pa.int64()),
-        "payload": pa.array([*[_pack(np.diff(r, prepend=r[:1])) for r in ranks], None], pa.binary()),
+        "payload": pa.array([*[pack(np.diff(r, prepend=r[:1]), s) for r, s in zip(ranks, shares)], None], pa.binary()),
         "first": pa.array([*[int(r[0]) for r in ranks], None], pa.int64()),
         "held": pa.array([None] * len(blocks) + [len(keys[0])], pa.int64()),
     })
@@ -303,59 +300,73 @@ def _answer_names(asked: pa.Table) -> pa.Table:
 
 # --- triples of names --------------------------------------------------------------------------------
 
-def _ask_strings(total: int, ranges: int) -> Callable:
+def _ask_strings(total: int, ranges: int, state: bool) -> Callable:
     """Distinct triples of names with the bytes around them, and the first document of the batch that has them.
 
-    A row without range says which key each sampled place has.
+    Only triples of names that several texts have can belong to a repeated string.  With ``state`` there is one
+    row instead, which says which places have a key and which one.
     """
 
     def ask(whole: pa.Table, names: pa.Table) -> pa.Table:
         (row,) = whole.to_pylist()
         part = _Part(row)
         names = names.sort_by("part")
-        found = [
-            np.cumsum(_unpack(b, "u4")[0].astype(np.uint64)) + np.uint64(first + before)
-            for b, first, before in zip(*(names.column(c).to_pylist() for c in ("payload", "first", "before")))
-        ]
+        blocks = [unpack(b, "u4", "u1") for b in names.column("payload").to_pylist()]
         _, of = part.distinct()
-        name = np.zeros(len(part.text) + 1, np.uint64)
+        shared = np.zeros(len(part.text) + 1, bool)
+        local = np.zeros(len(part.text) + 1, np.uint64)  # which distinct key of the batch: in the order of the names
         if len(of):
-            name[part.place] = np.concatenate(found)[of]
-        place, left = part.place[part.left >= _DEPTH], part.left[part.left >= _DEPTH]
+            shared[part.place] = np.concatenate([s for _, s in blocks]).astype(bool)[of]
+            local[part.place] = of
+        keep = part.left >= _DEPTH
+        place, left = part.place[keep], part.left[keep]
+        keep = shared[place] & shared[place + _STEP] & shared[place + 2 * _STEP]
+        place, left = place[keep], left[keep]
         owner = np.searchsorted(part.begin, place, side="right") - 1
         before = place - part.begin[owner]
-        around, valid = [], np.zeros(len(place), np.uint8)
-        for side in range(3):
-            inside = (before >= side) & (left >= LENGTH - side)
-            valid |= inside.astype(np.uint8) << np.uint8(side)
+        valid = sum((((before >= side) & (left >= LENGTH - side)).astype(np.uint64) << np.uint64(side)) for side in range(3))
+        around = valid * np.uint64(1)
         for at in (-2, -1, _DEPTH, _DEPTH + 1):
             inside = (before >= -at) if at < 0 else (left > at)
-            around.append(np.where(inside, part.text[np.clip(place + at, 0, len(part.text) - 1)], 0).astype(np.uint8))
+            byte = np.where(inside, part.text[np.clip(place + at, 0, max(0, len(part.text) - 1))], 0) if len(place) else place
+            around = around << np.uint64(8) | byte.astype(np.uint64)
+        # a batch has fewer than 2**28 places: three of its keys and 35 bits around them make two numbers
+        one = local[place] << np.uint64(32) | local[place + _STEP]
+        two = local[place + 2 * _STEP] << np.uint64(35) | around
+        (one, two), key = _distinct(one, two)
+        if state:
+            return _answered(
+                pa.table({"part": pa.array([None], pa.int64()), "batch": pa.array([row["batch"]], pa.int64())}),
+                [pack(key.astype(np.uint32), place.astype(np.uint32))],
+            )
+        name = np.concatenate([
+            np.cumsum(r.astype(np.uint64)) + np.uint64(first + offset)
+            for (r, _), first, offset in zip(blocks, *(names.column(c).to_pylist() for c in ("first", "before")))
+        ]) if blocks else np.empty(0, np.uint64)
         doc = np.array(row["doc_ids"], np.int64)[owner] if len(place) else np.empty(0, np.int64)
-        keys = (name[place], name[place + _STEP], name[place + 2 * _STEP], *around, valid)
-        distinct, of = _distinct(*keys)
-        first = np.full(len(distinct[0]), _NONE)
-        np.minimum.at(first, of, doc)
-        range_of = (distinct[0].astype(np.float64) * ranges / max(total, 1)).astype(np.int64)
-        rows = list(_dealt(row["batch"], np.minimum(range_of, ranges - 1), *distinct, first))
-        rows.append(pa.record_batch({
-            "part": pa.array([None], pa.int64()), "batch": pa.array([row["batch"]], pa.int64()),
-            "payload": pa.array([_pack(of.astype(np.uint32))], pa.binary()),
-        }))
-        return pa.Table.from_batches(rows)
+        first = np.full(len(one), _NONE)
+        np.minimum.at(first, key, doc)
+        low = np.uint64((1 << 32) - 1)
+        triple = [name[x.astype(np.int64)] for x in (one >> np.uint64(32), one & low, two >> np.uint64(35))]
+        around = two & np.uint64((1 << 35) - 1)
+        range_of = (triple[0].astype(np.float64) * ranges / max(total, 1)).astype(np.int64)
+        asked = list(_dealt(row["batch"], np.minimum(range_of, ranges - 1), *triple, around, first))
+        empty = {"part": pa.array([], pa.int64()), "batch": pa.array([], pa.int64()), "payload": pa.array([], pa.binary())}
+        return pa.Table.from_batches(asked) if asked else pa.table(empty)
 
     return ask
 
 
 def _answer_strings(asked: pa.Table) -> pa.Table:
     """For each key and side the first document that has the whole string."""
-    blocks = [_unpack(b, *["u8"] * 3, *["u1"] * 5, "i8") for b in asked.column("payload").to_pylist()]
-    *triple, a, b, c, d, valid, doc = (np.concatenate(x) for x in zip(*blocks))
+    blocks = [unpack(b, *["u8"] * 4, "i8") for b in asked.column("payload").to_pylist()]
+    *triple, around, doc = (np.concatenate(x) for x in zip(*blocks))
     _, of = _distinct(*triple)
+    around = around.astype(np.int64)
     firsts = []
-    for side, (x, y) in enumerate(((c, d), (b, c), (a, b))):
-        string = of << 16 | x.astype(np.int64) << 8 | y
-        has = np.flatnonzero(valid >> side & 1)
+    for side in range(3):  # the bytes around are -2, -1, 48 and 49, from the highest; two of them complete a string
+        string = of << 16 | (around >> 8 * side & 0xFFFF)
+        has = np.flatnonzero(around >> 32 + side & 1)
         _, at = np.unique(string[has], return_inverse=True)
         least = np.full(at.max(initial=-1) + 1, _NONE)
         np.minimum.at(least, at, doc[has])
@@ -363,16 +374,16 @@ def _answer_strings(asked: pa.Table) -> pa.Table:
         first[has] = least[at]
         firsts.append(first)
     cuts = np.cumsum([len(b[0]) for b in blocks])[:-1]
-    return _answered(asked, [_pack(*f) for f in zip(*[np.split(f, cuts) for f in firsts])])
+    return _answered(asked, [pack(*f) for f in zip(*[np.split(f, cuts) for f in firsts])])
 
 
 def _removed(whole: pa.Table, answers: pa.Table) -> pa.Table:
     """Document, start and end of the maximal runs to remove."""
     (row,) = whole.to_pylist()
     part = _Part(row)
-    place = part.place[part.left >= _DEPTH]
     own = pa.compute.is_null(answers.column("part"))
-    (of,) = _unpack(answers.filter(own).column("payload")[0].as_py(), "u4")
+    of, place = unpack(answers.filter(own).column("payload")[0].as_py(), "u4", "u4")
+    place = place.astype(np.int64)
     firsts = _joined(answers.filter(pa.compute.invert(own)), "i8", "i8", "i8")
     owner = np.searchsorted(part.begin, place, side="right") - 1
     doc = np.array(row["doc_ids"], np.int64)[owner] if len(place) else np.empty(0, np.int64)
@@ -445,44 +456,51 @@ def _bounds(parts: DataFrame, ranges: int) -> np.ndarray:
     return np.unique(keys[np.linspace(0, len(keys) - 1, ranges + 1).astype(np.int64)[1:-1]]) if len(keys) else keys
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, spans, kept`` of every row of ``doc_id, text``.
-
-    Texts are UTF-8 bytes, null ones empty.  ``spans`` are the maximal removed runs, ``kept`` what is left, joined.  Strings
-    never cross documents and are judged on the whole input.  Rows that share an id don't remove from each other; rows
-    without an id lose to all that have one and not to each other.  Other columns are ignored; no rows give none.
-    """
+def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The batches of texts, which of them are copies, and the runs to remove from the others."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    whole = _stored(
+    whole = stored(
         rows.mapInArrow(_batched, "batch long, doc_ids array<long>, lengths array<long>, digests array<binary>, text binary"),
         "texts",
     )
     size = whole.agg(F.sum(F.length("text"))).first()[0] or 0
-    copies = _stored(_copies(whole), "copies")
+    copies = stored(_copies(whole), "copies")
     ranges = max(1, size // 13 // RANGE)
     asked = whole.mapInArrow(_ask_anchors(ranges), _ASKED)
-    shared = _stored(asked.groupBy("part").applyInArrow(_answer_anchors, _ASKED), "anchors")
+    shared = stored(asked.groupBy("part").applyInArrow(_answer_anchors, _ASKED), "anchors")
     known = shared.unionByName(copies, allowMissingColumns=True)
     parts = whole.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(_candidates, _PARTS)
-    parts = _stored(parts, "parts")
+    parts = stored(parts, "parts")
 
     size = parts.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(1, size * 2 // 3 // RANGE)
     asked = parts.mapInArrow(_ask_names(_bounds(parts, ranges)), _ASKED)
     named = asked.groupBy("part").applyInArrow(_answer_names, f"{_ASKED}, first long, held long")
-    named = _stored(named, "names")
+    named = stored(named, "names")
     held = named.where("batch is null").select("part", "held")
     before = F.sum("held").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = held.select("part", F.coalesce(before, F.lit(0)).alias("before"))  # a row for each of ``ranges``
     total = held.agg(F.sum("held")).first()[0] or 0
     names = named.where("batch is not null").join(F.broadcast(offsets), "part")
-    asked = parts.groupBy("batch").cogroup(names.groupBy("batch")).applyInArrow(_ask_strings(total, ranges), _ASKED)
-    asked = _stored(asked, "strings")
-    firsts = asked.where("part is not null").groupBy("part").applyInArrow(_answer_strings, _ASKED)
-    firsts = _stored(firsts, "firsts").unionByName(asked.where("part is null"))
+    met = parts.groupBy("batch").cogroup(names.groupBy("batch"))
+    asked = met.applyInArrow(_ask_strings(total, ranges, False), _ASKED)
+    firsts = stored(asked.groupBy("part").applyInArrow(_answer_strings, _ASKED), "firsts")
+    # which keys a batch has asked for is worked out again: that takes less room than to keep them
+    firsts = firsts.unionByName(met.applyInArrow(_ask_strings(total, ranges, True), _ASKED))
     runs = parts.groupBy("batch").cogroup(firsts.groupBy("batch"))
-    runs = _stored(runs.applyInArrow(_removed, "batch long, doc long, low long, high long"), "runs")
+    runs = stored(runs.applyInArrow(_removed, "batch long, doc long, low long, high long"), "runs")
+    return whole, copies, runs
+
 
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, spans, kept`` of every row of ``doc_id, text``.
+
+    Texts are UTF-8 bytes, null ones empty.  ``spans`` are the maximal removed runs, ``kept`` what is left, joined.  Strings
+    never cross documents and are judged on the whole input.  Rows that share an id don't remove from each other; rows
+    without an id lose to all that have one and not to each other.  Other columns are ignored; no rows give none.
+    """
+    with sparing(docs.sparkSession):
+        whole, copies, runs = _found(docs)
     runs = runs.unionByName(copies, allowMissingColumns=True)
     return whole.groupBy("batch").cogroup(runs.groupBy("batch")).applyInArrow(
         _kept,
