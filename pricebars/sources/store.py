@@ -5,7 +5,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,8 +53,8 @@ def write_served(df: DataFrame, path: str, keys: list[str]) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Predictions or metrics as CSV, one folder per model and timeframe."""
+    """Predictions or metrics as CSV, one folder per model and timeframe; symbols are spread over all tasks."""
     (
-        df.repartition("model_name", "timeframe", F.pmod(F.xxhash64("symbol"), F.lit(64)))
+        df.repartition("symbol")
         .write.mode("overwrite").partitionBy("model_name", "timeframe").option("header", True).csv(path)
     )
