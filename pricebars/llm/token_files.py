@@ -10,39 +10,40 @@ whole files when a task is run again.
 """
 
 import hashlib
+import json
 import os
-import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pricebars.llm.blocks import sparing
 from pricebars.llm.sampling import bounded, with_text
+from pricebars.llm.text import pieces
 
 END = 2
 TOKENIZER = "byte_bpe_50k.json"
 #: The dictionary: its size, and the documents that it is trained on at most.
 DICTIONARY_BYTES = 64 << 10
 SAMPLE = 1_000
-LEVEL = 3
+LEVEL = 1
 #: A block ends beyond so many compressed bytes or documents.
 BLOCK_BYTES, BLOCK_DOCS = 2 << 20, 4_096
-#: Pieces of text whose ids a task remembers.
-REMEMBERED = 400_000
+#: Pieces whose ids a task remembers, and bytes of text that it encodes at a time.
+REMEMBERED = 200_000
+CUT = 2 << 20
 
 _BLOCKS = (
     "shard int, block int, first_doc long, last_doc long, first_token long, doc_ids array<long>, n_tokens array<long>, "
     "offsets array<long>, sha256 string, width int, payload binary"
 )
-# A word with the white space before it.  The tokenizer never joins what is on both sides of such a cut, as its own
-# split ends where white space begins; it knows no white space that Python doesn't, and the other way round only these:
-_CUT = re.compile(r"\s*\S+|\s+")
-_ODD = re.compile("[\x1c-\x1f]")
 
 
 def tokenizer_file(name: str) -> str:
@@ -54,34 +55,91 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(name: str, end: int, remember: int = REMEMBERED) -> Callable[[str], np.ndarray]:
-    """A function from text to its ids and ``end``, as unsigned 32-bit integers.
+class Encoder:
+    """Ids of whole texts, each followed by ``end``, as the tokenizer gives them, but several times as fast.
 
-    Texts are cut before white space and the ids of each piece are remembered: the same ids as those of the whole
-    text, several times as fast.  What is remembered is bounded; when full it starts anew.
+    A byte-level tokenizer splits texts by its pattern before it merges, and never joins what is on both sides of a blank or a
+    line end that a visible character follows and that the cut comes before.  So texts are cut there, each distinct piece is
+    encoded once and remembered (beyond ``REMEMBERED`` pieces only those of the texts at hand stay), and the ids are put together.  A
+    text with other white space at a cut, and every text for another kind of tokenizer, is encoded whole.
     """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_file(name))
-    known: dict[str, bytes] = {}
-    last = np.array([end], "<u4").tobytes()
 
-    def encode(text: str) -> np.ndarray:
-        if _ODD.search(text):
-            ids = tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array([*ids, end], "<u4")
-        cut = _CUT.findall(text)
-        new = {p for p in cut if p not in known}
-        if new:
-            if len(known) + len(new) > remember:
-                known.clear()
-                new = set(cut)
-            new = list(new)
-            for p, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-        return np.frombuffer(b"".join([known[p] for p in cut]) + last, "<u4")
-
-    return encode
+    def __init__(self, name: str, end: int):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
+        self.end = end
+        kind = json.loads(self.tokenizer.to_str())
+        before = kind["pre_tokenizer"] or {}
+        self.cuts = (
+            kind["normalizer"] is None and kind["model"]["type"] == "BPE" and not kind["model"].get("ignore_merges")
+            and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        )
+        self.known: dict[str, bytes | None] = {}
+        # byte-level vocabularies write visible Latin-1 characters as they are, and the other bytes from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in set(shown)]
+        self.letters = {b: 256 + i for i, b in enumerate(hidden)}
+        self.blank = chr(self.letters[32])
+        self.marks = {m: self.word(m) for m in ".,!?;:"} if self.cuts else {}
+
+    def word(self, piece: str) -> bytes:
+        """Ids of letters only, perhaps after a blank, or of one mark: what the pattern leaves whole."""
+        if piece.isascii():
+            written = piece.replace(" ", self.blank)
+        else:
+            written = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(written)]).tobytes()
+
+    def learn(self, new: list[str]) -> None:
+        """Remember the ids of pieces; those that may not be cut off are remembered as None."""
+        known, word, rest, ended = self.known, self.word, [], []
+        for p in new:
+            if p.isalpha():
+                known[p] = word(" " + p)
+            elif p[-1:] in self.marks and p[:-1].isalpha():
+                ended.append(p)
+            elif p[:1] != "\x01" and ((first := p[1:2] if p[:1] == "\n" else p[:1]) <= " " or first.isspace()):
+                known[p] = None
+            else:
+                rest.append(p)
+        for p in ended:
+            known[p] = (known.get(p[:-1]) or word(" " + p[:-1])) + self.marks[p[-1]]
+        chunks = [p[1:] if p[0] == "\x01" else p if p[0] == "\n" else " " + p for p in rest]
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
+            known[p] = array("I", e.ids).tobytes()
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, self.end], "<u4")
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts or not self.cuts:
+            return [self.whole(t) for t in texts]
+        # every piece but the first of a text (marked) follows a blank, or begins with its line end
+        marked = ["\x01" + t.replace("\n", " \n") if "\x01" not in t else "\x01 " for t in texts]
+        split = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        new = [p for p in distinct if p not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = {p: self.known[p] for p in distinct if p in self.known}  # frequent pieces are among these
+        self.learn(new)
+        ids = [self.known[p] for p in distinct]
+        bad = np.array([i is None for i in ids])
+        flat = np.frombuffer(b"".join([i or b"" for i in ids]), "<u4")
+        size = np.array([len(i or b"") // 4 for i in ids], np.int64)
+        at = (np.cumsum(size) - size)[codes]
+        n = size[codes]
+        after = np.cumsum(n)
+        joined = flat[np.repeat(at - (after - n), n) + np.arange(after[-1])]
+        offsets = split.offsets.to_numpy()
+        cuts = np.r_[0, after][offsets]
+        wrong = np.r_[0, np.cumsum(bad[codes])][offsets]
+        return [
+            self.whole(t) if wrong[i] < wrong[i + 1] else np.append(joined[cuts[i] : cuts[i + 1]], np.uint32(self.end))
+            for i, t in enumerate(texts)
+        ]
 
 
 def width_of(name: str, end: int) -> int:
@@ -96,9 +154,9 @@ def train_dictionary(docs: DataFrame, tokenizer: str = TOKENIZER, end: int = END
     width = width_of(tokenizer, end)
 
     def arrays(batches):
-        encode = encoder(tokenizer, end)
+        encoder = Encoder(tokenizer, end)
         for batch in batches:
-            rows = (encode(t or "") for t in batch.column("text").to_pylist())
+            rows = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
             yield pa.record_batch({"ids": pa.array([r.astype(f"<u{width}").tobytes() for r in rows], pa.binary())})
 
     sample = with_text(docs, bounded(docs.select("doc_id"), SAMPLE, 4)).select("text")
@@ -115,7 +173,7 @@ def _pack(tokenizer: str, end: int, width: int, dictionary: bytes) -> Callable:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared).compress
-        encode = encoder(tokenizer, end)
+        encoder = Encoder(tokenizer, end)
         shard, block, before = TaskContext.get().partitionId(), 0, 0
         ids, counts, frames, held = [], [], [], 0
 
@@ -129,9 +187,9 @@ def _pack(tokenizer: str, end: int, width: int, dictionary: bytes) -> Callable:
             }
             return pa.RecordBatch.from_pylist([row], schema=_schema())
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                found = encode(text.as_py() or "")
+        for batch in pieces(batches, CUT):
+            encoded = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), encoded):
                 frame = compress(found.astype(f"<u{width}").tobytes())
                 ids.append(doc_id)
                 counts.append(len(found))
@@ -170,7 +228,8 @@ def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     pack = _pack(tokenizer, end, width_of(tokenizer, end), dictionary)
-    rows.mapInArrow(pack, _BLOCKS).write.parquet(f"{path}/blocks")
+    with sparing(docs.sparkSession):
+        rows.mapInArrow(pack, _BLOCKS).write.parquet(f"{path}/blocks")
 
 
 def _dictionary(spark: SparkSession, path: str) -> tuple[str, bytes]:
