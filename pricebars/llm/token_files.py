@@ -69,6 +69,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
         self.end = end
+        # what is worth remembering is remembered here; the tokenizer's own memory outlives it and would add up by task
+        if resize := getattr(self.tokenizer.model, "_resize_cache", None):
+            resize(0)
         kind = json.loads(self.tokenizer.to_str())
         before = kind["pre_tokenizer"] or {}
         self.cuts = (
