@@ -37,7 +37,8 @@ def test_toxicity_of_held_out_documents(spark):
     pairs = held_out(spark, "op1_toxicity", "toxic")
     clean, toxic = [s for s, y in pairs if not y], [s for s, y in pairs if y]
     assert all(s < 0.5 for s in clean)
-    assert np.mean([t > c for t in toxic for c in clean]) >= 0.8
+    # area under the curve; documents without any known word share a score, and such a tie counts one half
+    assert np.mean([(t > c) + (t == c) / 2 for t in toxic for c in clean]) >= 0.8
 
 
 def test_scores_ignore_labels_of_held_out_rows_and_every_other_column(spark):
