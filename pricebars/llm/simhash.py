@@ -48,14 +48,14 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` of every row; a null text has no words."""
+def fingerprints(docs: DataFrame, *more: Column) -> DataFrame:
+    """``doc_id, fp`` of every row, with ``more`` before them; a null text has no words."""
 
     @F.arrow_udf("long")
     def prints(column: pa.Array) -> pa.Array:
         return pa.array([fingerprint(t) for t in texts(column)], pa.int64())
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), prints("text").alias("fp"))
+    return docs.select(*more, F.col("doc_id").cast("long").alias("doc_id"), prints("text").alias("fp"))
 
 
 def masks(bits: tuple[int, ...] = BLOCK_BITS, distance: int = DISTANCE) -> list[int]:
