@@ -84,8 +84,8 @@ def index(items: list[tuple[int, str]], edits: float = EDITS, q: int = Q) -> Ite
     )
 
 
-def candidates(text: np.ndarray, items: Items, q: int = Q) -> tuple[np.ndarray, np.ndarray]:
-    """Item and first diagonal of every band with enough shared q-grams."""
+def candidates(text: np.ndarray, items: Items, ends: np.ndarray, q: int = Q) -> tuple[np.ndarray, ...]:
+    """Document, item and first diagonal of every band with enough q-grams of one document; these end at ``ends``."""
     h = grams(text, q)
     count = (items.starts[1:] - items.starts[:-1]).astype(np.uint16)
     hit = np.flatnonzero(count[h])
@@ -99,17 +99,20 @@ def candidates(text: np.ndarray, items: Items, q: int = Q) -> tuple[np.ndarray,
     band = (place - items.place[at] + offset) // half
     span = int(band.max(initial=0)) + 2
     # two half bands make a band; the band that begins before the first hit holds no more than the next
-    keys, hits = np.unique(item * span + band, return_counts=True)
+    doc = np.searchsorted(ends, place)
+    keys, hits = np.unique((doc * len(items.ids) + item) * span + band, return_counts=True)
     pair = np.flatnonzero(np.diff(keys) == 1)
     together = hits.copy()
     together[pair] += hits[pair + 1]
-    keys = keys[together >= items.least[keys // span]]
-    item, band = keys // span, keys % span
-    return item, band * (items.budget[item] + 1) - offset
+    keys = keys[together >= items.least[keys // span % len(items.ids)]]
+    (doc, item), band = divmod(keys // span, len(items.ids)), keys % span
+    return doc, item, band * (items.budget[item] + 1) - offset
 
 
-def align(text: np.ndarray, items: Items, item: np.ndarray, low: np.ndarray, q: int = Q) -> tuple[np.ndarray, ...]:
-    """Start, end and edits of the best alignment of each item with the text near a band of diagonals.
+def align(
+    text: np.ndarray, items: Items, item: np.ndarray, low: np.ndarray, begin: np.ndarray, end: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Start, end and edits of the best alignment of each item with the text from begin to end near a band of diagonals.
 
     All candidates advance together, one character of the item at a time; a state is a diagonal.
     """
@@ -121,7 +124,7 @@ def align(text: np.ndarray, items: Items, item: np.ndarray, low: np.ndarray, q:
     for c, i in enumerate(item.tolist()):
         pattern[c, : items.size[i]] = items.codes[i]
     at = low[:, None] + np.arange(rows + width)
-    window = np.where((at >= 0) & (at < len(text)), text[np.clip(at, 0, len(text) - 1)], np.uint32(0xFFFFFFFF))
+    window = np.where((at >= begin[:, None]) & (at < end[:, None]), text[np.clip(at, 0, len(text) - 1)], np.uint32(0xFFFFFFFF))
     one, far = 1 << _COST, np.int64(1 << 50)
     state = np.where(diagonal < (4 * k + 2)[:, None], diagonal, far)
     for i in range(rows):
@@ -135,27 +138,27 @@ def align(text: np.ndarray, items: Items, item: np.ndarray, low: np.ndarray, q:
 
 
 def scan(texts: list[str], items: Items) -> list[list[dict]]:
-    """For each normal text the items it holds, with place and edits; of overlapping finds of an item the best."""
+    """For each normal text the items it holds, with place and edits; of overlapping finds of an item the best.
+
+    Texts are joined to be scanned in one go, but each is matched and aligned by itself.
+    """
     found: list[list[dict]] = [[] for _ in texts]
     if not texts or not items.ids:
         return found
     joined = codes("\x00".join(texts))
     ends = np.cumsum([len(t) + 1 for t in texts]) - 1
     starts = ends - [len(t) for t in texts]
-    item, low = candidates(joined, items)
+    doc, item, low = candidates(joined, items, ends)
     order = np.argsort(items.size[item], kind="stable")
     for begin in range(0, len(order), 256):
         part = order[begin : begin + 256]
-        chosen = item[part]
-        first, end, edits = align(joined, items, chosen, low[part])
+        chosen, own = item[part], doc[part]
+        first, end, edits = align(joined, items, chosen, low[part], starts[own], ends[own])
         good = edits <= items.budget[chosen]
-        middle = (first + end) // 2
-        doc = np.searchsorted(ends, middle)
-        for i, d, a, b, e in zip(chosen[good], doc[good], first[good], end[good], edits[good]):
-            if d < len(texts):
-                a, b = max(int(a), int(starts[d])), min(int(b), int(ends[d]))
-                place = {"start": a - int(starts[d]), "end": b - int(starts[d]), "edits": int(e)}
-                found[d].append({"item_id": items.ids[i]} | place)
+        for i, d, a, b, e in zip(chosen[good], own[good], first[good], end[good], edits[good]):
+            a, b = max(int(a), int(starts[d])), min(int(b), int(ends[d]))
+            place = {"start": a - int(starts[d]), "end": b - int(starts[d]), "edits": int(e)}
+            found[d].append({"item_id": items.ids[i]} | place)
     return [_best(f) for f in found]
 
 
