@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricebars.llm import (
-    decontamination, embeddings, language_model, mixing, quality, simhash, suffixes, token_files, toxicity,
-    urls,
+    decontamination, embeddings, language_model, line_dedup, mixing, quality, resampling, simhash, suffixes, token_files,
+    toxicity, urls, whitening,
 )
 from pricebars.llm.text import read, remainder
 from pricebars.sources.store import new_folder
@@ -127,3 +127,43 @@ def op3_embeddings(spark, sf_dir):
 def op9_suffixes(spark, sf_dir):
     found = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op11_resampling(spark, sf_dir):
+    docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, benchmark).select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query
+def op12_line_dedup(spark, sf_dir):
+    found = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_SQL["op12_line_dedup"] = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+    FROM documents
+), keyed AS (
+    SELECT doc_id, pos, line,
+           translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), repeated AS (
+    SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+    SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.top AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@_query
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(read(spark, sf_dir, "embeddings")).select(
+        "row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
