@@ -16,13 +16,20 @@ from pricebars.schema import INDICATORS, TIMEFRAMES
 def _tick_order(ticks: DataFrame) -> Column:
     """What orders the ticks of one symbol inside one day.
 
-    A scalar wherever that is enough: ``min_by``/``max_by`` on a scalar aggregate in a hash table, on a
-    struct they sort all ticks first.  If ``ts`` is a DATE, all ticks of a day share it.
+    A scalar wherever that is possible: ``min_by``/``max_by`` on a scalar aggregate in a hash table, on a
+    struct they sort all ticks first.  If ``ts`` is a DATE, all ticks of a day share it.  A time stamp with a whole number that
+    breaks its ties is one number of 38 digits: the micros of the day, times 2^64, and the number.
     """
     if "seq" not in ticks.columns:
         return F.col("ts")
     if isinstance(ticks.schema["ts"].dataType, T.DateType):
         return F.col("seq")
+    if isinstance(ticks.schema["seq"].dataType, T.IntegralType):
+        whole = "decimal(38,0)"
+        of_day = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.date_trunc("day", F.col("ts").cast("timestamp")))
+        # less than 2^37 * 2^64: exact; a missing number comes before all others, as a missing part of a struct does
+        number = F.coalesce(F.col("seq").cast(whole), F.lit(str(-(2**63) - 1)).cast(whole))
+        return (of_day.cast(whole) * F.lit(str(2**64)).cast("decimal(20,0)")).cast(whole) + number
     return F.struct("ts", "seq")
 
 
@@ -66,11 +73,14 @@ def _prices() -> list[Column]:
 def roll_up(days: DataFrame, timeframes: list[str]) -> DataFrame:
     """Day bars -> bars of the given timeframes, in one pass and one shuffle.
 
+    The shuffle is by symbol alone: a symbol's bars, of which the calendar bounds the number, are then in one task, so the windows and
+    aggregations over (symbol, timeframe) that follow need no shuffle of their own.
+
     Open and close are those of the first and last day, missing if missing there; high and low ignore
     missing values.  Each day bar is expanded to its week, month and year before the aggregation, so the day bars are
     computed once, not once per timeframe.
     """
-    expanded = days.select(
+    expanded = days.repartition("symbol").select(
         "symbol",
         F.explode(F.array(*[F.lit(t) for t in timeframes])).alias("timeframe"),
         F.col("time_index").alias("date"),

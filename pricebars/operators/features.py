@@ -36,13 +36,14 @@ def canonical_names(df: DataFrame, names: DataFrame) -> DataFrame:
 def with_category(df: DataFrame, profiles: DataFrame) -> DataFrame:
     """Category of each symbol; symbols without one fall into the default category.
 
-    ``profiles`` holds one row per symbol, in any case of letters.  Its name goes before a name that ``df`` brings, and that
+    ``profiles`` holds symbols in any case of letters; of rows that differ in that alone, the first by its columns counts.  Its name goes before a name that ``df`` brings, and that
     before the symbol.  No broadcast hint: Catalyst broadcasts it when it is small and shuffles when the number of
     symbols makes it large.
     """
-    found = profiles.select(
-        F.upper("symbol").alias("_symbol"), *[F.col(c).alias(f"_{c}") for c in ("name", "category") if c in profiles.columns]
-    )
+    known = [c for c in ("name", "category") if c in profiles.columns]
+    first = F.min(F.struct("symbol", *known)).alias("_first")
+    found = profiles.groupBy(F.upper("symbol").alias("_symbol")).agg(first)
+    found = found.select("_symbol", *[F.col(f"_first.{c}").alias(f"_{c}") for c in known])
     out = df.join(found, F.upper(df["symbol"]) == F.col("_symbol"), "left")
 
     def filled(column: str, last: Column) -> Column:

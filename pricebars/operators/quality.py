@@ -6,19 +6,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def violations_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys held by more than one row.  Counted on the map side first, so a hot key is one row per split."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+def touched(df: DataFrame, load: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``df`` whose keys occur in ``load``.
+
+    First a filter that a scan can use: between the least and the greatest first key of the load, which skips the files and row groups
+    of a table in the order of that key.  Then the exact semi-join with the load's distinct keys, to whose probe Spark
+    adds a Bloom filter when it pays.  No null key: nulls are equal to nothing.
+    """
+    ends = load.agg(F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high")).first()
+    if ends.low is None:
+        return df.limit(0)
+    near = df.filter(F.col(keys[0]).between(F.lit(ends.low), F.lit(ends.high)))
+    return near.join(load.select(*keys).distinct(), keys, "left_semi")
+
+
+def violations_unique(df: DataFrame, keys: list[str], load: DataFrame | None = None) -> DataFrame:
+    """Keys held by more than one row.  Counted on the map side first, so a hot key is one row per split.
+
+    With ``load``, the rows that have just been added to ``df``, only the keys that they touch: what a growing table costs to check then
+    follows the load and not the table.
+    """
+    rows = df if load is None else touched(df, load, keys)
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def violations_fk(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Child keys without a parent, with the rows that carry them.
+def violations_fk(
+    child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None, load: DataFrame | None = None
+) -> DataFrame:
+    """Child keys without a parent, with the number of rows that carry them.
 
-    The child is reduced to its distinct keys before the join, so no join task sees a hot key's rows.
+    The child is reduced to its distinct keys before the join, so no join task sees a hot key's rows.  With ``load`` only the
+    child rows that have just been added are looked at, and of the parent only the keys that they use.
     """
-    used = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    rows = child if load is None else load
+    used = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     known = parent.select(F.col(parent_key or key).alias(key))
-    return used.join(known, key, "left_anti")
+    known = (known if load is None else touched(known, load, [key])).distinct().withColumn("_known", F.lit(True))
+    # An outer join, as an anti-join would be pushed below the branches of a union, where a constant key leaves no
+    # equality to join on.
+    return used.join(known, key, "left").filter(F.col("_known").isNull()).drop("_known")
 
 
 def violations_null(df: DataFrame, columns: list[str]) -> DataFrame:

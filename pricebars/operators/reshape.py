@@ -25,23 +25,40 @@ def to_wide(long: DataFrame, priority: dict[str, int] | None = None) -> DataFram
     """Long -> one bar per symbol, timeframe and time_index, in one shuffle of the rows.
 
     When several sources report the same price, the one with the highest priority wins, then the last source
-    name, then the larger value.  Sources are numbered in that order, so that both steps aggregate scalars in hash tables.
-    Names are not part of the key; see ``source_names``.
+    name, then the larger value.  The feeds are few and are asked for first (``long`` should be a stored table, of which that
+    reads one column).  Up to ``WIDE_FEEDS`` of them each have their own maximum per price, which is combined before the
+    shuffle, and the first feed that has one wins.  More are numbered, and both steps aggregate scalars in
+    hash tables.  Names are not part of the key; see ``source_names``.
     """
-    rank: Column = F.lit(0)
-    for source, weight in (priority or {}).items():
-        rank = F.when(F.col("source") == source, F.lit(weight)).otherwise(rank)
-    sources = long.select(F.coalesce("source", F.lit("")).alias("source")).distinct()  # a few rows, one per feed
-    place = F.row_number().over(Window.orderBy(rank, "source"))
-    rows = long.withColumn("source", F.coalesce("source", F.lit(""))).join(sources.select("source", place.alias("place")), "source")
+    prices = sorted(INDICATORS)
+    rows = long.withColumn("source", F.coalesce("source", F.lit(""))).filter(F.col("value").isNotNull())
+    sources = rows.select("source").distinct()
+    names = [r.source for r in sources.limit(WIDE_FEEDS + 1).collect()] or [""]
+    rank = priority or {}
+    if len(names) <= WIDE_FEEDS:
+        feeds = list(enumerate(sorted(names, key=lambda name: (rank.get(name, 0), name.encode()), reverse=True)))
+        own = [
+            F.max(F.when((F.col("indicator") == i) & (F.col("source") == name), F.col("value"))).alias(f"{i}_{k}")
+            for i in prices for k, name in feeds
+        ]
+        picked = [F.coalesce(*[F.col(f"{i}_{k}") for k, _ in feeds]).alias(i) for i in prices]
+        return rows.groupBy(*BAR_KEY).agg(*own).select(*BAR_KEY, *picked)
+    weight: Column = F.lit(0)
+    for source, given in rank.items():
+        weight = F.when(F.col("source") == source, F.lit(given)).otherwise(weight)
+    place = F.row_number().over(Window.orderBy(weight, "source"))  # one row per feed
     largest = (
-        rows.filter(F.col("value").isNotNull()).repartition(*BAR_KEY)
+        rows.join(sources.select("source", place.alias("place")), "source").repartition(*BAR_KEY)
         .groupBy(*BAR_KEY, "indicator", "place").agg(F.max("value").alias("value"))
     )
-    picked = [F.max_by("value", F.when(F.col("indicator") == i, F.col("place"))).alias(i) for i in sorted(INDICATORS)]
+    picked = [F.max_by("value", F.when(F.col("indicator") == i, F.col("place"))).alias(i) for i in prices]
     return largest.groupBy(*BAR_KEY).agg(*picked)
 
 
+#: Feeds that get maxima of their own in the pivot; its plan has five columns for each.
+WIDE_FEEDS = 8
+
+
 def source_names(long: DataFrame) -> DataFrame:
     """The name that the sources give each symbol: the first by alphabet, of those that aren't empty."""
     named = long.filter(F.col("name") != "").select("symbol", "name").distinct()

@@ -15,7 +15,7 @@ SUMMARY = [*LABELS, "timeframe", "time_index", "close_price", "price_change_pct"
 
 def prices(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Fact with its symbol, name and category.  Catalyst broadcasts the dimension when it is small."""
-    return fact.join(dim, "id").select(*LABELS, "timeframe", "time_index", *INDICATORS, *FEATURES)
+    return fact.drop("category").join(dim, "id").select(*LABELS, "timeframe", "time_index", *INDICATORS, *FEATURES)
 
 
 def predictions(preds: DataFrame, dim: DataFrame) -> DataFrame:
@@ -25,14 +25,27 @@ def predictions(preds: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def only_symbols(table: DataFrame, dim: DataFrame, symbols: list[str]) -> DataFrame:
-    """Rows of the named symbols, however many.
+#: Up to so many ids are pushed down one by one; more as their range.
+LISTED = 1_000
+
 
-    Their ids are looked up first, at most a row per name and dimension row of it, so that the scan gets them as a
-    pushed-down filter and skips row groups.
+def narrowed(table: DataFrame, dim: DataFrame) -> DataFrame:
+    """Rows of ``table`` for the rows of ``dim``, which has been filtered by whatever it knows.
+
+    The dimension answers first, with a list of ids or, for many, their number and ends; so the scan gets a filter that skips
+    files and row groups, instead of the whole history being joined before the dimension's filter tells.  Beyond
+    ``LISTED`` ids the join does the rest, where Spark adds a Bloom filter of the ids to the scan when that pays.
     """
-    ids = sorted(r.id for r in dim.filter(F.col("symbol").isin(symbols)).select("id").collect())
-    return table.filter(F.col("id").isin(ids))
+    ids = dim.select("id").limit(LISTED + 1).collect()
+    if len(ids) <= LISTED:
+        return table.filter(F.col("id").isin(sorted(r.id for r in ids)))
+    low, high = dim.agg(F.min("id"), F.max("id")).first()
+    return table.filter(F.col("id").between(low, high)).join(dim.select("id"), "id", "left_semi")
+
+
+def only_symbols(table: DataFrame, dim: DataFrame, symbols: list[str]) -> DataFrame:
+    """Rows of the named symbols, however many."""
+    return narrowed(table, dim.filter(F.col("symbol").isin(symbols)))
 
 
 def live_quote(snapshots: DataFrame, symbol: str) -> DataFrame:
@@ -49,11 +62,9 @@ def categories(dim: DataFrame) -> DataFrame:
 
 
 def prices_filtered(
-    prices: DataFrame, category: str | None = None, trend: str | None = None, volatility: str | None = None
+    fact: DataFrame, dim: DataFrame, category: str | None = None, trend: str | None = None, volatility: str | None = None
 ) -> DataFrame:
-    out = prices
-    if category:
-        out = out.filter(F.col("category") == category)
+    out = prices(*_of_category(fact, dim, category)) if category else prices(fact, dim)
     if trend:
         out = out.filter(F.col("price_trend") == trend.lower())
     if volatility:
@@ -61,6 +72,14 @@ def prices_filtered(
     return out.orderBy(F.desc("time_index"), "symbol", "timeframe")
 
 
+def _of_category(fact: DataFrame, dim: DataFrame, category: str) -> tuple[DataFrame, DataFrame]:
+    """Fact and dimension of one category.  Files of a fact that holds the category are in its order, and the others skipped."""
+    wanted = F.col("category") == category
+    if "category" in fact.columns:
+        return fact.filter(wanted), dim.filter(wanted)
+    return narrowed(fact, dim.filter(wanted)), dim.filter(wanted)
+
+
 def price_history(fact: DataFrame, dim: DataFrame, symbol: str) -> DataFrame:
     return prices(only_symbols(fact, dim, [symbol.upper()]), dim).orderBy(F.desc("time_index"), "timeframe")
 
@@ -72,12 +91,14 @@ def symbol_predictions(preds: DataFrame, dim: DataFrame, symbol: str, model: str
     return rows.orderBy("indicator", "model_name", "timeframe", "predicted_time")
 
 
-def category_prices(prices: DataFrame, category: str) -> DataFrame:
+def category_prices(fact: DataFrame, dim: DataFrame, category: str) -> DataFrame:
     """The whole history of a category."""
-    return (
-        prices.filter(F.col("category") == category).select(*SUMMARY)
-        .orderBy(F.desc("time_index"), "symbol", "timeframe")
-    )
+    return prices(*_of_category(fact, dim, category)).select(*SUMMARY).orderBy(F.desc("time_index"), "symbol", "timeframe")
+
+
+def model_predictions(preds: DataFrame, dim: DataFrame, model: str, timeframe: str) -> DataFrame:
+    """All forecasts of a model for one timeframe; the files are in the order of the models."""
+    return predictions(preds.filter((F.col("timeframe") == timeframe) & (F.col("model_name") == model)), dim)
 
 
 def top_n(
@@ -114,36 +135,38 @@ def default_compare(fact: DataFrame, dim: DataFrame, timeframe: str, n: int = 4)
     return prices(only_symbols(fact.filter(F.col("timeframe") == timeframe), dim, first), dim)
 
 
-def search(prices: DataFrame, timeframe: str, text: str, regex: bool = True) -> DataFrame:
-    return select_prices(prices, timeframe, text=text, regex=regex)
+def search(fact: DataFrame, dim: DataFrame, timeframe: str, text: str, regex: bool = True) -> DataFrame:
+    return select_prices(fact, dim, timeframe, text=text, regex=regex)
 
 
-def search_count(prices: DataFrame, timeframe: str, text: str, regex: bool = True) -> DataFrame:
-    return search(prices, timeframe, text, regex).agg(F.countDistinct("symbol").alias("n_symbols"))
+def search_count(fact: DataFrame, dim: DataFrame, timeframe: str, text: str, regex: bool = True) -> DataFrame:
+    found = search(fact, dim, timeframe, text, regex)
+    return found.agg(F.countDistinct("symbol").alias("n_symbols"))
 
 
-def between_dates(prices: DataFrame, timeframe: str, low: date, high: date) -> DataFrame:
-    return select_prices(prices, timeframe, low=low, high=high)
+def between_dates(fact: DataFrame, dim: DataFrame, timeframe: str, low: date, high: date) -> DataFrame:
+    return select_prices(fact, dim, timeframe, low=low, high=high)
 
 
 def select_prices(
-    prices: DataFrame, timeframe: str, sectors: list[str] | None = None, low: date | None = None,
+    fact: DataFrame, dim: DataFrame, timeframe: str, sectors: list[str] | None = None, low: date | None = None,
     high: date | None = None, text: str | None = None, regex: bool = True,
 ) -> DataFrame:
     """Bars of one timeframe, then of some sectors, dates and names: what every other answer starts from.
 
-    Bars of different timeframes have changes and ranges of different size, so no answer mixes them.
+    Bars of different timeframes have changes and ranges of different size, so no answer mixes them.  Sectors and names are
+    looked up in the dimension, whose ids then narrow the scan of the fact.
     """
-    out = prices.filter(F.col("timeframe") == timeframe)
+    out, known = fact.filter(F.col("timeframe") == timeframe), dim
     if sectors:
-        out = out.filter(F.col("category").isin(sectors))
+        known = known.filter(F.col("category").isin(sectors))
+    if text:
+        known = known.filter(matches(F.col("symbol"), text, regex) | matches(F.col("name"), text, regex))
     if low is not None:
         out = out.filter(F.col("time_index") >= F.lit(low))
     if high is not None:
         out = out.filter(F.col("time_index") <= F.lit(high))
-    if text:
-        out = out.filter(matches(F.col("symbol"), text, regex) | matches(F.col("name"), text, regex))
-    return out
+    return prices(narrowed(out, known) if sectors or text else out, known)
 
 
 def date_domain(prices: DataFrame, timeframe: str) -> DataFrame:
@@ -165,6 +188,12 @@ def latest_snapshot(prices: DataFrame, timeframe: str) -> DataFrame:
     return rows.join(last, ["symbol", "time_index"]).select(*prices.columns)
 
 
+def latest_rows(fact: DataFrame) -> DataFrame:
+    """The last fact row of every symbol and timeframe: what a load keeps, so that answers need not read the history."""
+    last = fact.groupBy("id", "timeframe").agg(F.max("time_index").alias("time_index"))
+    return fact.join(last, ["id", "timeframe", "time_index"], "left_semi")
+
+
 def kpi(latest: DataFrame) -> DataFrame:
     """Means and counts over a snapshot; the means don't depend on the order of the rows."""
     pct = F.col("price_change_pct")

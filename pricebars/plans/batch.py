@@ -75,8 +75,9 @@ def run(
     built = Warehouse(spark, out)
     rows, profiles = sources(spark, landing, today, years, symbols, invent_history)
     # A stored price beats a projected one if a symbol ever has both.
-    load(built, rows, profiles, at, priority={"candles": 2, "quote": 1})
-    predict(built, at)
+    with built.change() as new:
+        load(new, rows, profiles, at, priority={"candles": 2, "quote": 1})
+        predict(new, at)
     export(built, f"{out}/export")
     return built
 

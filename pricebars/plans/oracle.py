@@ -337,6 +337,22 @@ def null_counts(layer: str, table: str, columns: list[str]) -> str:
 FACT = f"fact AS (SELECT id, timeframe, time_index, {P5}, {FEATURE_LIST} FROM silver JOIN dim USING (symbol))"
 
 
+LAST_ORDERS = "SELECT * FROM lineitem WHERE l_orderkey >= (SELECT CAST(floor(quantile_cont(l_orderkey, 0.9)) AS BIGINT) FROM lineitem)"
+
+STREAM_LATE = """
+WITH landed AS (
+    SELECT event_id, CAST(user_id AS VARCHAR) AS symbol, ts, value AS price, event_id % 4 AS batch FROM events
+), latest AS (
+    SELECT batch, max(ts) AS latest FROM landed GROUP BY batch
+), marks AS (
+    SELECT batch, max(latest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 DAY AS mark
+    FROM latest
+)
+SELECT l.event_id, l.symbol, l.ts, l.price, l.batch FROM landed l JOIN marks m ON l.batch = m.batch
+WHERE CAST(CAST(l.ts AS DATE) + 1 AS TIMESTAMP) <= m.mark
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     names = ", ".join(f"({i}, '{k}', '{v.replace(chr(39), chr(39) * 2)}')" for i, (k, v) in enumerate(CANONICAL_NAMES.items()))
     sql = {
@@ -623,6 +639,18 @@ FROM events""",
         "stream_day_bars": q(PE, select=bar_select("pe", "day")),
         "stream_week_bars": q(PE, select=bar_select("pe", "week")),
         "stream_rollup": q(PE, bars("bars", "pe", ["month", "year"]), select="SELECT * FROM bars"),
+        "stream_late": STREAM_LATE,
+        "model_lookup": both_scopes("SELECT * FROM predictions WHERE timeframe = 'week' AND model_name = 'holt_smoothing'"),
+        "no_forecasts_yet": q(PO, PO_BARS, NATIONS, DIM, select="SELECT symbol, CAST(0 AS BIGINT) AS n FROM dim"),
+        "dq_load_unique": f"""WITH last AS ({LAST_ORDERS}) SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem
+            WHERE (l_partkey, l_suppkey) IN (SELECT (l_partkey, l_suppkey) FROM last) GROUP BY ALL HAVING count(*) > 1""",
+        "dq_load_orphans": f"""WITH last AS ({LAST_ORDERS}) SELECT l_partkey, count(*) AS n FROM last
+            WHERE l_partkey NOT IN (SELECT c_custkey FROM customer) GROUP BY l_partkey""",
+        "ohlc_hour_ties": """SELECT event_type AS symbol, 'day' AS timeframe, CAST(ts AS DATE) AS time_index,
+            first(value ORDER BY date_trunc('hour', ts), event_id) AS open_price, max(value) AS high_price,
+            min(value) AS low_price, last(value ORDER BY date_trunc('hour', ts), event_id) AS close_price,
+            last(value ORDER BY date_trunc('hour', ts), event_id) AS latest_price
+            FROM events WHERE value IS NOT NULL GROUP BY event_type, CAST(ts AS DATE)""",
         "stream_board": q(PE, PE_DAYS, BOARD, select="SELECT * FROM board"),
         "stream_tick_change": q(TICK_CHANGE, select="SELECT * FROM changes"),
         "stream_distinct": "SELECT event_id, CAST(user_id AS VARCHAR) AS symbol, ts, value AS price FROM events",

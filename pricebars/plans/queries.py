@@ -52,12 +52,13 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse of all orders, built on first use and again when the tables have changed."""
     inputs = ["orders", "customer", "nation", "region"]
     key = (spark.sparkContext.applicationId, folder, tables.fingerprint(spark, folder, inputs))
-    if key not in _WAREHOUSES or not tables.exists(spark, f"{_WAREHOUSES[key].root}/gold/predictions"):
+    if key not in _WAREHOUSES or not _WAREHOUSES[key].has("gold/predictions"):
         built = Warehouse(spark, store.new_folder(spark, "warehouse"))
         profiles = tables.nation_profiles(spark, folder)
         source = _long(bars.ohlc_all(tables.order_ticks(spark, folder)), profiles, "orders")
-        load(built, [source], profiles, AT)
-        predict(built, AT)
+        with built.change() as new:
+            load(new, [source], profiles, AT)
+            predict(new, AT)
         _WAREHOUSES[key] = built
     return _WAREHOUSES[key]
 
@@ -251,7 +252,7 @@ def union_sources(spark, folder):
 
 @_query
 def bars_pivot(spark, folder):
-    return reshape.to_wide(_two_sources(spark, folder), {"orders reversed": 1})
+    return reshape.to_wide(store.materialise(_two_sources(spark, folder), "long"), {"orders reversed": 1})
 
 
 @_query
@@ -353,7 +354,8 @@ def categories(spark, folder):
 
 @_query
 def prices_filtered(spark, folder):
-    return serve.prices_filtered(warehouse(spark, folder).prices, CATEGORY, "UP", "High")
+    built = warehouse(spark, folder).snapshot()
+    return serve.prices_filtered(built.served, built.dim, CATEGORY, "UP", "High")
 
 
 @_query
@@ -370,7 +372,24 @@ def predictions_for_symbol(spark, folder):
 
 @_query
 def category_prices(spark, folder):
-    return serve.category_prices(warehouse(spark, folder).prices, CATEGORY)
+    built = warehouse(spark, folder).snapshot()
+    return serve.category_prices(built.served, built.dim, CATEGORY)
+
+
+@_query
+def model_lookup(spark, folder):
+    """The forecasts of one model for all weeks."""
+    built = warehouse(spark, folder).snapshot()
+    return serve.model_predictions(built.prediction_fact, built.dim, "holt_smoothing", "week").drop("run_at")
+
+
+@_query
+def no_forecasts_yet(spark, folder):
+    """The number of forecasts per symbol in a warehouse whose forecasts nobody has written."""
+    built = warehouse(spark, folder).snapshot()
+    fresh = Warehouse(spark, built.root, {name: path for name, path in built.tables.items() if name != "gold/predictions"})
+    counts = fresh.predictions.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    return fresh.dim.select("symbol").join(counts, "symbol", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 @_query
@@ -399,24 +418,27 @@ def default_compare(spark, folder):
 
 @_query
 def dashboard_filter(spark, folder):
-    return serve.select_prices(
-        warehouse(spark, folder).prices, "month", ["ASIA", "EUROPE"], date(1997, 3, 1), date(1999, 6, 30), "nation_.?2"
-    )
+    built = warehouse(spark, folder).snapshot()
+    sectors, low, high = ["ASIA", "EUROPE"], date(1997, 3, 1), date(1999, 6, 30)
+    return serve.select_prices(built.fact, built.dim, "month", sectors, low, high, "nation_.?2")
 
 
 @_query
 def search_symbols(spark, folder):
-    return serve.search(warehouse(spark, folder).prices, "week", "nation_1.?$").select(*BAR_KEY, "name", "close_price")
+    built = warehouse(spark, folder).snapshot()
+    return serve.search(built.fact, built.dim, "week", "nation_1.?$").select(*BAR_KEY, "name", "close_price")
 
 
 @_query
 def search_count(spark, folder):
-    return serve.search_count(warehouse(spark, folder).prices, "week", "nation_1.?$")
+    built = warehouse(spark, folder).snapshot()
+    return serve.search_count(built.fact, built.dim, "week", "nation_1.?$")
 
 
 @_query
 def date_range_filter(spark, folder):
-    return serve.between_dates(warehouse(spark, folder).prices, "day", date(1998, 1, 1), date(1998, 12, 31))
+    built = warehouse(spark, folder).snapshot()
+    return serve.between_dates(built.fact, built.dim, "day", date(1998, 1, 1), date(1998, 12, 31))
 
 
 @_query
@@ -427,18 +449,18 @@ def date_domain(spark, folder):
 @_query
 def latest_snapshot(spark, folder):
     """The last week per symbol, dearest first."""
-    latest = serve.latest_snapshot(warehouse(spark, folder).prices, "week")
+    latest = warehouse(spark, folder).latest.filter("timeframe = 'week'")
     return latest.orderBy(F.desc_nulls_last("close_price"), "symbol")
 
 
 @_query
 def kpi_summary(spark, folder):
-    return serve.kpi(serve.latest_snapshot(warehouse(spark, folder).prices, "week"))
+    return serve.kpi(warehouse(spark, folder).latest.filter("timeframe = 'week'"))
 
 
 @_query
 def sector_breakdown(spark, folder):
-    return serve.sector_breakdown(serve.latest_snapshot(warehouse(spark, folder).prices, "week"))
+    return serve.sector_breakdown(warehouse(spark, folder).latest.filter("timeframe = 'week'"))
 
 
 @_query
@@ -632,6 +654,37 @@ def dq_fk_orphans(spark, folder):
     )
 
 
+def _last_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The last tenth of the order lines by order number, as a load that has just been added."""
+    lines = tables.table(spark, folder, "lineitem")
+    first = lines.agg(F.percentile("l_orderkey", 0.9).cast("bigint").alias("k")).first().k
+    return lines.filter(F.col("l_orderkey") >= F.lit(first))
+
+
+@_query
+def dq_load_unique(spark, folder):
+    """Supplier and part pairs that the last order lines repeat, counted in all lines."""
+    lines = tables.table(spark, folder, "lineitem")
+    return quality.violations_unique(lines, ["l_partkey", "l_suppkey"], _last_orders(spark, folder))
+
+
+@_query
+def dq_load_orphans(spark, folder):
+    """Part numbers of the last order lines that are no customer numbers."""
+    lines, customer = tables.table(spark, folder, "lineitem"), tables.table(spark, folder, "customer")
+    return quality.violations_fk(lines, customer, "l_partkey", "c_custkey", _last_orders(spark, folder))
+
+
+@_query
+def ohlc_hour_ties(spark, folder):
+    """Day bars of events whose times are known to the hour, so that the event number orders those of one hour."""
+    ticks = tables.table(spark, folder, "events").select(
+        F.col("event_type").alias("symbol"), F.date_trunc("hour", "ts").alias("ts"), F.col("event_id").alias("seq"),
+        F.col("value").alias("price"),
+    )
+    return bars.day_bars(ticks)
+
+
 @_query
 def dq_nulls(spark, folder):
     built = warehouse(spark, folder)
@@ -748,9 +801,34 @@ def stream_week_bars(spark, folder):
     return _kept_bars(spark, stream_bars.stream_bars(_stream(spark, folder), "week"))
 
 
+def _landings(spark: SparkSession, folder: str, parts: list[Column], keep: Callable) -> str:
+    """All events as the files of one landing after the other, each read by a micro-batch of its own."""
+    events, out = tables.table(spark, folder, "events"), store.new_folder(spark, "stream")
+    for i, part in enumerate(parts):
+        events.filter(part).write.parquet(f"{out}/landing/part{i}")
+        ticks = stream_ticks.tick_stream(spark, f"{out}/landing/*")
+        keep(ticks, out, f"{out}/checkpoint").awaitTermination()
+    return out
+
+
 @_query
 def stream_rollup(spark, folder):
-    return _kept_bars(spark, stream_bars.stream_rollup(_stream(spark, folder)))
+    """Month and year bars of all events, which land in three parts in the order of their times."""
+    ts = F.col("ts")
+    cuts = tables.table(spark, folder, "events").agg(F.percentile_approx(ts.cast("timestamp"), [1 / 3, 2 / 3]).alias("c")).select(
+        F.transform("c", lambda t: t.cast("timestamp_ntz").cast("string")).alias("c")
+    ).first().c
+    low, high = (F.lit(c).cast("timestamp_ntz") for c in cuts or ["1970-01-01"] * 2)
+    parts = [ts < low, (ts >= low) & (ts < high), (ts >= high) | ts.isNull()]
+    out = _landings(spark, folder, parts, stream_bars.keep_rollup)
+    return stream_bars.current_bars(spark, out).filter(F.col("timeframe").isin("month", "year"))
+
+
+@_query
+def stream_late(spark, folder):
+    """The events that are late when all land in four parts, by the remainder of their number."""
+    out = _landings(spark, folder, [F.pmod("event_id", F.lit(4)) == i for i in range(4)], stream_ticks.keep_late)
+    return stream_ticks.late_ticks(spark, out)
 
 
 @_query

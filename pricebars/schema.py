@@ -53,6 +53,7 @@ BRONZE_SCHEMA = struct([*BRONZE_COLUMNS, "ingested_at"])
 SILVER_SCHEMA = struct([*SILVER_COLUMNS, "loaded_at"])
 DIM_SCHEMA = struct(["id", "symbol", "name", "category"])
 FACT_SCHEMA = struct([*FACT_COLUMNS, "loaded_at"])
+SERVED_SCHEMA = struct([*FACT_COLUMNS, "loaded_at", "category"])
 COUNTS_SCHEMA = T.StructType(
     [T.StructField("place", T.IntegerType()), T.StructField("step", T.StringType()), T.StructField("rows", T.LongType())]
 )

@@ -1,5 +1,6 @@
-"""Layer files: Parquet laid out for pruning, CSV exports, and the shared scratch folder."""
+"""Layer files: Parquet laid out for pruning, versions that change as a whole, CSV exports, and the shared scratch folder."""
 
+import json
 import re
 import tempfile
 import uuid
@@ -32,24 +33,92 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """A path and its file system, whatever that is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder; one that isn't there is no error."""
+    folder, system = _hadoop(spark, path)
+    system.delete(folder, True)
+
+
+class Versions:
+    """Which folders the tables under ``root`` are in, changed as a whole.
+
+    A version is one small file ``root/versions/<number>`` that names the folder of every table.  It is written aside and renamed
+    when all its tables are there, so a reader sees the tables of one version or of another, never of a load under way
+    or one that failed.  Two writers that start from the same version can't both finish: the second is refused.  Folders that
+    only versions before the last ``KEEP`` name are removed; whoever reads for longer than that many loads starts again.
+    """
+
+    KEEP = 2
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.folder = spark, root, f"{root}/versions"
+
+    def numbers(self) -> list[int]:
+        folder, system = _hadoop(self.spark, self.folder)
+        if not system.exists(folder):
+            return []
+        names = (status.getPath().getName() for status in system.listStatus(folder))
+        return sorted(int(name) for name in names if name.isdigit())
+
+    def tables(self, number: int) -> dict[str, str]:
+        path, system = _hadoop(self.spark, f"{self.folder}/{number}")
+        stream = system.open(path)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def latest(self) -> tuple[int, dict[str, str]]:
+        """Number and tables of the last version; version 0 has none."""
+        numbers = self.numbers()
+        return (numbers[-1], self.tables(numbers[-1])) if numbers else (0, {})
+
+    def commit(self, tables: dict[str, str], after: int) -> None:
+        """Make ``tables`` the version that follows ``after``."""
+        target, system = _hadoop(self.spark, f"{self.folder}/{after + 1}")
+        aside, _ = _hadoop(self.spark, f"{self.folder}/.{uuid.uuid4().hex}")
+        stream = system.create(aside, False)
+        stream.write(bytearray(json.dumps(tables), "utf-8"))
+        stream.close()
+        if system.exists(target) or not system.rename(aside, target):
+            system.delete(aside, False)
+            raise RuntimeError(f"version {after + 1} of {self.root} is there already: another load came first")
+        self._forget()
+
+    def _forget(self) -> None:
+        numbers = self.numbers()
+        old, kept = numbers[: -self.KEEP], numbers[-self.KEEP :]
+        needed = {folder for n in kept for folder in self.tables(n).values()}
+        for n in old:
+            for folder in set(self.tables(n).values()) - needed:
+                remove(self.spark, folder)
+            remove(self.spark, f"{self.folder}/{n}")
+
+
 def write_layer(df: DataFrame, path: str) -> None:
     """Full replacement of a layer that is read whole: one folder per timeframe, no extra shuffle."""
     df.write.mode("overwrite").partitionBy("timeframe").parquet(path)
 
 
-def write_served(df: DataFrame, path: str, keys: list[str]) -> None:
+def write_served(df: DataFrame, path: str, keys: list[str], blooms: tuple[str, ...] = ()) -> None:
     """Full replacement of a layer that is looked up by key, one folder per timeframe.
 
     Rows are range-partitioned and sorted, so a file covers one short key range and its row-group
-    statistics prune look-ups by key and date; no timeframe is written by a single task.  Choosing the
-    ranges samples ``df``, which runs it once more: pass a stored table or a cheap plan.
+    statistics prune look-ups by the first keys; no timeframe is written by a single task.  Columns in ``blooms``, which come later
+    in that order, get a Bloom filter per row group.  Choosing the ranges samples ``df``, which runs it once more: pass a
+    stored table or a cheap plan.
     """
     ordered = ["timeframe", *keys]
-    (
-        df.repartitionByRange(*ordered)
-        .sortWithinPartitions(*ordered)
-        .write.mode("overwrite").partitionBy("timeframe").parquet(path)
-    )
+    writer = df.repartitionByRange(*ordered).sortWithinPartitions(*ordered).write.mode("overwrite").partitionBy("timeframe")
+    for column in blooms:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -1,12 +1,13 @@
-"""Tick streams from landed files: source, duplicates, late rows, tick change."""
+"""Tick streams from landed files: source, duplicates, the clock and late rows, tick change."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pricebars.operators.live import tick_change
-from pricebars.streaming.tables import keep, kept, write_batch
+from pricebars.sources.store import remove
+from pricebars.streaming.tables import Log, all_batches, write_batch
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -25,7 +26,8 @@ STATE_SCHEMA = T.StructType(
         T.StructField("price", T.DoubleType()),
     ]
 )
-
+TICK_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), *STATE_SCHEMA.fields])
+CLOCK_SCHEMA = T.StructType([T.StructField("name", T.StringType()), T.StructField("latest", T.LongType())])
 CHANGE_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -62,19 +64,75 @@ def distinct_ticks(ticks: DataFrame, watermark: str = "1 day") -> DataFrame:
     return ticks.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def await_late_rows(query: StreamingQuery, poll: float = 1.0) -> int:
-    """Wait for the end of a query; the rows its stateful operators dropped for being behind the watermark.
+def landed(batch: DataFrame, out: str, batch_id: int) -> DataFrame:
+    """The ticks of a micro-batch, read from their source once and written; those of the batch before go."""
+    write_batch(batch.select(*TICK_SCHEMA.names), f"{out}/landed", batch_id)
+    remove(batch.sparkSession, f"{out}/landed/batch={batch_id - 1}")
+    return batch.sparkSession.read.schema(TICK_SCHEMA).parquet(f"{out}/landed/batch={batch_id}")
+
+
+class Clock:
+    """The event time a stream has reached, as a watermark: the latest time stamp of all batches before, less a delay.
 
-    Spark remembers the last 100 micro-batches only, so they are gathered while the query runs, by number; a query that
-    finishes more of them within ``poll`` seconds needs a shorter one.
+    It is kept as a table of one row, so that a batch that runs again sees the same watermark.  (Spark's own windows judge a tick by
+    the watermark of one batch earlier and may still take one that is late here.)
     """
-    dropped: dict[int, int] = {}
-    ended = False
-    while not ended:
-        ended = query.awaitTermination(poll)
-        for progress in query.recentProgress:
-            dropped[progress.batchId] = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
-    return sum(dropped.values())
+
+    def __init__(self, spark: SparkSession, out: str, delay: str = "1 day"):
+        self.delay, self.log = delay, Log(spark, f"{out}/clock", CLOCK_SCHEMA, ["name"])
+
+    def mark(self, batch_id: int) -> int | None:
+        """Microseconds of the watermark of a batch; the first has none."""
+        mark = F.expr(f"unix_micros(timestamp_micros(latest) - INTERVAL {self.delay})")
+        row = self.log.before(batch_id).select(mark.alias("mark")).first()
+        return row.mark if row else None
+
+    def see(self, ticks: DataFrame, batch_id: int) -> None:
+        before = self.log.before(batch_id).select("latest")
+        now = ticks.agg(F.max(F.unix_micros("ts")).alias("latest")).unionByName(before)
+        latest = now.agg(F.max("latest").alias("latest")).filter(F.col("latest").isNotNull())
+        self.log.put(latest.select(F.lit("ticks").alias("name"), "latest"), batch_id)
+
+
+def closed(end: Column, mark: int | None) -> Column:
+    """Whether a period that ends at the start of a date is closed; no time stamp is in no period."""
+    if mark is None:
+        return F.lit(False)
+    return F.coalesce(F.unix_micros(end.cast("timestamp")) <= mark, F.lit(False))
+
+
+def late(mark: int | None) -> Column:
+    """Whether a tick comes after its day was closed."""
+    return closed(F.date_add(F.col("ts").cast("date"), 1), mark)
+
+
+def keep_late(ticks: DataFrame, out: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
+    """Only the late ticks of a stream; the jobs that build bars write the same ones beside their bars."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        put_aside(landed(batch, out, batch_id), Clock(batch.sparkSession, out, delay), out, batch_id)
+
+    return (
+        ticks.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def put_aside(rows: DataFrame, clock: Clock, out: str, batch_id: int) -> int | None:
+    """Write a batch's late ticks under its number and move the clock; the watermark the batch ran with."""
+    mark = clock.mark(batch_id)
+    write_batch(rows.filter(late(mark)), f"{out}/late", batch_id)
+    clock.see(rows, batch_id)
+    return mark
+
+
+def late_ticks(spark: SparkSession, out: str) -> DataFrame:
+    """The ticks that came too late for their day, with the batch they came in."""
+    return all_batches(spark, f"{out}/late", TICK_SCHEMA)
+
+
+def late_counts(spark: SparkSession, out: str) -> DataFrame:
+    """Their number per batch."""
+    return late_ticks(spark, out).groupBy("batch").agg(F.count(F.lit(1)).alias("n_late"))
 
 
 def last_ticks(ticks: DataFrame) -> DataFrame:
@@ -112,18 +170,16 @@ def stream_tick_change(ticks: DataFrame, out: str, checkpoint: str) -> Streaming
     """Tick change per symbol across micro-batches, over all files landed so far.
 
     A batch is read from its source once and written; the rest works on what was written.  The state, one
-    row per symbol, is kept by :func:`keep`: a batch adds the symbols it moved.
+    row per symbol, is a :class:`Log`: a batch adds the symbols it moved.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        landed = ["event_id", "symbol", "ts", "price"]
-        write_batch(batch.select(*landed), f"{out}/landed", batch_id)
-        rows = spark.read.parquet(f"{out}/landed/batch={batch_id}")
-        state = kept(spark, f"{out}/state", batch_id, STATE_SCHEMA, ["symbol"])
-        write_batch(change_batch(rows, state), f"{out}/changes", batch_id)
+        rows = landed(batch, out, batch_id)
+        state = Log(spark, f"{out}/state", STATE_SCHEMA, ["symbol"])
+        write_batch(change_batch(rows, state.before(batch_id)), f"{out}/changes", batch_id)
         written = spark.read.schema(CHANGE_SCHEMA).parquet(f"{out}/changes/batch={batch_id}")
         fresh = written.filter(F.col("tick_status") != "late").select("event_id", *STATE_SCHEMA.names)
-        keep(spark, last_ticks(fresh), f"{out}/state", batch_id, STATE_SCHEMA, ["symbol"])
+        state.put(last_ticks(fresh), batch_id)
 
     return (
         ticks.writeStream.foreachBatch(handle)

@@ -144,3 +144,32 @@ def test_observed_counts_without_another_job(spark):
     df, seen = reshape.observed(spark.range(7), "seven")
     df.collect()
     assert seen.get["rows"] == 7
+
+
+def test_time_stamps_with_a_tie_break_need_no_sort(spark):
+    rows_ = [("A", TS("2024-01-01T10:00:00"), s, float(i)) for i, s in enumerate((5, -(2**63), 2**63 - 1, None, 7))]
+    rows_ += [("A", TS("2024-01-01T09:59:59.999999"), 2**63 - 1, 50.0), ("B", TS("2024-01-01T23:59:59.999999"), None, 1.0), ("B", TS("2024-01-01T23:59:59.999999"), -(2**63), 2.0)]
+    df = spark.createDataFrame(rows_, "symbol STRING, ts TIMESTAMP, seq BIGINT, price DOUBLE")
+    got = bars.day_bars(df)
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [(r.symbol, r.open_price, r.close_price) for r in got.orderBy("symbol").collect()] == [("A", 50.0, 2.0), ("B", 1.0, 2.0)]
+
+
+def test_windows_after_a_roll_up_need_no_shuffle(spark):
+    from pricebars.operators import features
+
+    df = ticks(spark, ("2024-01-01", 1, 1.0))
+    plan = features.price_movement(bars.ohlc_all(df))._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("Exchange") == 2
+
+
+def test_pivot_shuffles_the_rows_once(spark):
+    many = spark.createDataFrame([("A", "a", "close_price", "day", D("2024-01-01"), float(i), f"s{i}") for i in range(12)],
+                                 "symbol STRING, name STRING, indicator STRING, timeframe STRING, time_index DATE, value DOUBLE, source STRING")
+    few = many.filter("value < 3")
+    plan = reshape.to_wide(few)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("Exchange") == 1 and "SortAggregate" not in plan
+    for df, best in ((few, 2.0), (many, 9.0)):
+        assert one(reshape.to_wide(df)).close_price == best  # the last name
+        assert one(reshape.to_wide(df, {"s1": 5})).close_price == 1.0
+    assert reshape.to_wide(many.limit(0)).count() == 0

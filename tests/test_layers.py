@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from helpers import BARS, D, bar, one, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,3 +129,77 @@ def test_query_warehouse_is_rebuilt_when_tables_change(spark, tmp_path):
     second = queries.warehouse(spark, folder)
     assert second is not first
     assert second.fact.count() == queries.warehouse(spark, "/root/testdata/sf0.001").fact.count() > first.fact.count()
+
+
+def small_load(spark, warehouse, value):
+    load(warehouse, [long_source(spark, n=3).withColumn("value", F.lit(value))], profiles(spark), AT)
+
+
+def test_readers_see_one_version_whole(spark, tmp_path):
+    """During a load, and after one that failed half-way, readers see the version before; afterwards the new one."""
+    built = Warehouse(spark, str(tmp_path / "w"))
+    small_load(spark, built, 1.0)
+    predict(built, AT)
+    closes = lambda df: {r.close_price for r in df.collect()}
+    reader = built.snapshot()
+    with built.change() as new:
+        small_load(spark, new, 2.0)
+        assert closes(built.prices) == {1.0} and built.predictions.count() > 0 and closes(new.prices) == {2.0}
+    assert closes(built.prices) == {2.0} and closes(built.latest) == {2.0}
+    assert built.predictions.count() == 0  # they belong to the ids of the version before
+    assert closes(reader.prices) == {1.0} and reader.predictions.count() > 0  # it began before and goes on
+
+    class Killed(Exception):
+        pass
+
+    with pytest.raises(Killed):
+        with built.change() as new:
+            small_load(spark, new, 3.0)
+            raise Killed
+    assert closes(built.prices) == {2.0} and built.bronze.count() == 30
+
+
+def test_two_loads_at_once_are_refused_and_old_versions_go(spark, tmp_path):
+    from pricebars.sources.store import Versions
+
+    built = Warehouse(spark, str(tmp_path / "w"))
+    with pytest.raises(RuntimeError):
+        with built.change() as slow:
+            small_load(spark, slow, 1.0)
+            small_load(spark, built, 2.0)
+    assert built.fact.select("close_price").distinct().collect()[0][0] == 2.0
+    for value in (3.0, 4.0, 5.0):
+        small_load(spark, built, value)
+    versions = Versions(spark, built.root)
+    assert versions.numbers() == [3, 4]
+    assert len(list((tmp_path / "w/gold/fact").iterdir())) == 2 + 1  # two versions, and the load that was refused
+
+
+def test_latest_rows_are_kept_by_the_load(spark, tmp_path):
+    from pricebars.operators import serve
+
+    built = Warehouse(spark, str(tmp_path / "w"))
+    load(built, [long_source(spark)], profiles(spark), AT)
+    assert rows(built.latest, "symbol") == rows(serve.latest_snapshot(built.prices, "day"), "symbol")
+    assert built.latest_fact.count() == 2
+
+
+def test_constraints_on_a_load_look_at_its_keys_only(spark, tmp_path):
+    old = spark.createDataFrame([(i, i % 7) for i in range(100)] + [(3, 3)], "k INT, v INT")
+    new = spark.createDataFrame([(98, 5), (200, 1), (None, 1)], "k INT, v INT")
+    old.unionByName(new).repartitionByRange(4, "k").write.parquet(str(tmp_path / "t"))
+    whole = spark.read.parquet(str(tmp_path / "t"))
+    found = quality.violations_unique(whole, ["k"], new)
+    assert rows(found, "k") == [(98, 2)]  # 3 was there twice before
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,98)" in plan and "LessThanOrEqual(k,200)" in plan
+    parent = spark.range(150).select(F.col("id").cast("int").alias("id"))
+    assert rows(quality.violations_fk(whole, parent, "k", "id", new), "k") == [(200, 1)]
+    assert quality.violations_unique(whole, ["k"], new.limit(0)).count() == 0
+
+
+def test_a_constant_key_in_a_union_is_joined_by_equality(spark):
+    child = spark.range(5).unionByName(spark.range(2).select(F.lit(-1).cast("long").alias("id")))
+    found = quality.violations_fk(child, spark.range(4), "id")
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found, "id") == [(-1, 2), (4, 1)]

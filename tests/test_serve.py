@@ -33,11 +33,11 @@ def keys(df):
     return [(r.symbol, str(r.time_index)) for r in df.collect()]
 
 
-def test_filters(prices):
-    assert serve.prices_filtered(prices).count() == 5
-    assert keys(serve.prices_filtered(prices, "X", "UP")) == [("AAA", "2024-01-02")]
-    assert keys(serve.prices_filtered(prices, volatility="High")) == [("BBB", "2024-01-02"), ("AAA", "2024-01-01")]
-    assert serve.prices_filtered(prices, "x").count() == 0
+def test_filters(gold):
+    assert serve.prices_filtered(*gold).count() == 5
+    assert keys(serve.prices_filtered(*gold, "X", "UP")) == [("AAA", "2024-01-02")]
+    assert keys(serve.prices_filtered(*gold, volatility="High")) == [("BBB", "2024-01-02"), ("AAA", "2024-01-01")]
+    assert serve.prices_filtered(*gold, "x").count() == 0
 
 
 def test_symbol_lookup(gold, prices):
@@ -61,17 +61,17 @@ def test_top_n(prices):
         serve.top_n(prices, "symbol")
 
 
-def test_search(prices):
+def test_search(gold):
     symbols = lambda df: {r.symbol for r in df.collect()}
-    assert symbols(serve.search(prices, "day", "A.C")) == {"BBB"}
-    assert symbols(serve.search(prices, "day", "a.c", regex=False)) == {"BBB"}
-    assert symbols(serve.search(prices, "day", "al.ha")) == {"AAA"}
-    assert symbols(serve.search(prices, "day", "al.ha", regex=False)) == set()
-    assert one(serve.search_count(prices, "day", "^(a|c)")).n_symbols == 2
+    assert symbols(serve.search(*gold, "day", "A.C")) == {"BBB"}
+    assert symbols(serve.search(*gold, "day", "a.c", regex=False)) == {"BBB"}
+    assert symbols(serve.search(*gold, "day", "al.ha")) == {"AAA"}
+    assert symbols(serve.search(*gold, "day", "al.ha", regex=False)) == set()
+    assert one(serve.search_count(*gold, "day", "^(a|c)")).n_symbols == 2
 
 
-def test_dates(prices):
-    assert serve.between_dates(prices, "day", D("2024-01-01"), D("2024-01-01")).count() == 2
+def test_dates(gold, prices):
+    assert serve.between_dates(*gold, "day", D("2024-01-01"), D("2024-01-01")).count() == 2
     assert tuple(one(serve.date_domain(prices, "day"))) == (D("2024-01-01"), D("2024-01-02"))
     assert tuple(one(serve.date_domain(prices, "week"))) == (D("2024-01-01"), D("2024-01-02"))
 
@@ -93,7 +93,7 @@ def test_live_quote(spark):
 def test_lists(gold):
     assert [r.symbol for r in serve.list_symbols(gold[1]).collect()] == ["AAA", "BBB", "CCC"]
     assert [r.category for r in serve.categories(gold[1]).collect()] == ["X", "Y"]
-    assert serve.category_prices(serve.prices(*gold), "X").count() == 4
+    assert serve.category_prices(*gold, "X").count() == 4
 
 
 def test_predictions_and_forecast_view(spark, gold, prices):
@@ -131,6 +131,70 @@ def test_lookup_pushes_the_id_to_the_scan(spark, gold, tmp_path):
     assert "In(id, [1,2])" in plan
 
 
+def scanned(df):
+    """Rows that the scans of a plan have brought up, after files and row groups were skipped."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    todo, total = [plan], 0
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "FileSourceScanExec":
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_look_ups_read_few_row_groups(spark, tmp_path):
+    """By id, category, model and date, of files with small row groups."""
+    from pricebars.sources import store
+
+    n, per = 400, 25
+    rows_ = spark.range(n).withColumnRenamed("id", "row")
+    row = F.col("row")
+    fact = rows_.select(
+        (row % 100 + 1).alias("id"), F.lit("day").alias("timeframe"), F.date_add(F.lit(D("2024-01-01")), (row / 100).cast("int")).alias("time_index"),
+        *[row.cast("double").alias(c) for c in FACT_COLUMNS if c in ("open_price", "high_price", "low_price", "close_price", "latest_price")],
+    )
+    for c in FACT_COLUMNS:
+        if c not in fact.columns:
+            fact = fact.withColumn(c, F.lit(None).cast(struct([c])[0].dataType))
+    dim = spark.createDataFrame([(i, f"S{i:03d}", f"name {i}", f"C{i % 10}") for i in range(1, 101)], DIM_SCHEMA)
+    path = str(tmp_path / "fact")
+    settings = {"parquet.block.row.count.limit": str(per), "parquet.block.size.row.check.min": "1"}
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for k, v in settings.items():
+        conf.set(k, v)
+    try:
+        store.write_served(fact.join(dim.select("id", "category"), "id"), path, ["category", "id", "time_index"], ("id",))
+    finally:
+        for k in settings:
+            conf.unset(k)
+    stored = spark.read.parquet(path)
+    assert scanned(stored) == n
+    category = serve.category_prices(stored, dim, "C3")
+    assert category.count() == 40 and scanned(category) <= 40 + 2 * per
+    one_symbol = serve.price_history(stored, dim, "s042")
+    assert one_symbol.count() == 4 and scanned(one_symbol) <= 2 * per
+    few = serve.search(stored, dim, "day", "name 4[23]$")
+    assert few.count() == 8 and scanned(few) <= 4 * per
+    pushed = serve.between_dates(stored, dim, "day", D("2024-01-02"), D("2024-01-03"))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(time_index,2024-01-02)" in pushed
+
+
+def test_many_ids_are_narrowed_by_their_range(spark, gold, monkeypatch):
+    fact, dim = gold
+    monkeypatch.setattr(serve, "LISTED", 1)
+    got = serve.search(fact, dim, "day", "a")
+    assert sorted(keys(got)) == sorted(keys(serve.prices(fact, dim).filter("timeframe = 'day'")))
+    assert serve.search(fact, dim, "day", "zzz").count() == 0
+
+
 def test_local_time(spark):
     df = spark.createDataFrame([(TS("2024-01-01T20:00:00"),)], "t TIMESTAMP")
     assert one(df.select(to_local(F.col("t"), "Asia/Phnom_Penh").alias("t"))).t == TS("2024-01-02T03:00:00")
@@ -194,7 +258,7 @@ def test_quote_fallback_and_day_change(spark):
     assert tuple(one(live.live_counts(changed))) == (4, 1, 0, 3)
 
 
-def test_selection_composes_and_never_mixes_timeframes(prices):
-    assert {r.timeframe for r in serve.select_prices(prices, "day").collect()} == {"day"}
-    got = serve.select_prices(prices, "day", ["X"], D("2024-01-02"), D("2024-01-02"), "alpha")
+def test_selection_composes_and_never_mixes_timeframes(gold):
+    assert {r.timeframe for r in serve.select_prices(*gold, "day").collect()} == {"day"}
+    got = serve.select_prices(*gold, "day", ["X"], D("2024-01-02"), D("2024-01-02"), "alpha")
     assert keys(got) == [("AAA", "2024-01-02")]

@@ -2,6 +2,8 @@
 
 import time
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from helpers import BARS, D, TS, bar, rows
 from pyspark.sql import functions as F
@@ -57,10 +59,10 @@ def test_window_bars_equal_batch_bars(spark, landed, tmp_path, timeframe):
     assert rows(stream_bars.current_bars(spark, out), "symbol", "time_index") == rows(want, "symbol", "time_index")
 
 
-def test_month_and_year_bars_equal_batch_bars(spark, landed, tmp_path):
+def test_rolled_bars_of_all_timeframes_equal_batch_bars(spark, landed, tmp_path):
     out = str(tmp_path / "o")
-    stream_bars.keep_bars(stream_bars.stream_rollup(ticks_of(spark, landed)), out, str(tmp_path / "c")).awaitTermination()
-    want = bars.ohlc_all(event_ticks(spark, FOLDER), ["month", "year"])
+    stream_bars.keep_rollup(ticks_of(spark, landed), out, str(tmp_path / "c")).awaitTermination()
+    want = bars.ohlc_all(event_ticks(spark, FOLDER))
     order = ["symbol", "timeframe", "time_index"]
     assert rows(stream_bars.current_bars(spark, out), *order) == rows(want, *order)
 
@@ -96,11 +98,94 @@ def test_board_equals_batch_board(spark, landed, tmp_path):
     assert rows(stream_bars.current_board(spark, out), "symbol") == rows(live.tick_board(event_ticks(spark, FOLDER)), "symbol")
 
 
+def three_years(spark, landing, months=36):
+    """A tick every ten days of two symbols, a quarter of a year to a file."""
+    data = []
+    for m in range(months):
+        for d in (1, 11, 21):
+            for u in (7, 8):
+                data.append((len(data), f"{2020 + m // 12}-{m % 12 + 1:02d}-{d:02d}T10:00:00", u, float(len(data) * 7 % 101)))
+    per = 18
+    for i in range(0, len(data), per):
+        land(events(spark, *data[i : i + per]), landing, f"part{i // per:03d}")
+    return events(spark, *data)
+
+
+def test_state_is_bounded_by_the_open_periods(spark, tmp_path, monkeypatch):
+    """Three years in twelve batches: days of more than a month and months of more than a year ago are not in the state."""
+    landing, out = tmp_path / "in", str(tmp_path / "o")
+    landing.mkdir()
+    monkeypatch.setattr(stream_tables, "FAN", 2)
+    source = three_years(spark, landing)
+    query = stream_bars.keep_rollup(ticks_of(spark, landing), out, str(tmp_path / "c"))
+    query.awaitTermination()
+    assert sum(p.numInputRows > 0 for p in query.recentProgress) == 12
+    ticks = source.select(F.col("user_id").cast("string").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"))
+    order = ["symbol", "timeframe", "time_index"]
+    assert rows(stream_bars.current_bars(spark, out), *order) == rows(bars.ohlc_all(ticks), *order)
+    # what is stored and not read any more goes when its segments are merged; what the last batch read is bounded
+    mark = stream_ticks.Clock(spark, out).mark(12)
+    alive = ~stream_ticks.closed(F.add_months(F.trunc("time_index", "month"), 1), mark)
+    assert stream_bars.day_log(spark, out).current(alive).count() == 2 * 3
+    stored = spark.read.parquet(f"{out}/days")
+    assert stored.filter("time_index < '2021-09-01'").count() == 0  # of 216 days those of the last merges remain
+    assert spark.read.parquet(f"{out}/months").filter("time_index < '2021-01-01'").count() == 0
+
+
+def test_late_ticks_are_put_aside_and_change_nothing(spark, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "o")
+    landing.mkdir()
+    batches = [
+        [(1, "2024-01-10T10:00:00", 7, 1.0)],
+        [(2, "2024-01-08T23:00:00", 7, 50.0), (3, "2024-01-09T09:00:00", 7, 2.0), (4, "2024-01-12T10:00:00", 8, 3.0)],
+        [(5, "2024-01-10T11:00:00", 7, 99.0), (6, "2024-01-11T09:00:00", 7, 4.0), (7, "2023-12-31T00:00:00", 7, None)],
+    ]
+    for i, batch in enumerate(batches):
+        land(events(spark, *batch), landing, f"part{i}")
+    stream_bars.keep_rollup(ticks_of(spark, landing), out, str(tmp_path / "c")).awaitTermination()
+    late = [(r.batch, r.event_id, r.price) for r in stream_ticks.late_ticks(spark, out).orderBy("event_id").collect()]
+    assert late == [(1, 2, 50.0), (2, 5, 99.0), (2, 7, None)]
+    assert rows(stream_ticks.late_counts(spark, out), "batch") == [(1, 1), (2, 2)]
+    days = stream_bars.current_bars(spark, out).filter("timeframe = 'day' AND symbol = '7'").select("time_index", "close_price")
+    assert rows(days, "time_index") == [(D("2024-01-09"), 2.0), (D("2024-01-10"), 1.0), (D("2024-01-11"), 4.0)]
+    year = stream_bars.current_bars(spark, out).filter("timeframe = 'year' AND symbol = '7'")
+    assert [(r.open_price, r.high_price, r.close_price) for r in year.collect()] == [(2.0, 4.0, 4.0)]
+
+
+def test_late_rows_of_many_batches_are_counted_without_polling(spark, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "o")
+    landing.mkdir()
+    for i in range(22):
+        day = "2024-01-%02dT10:00:00" % (11 if i == 0 else 12 if i == 1 else 2)
+        row = {"event_id": [i], "ts": pa.array([TS(day)], pa.timestamp("us")), "user_id": [7], "event_type": ["x"], "value": [1.0], "props": ["{}"]}
+        (landing / f"part{i:03d}").mkdir()
+        pq.write_table(pa.table(row), str(landing / f"part{i:03d}" / "a.parquet"))
+        time.sleep(0.005)
+    query = stream_ticks.keep_late(ticks_of(spark, landing), out, str(tmp_path / "c"))
+    query.awaitTermination()
+    counts = rows(stream_ticks.late_counts(spark, out), "batch")
+    assert len(counts) == 20 and all(n == 1 for _, n in counts)
+
+
 def test_last_two_days(spark):
-    known = spark.createDataFrame([bar("A", "day", "2024-01-01", 1.0, 1.0, 1.0, 1.0), bar("A", "day", "2024-01-02", 2.0, 2.0, 2.0, 2.0)], BARS)
-    changed = spark.createDataFrame([bar("A", "day", "2024-01-02", 9.0, 9.0, 9.0, 9.0), bar("A", "day", "2024-01-05", 5.0, 5.0, 5.0, 5.0)], BARS)
-    got = stream_bars.last_two_days(changed, known)
-    assert rows(got.select("time_index", "close_price"), "time_index") == [(D("2024-01-02"), 9.0), (D("2024-01-05"), 5.0)]
+    days = lambda *d: [(D(day), *[p] * 5) for day, p in d]
+    known = spark.createDataFrame([("A", days(("2024-01-02", 2.0), ("2024-01-01", 1.0))), ("Z", days(("2024-01-01", 1.0)))], stream_bars.LAST_SCHEMA)
+    changed = spark.createDataFrame(
+        [bar("A", "day", "2024-01-02", 9.0, 9.0, 9.0, 9.0), bar("A", "day", "2024-01-05", 5.0, 5.0, 5.0, 5.0), bar("B", "day", "2024-01-05", 5.0, 5.0, 5.0, 5.0)], BARS
+    )
+    got = {r.symbol: [(d.time_index, d.close_price) for d in r.days] for r in stream_bars.last_two_days(changed, known).collect()}
+    assert got == {"A": [(D("2024-01-05"), 5.0), (D("2024-01-02"), 9.0)], "B": [(D("2024-01-05"), 5.0)]}
+
+
+def test_board_batches_write_touched_symbols_only(spark, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "o")
+    landing.mkdir()
+    land(events(spark, *[(u, "2024-01-01T10:00:00", u, 1.0) for u in range(50)]), landing, "part0")
+    land(events(spark, (60, "2024-01-02T10:00:00", 7, 2.0)), landing, "part1")
+    stream_bars.keep_board(ticks_of(spark, landing), out, str(tmp_path / "c")).awaitTermination()
+    for log in (stream_bars.board_log(spark, out), stream_bars.last_log(spark, out), stream_bars.bar_log(spark, out)):
+        assert [r.symbol for r in log.written(1).collect()] == ["7"] and log.written(0).count() == 50
+    assert stream_bars.current_board(spark, out).count() == 50
 
 
 def changes(spark, out):
@@ -111,7 +196,7 @@ def test_tick_change_over_batches_and_a_restart(spark, tmp_path, monkeypatch):
     landing, out, checkpoint = tmp_path / "in", str(tmp_path / "o"), str(tmp_path / "c")
     landing.mkdir()
     source = table(spark, FOLDER, "events").withColumn("ts", F.col("ts"))
-    monkeypatch.setattr(stream_tables, "COMPACT_EVERY", 2)
+    monkeypatch.setattr(stream_tables, "FAN", 2)
     read = 0
     for i, (low, high) in enumerate([("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-20"), ("2024-01-20", "2024-03-01")]):
         land(source.filter((F.col("ts") >= low) & (F.col("ts") < high)), landing, f"part{i}")
@@ -155,27 +240,6 @@ def test_duplicates_count_once(spark, tmp_path):
     assert [r.event_id for r in spark.read.parquet(out).orderBy("event_id").collect()] == [1, 2, 3]
 
 
-def test_rows_behind_the_watermark_are_dropped_and_counted(spark, tmp_path):
-    landing = tmp_path / "in"
-    landing.mkdir()
-    for i, (day, price) in enumerate([("10", 1.0), ("11", 2.0), ("02", 99.0)]):
-        land(events(spark, (i, f"2024-01-{day}T10:00:00", 7, price)), landing, f"part{i}")
-    out = str(tmp_path / "o")
-    query = stream_bars.keep_bars(stream_bars.stream_bars(ticks_of(spark, landing)), out, str(tmp_path / "c"))
-    assert stream_ticks.await_late_rows(query) == 1
-    assert [r.time_index for r in stream_bars.current_bars(spark, out).orderBy("time_index").collect()] == [D("2024-01-10"), D("2024-01-11")]
-
-
-def test_late_rows_of_more_batches_than_spark_remembers(spark, tmp_path):
-    landing = tmp_path / "in"
-    landing.mkdir()
-    days = ["11", "12", *["02"] * 118]
-    for i, day in enumerate(days):
-        land(events(spark, (i, f"2024-01-{day}T10:00:00", 7, 1.0)), landing, f"part{i:03d}")
-    query = stream_bars.keep_bars(stream_bars.stream_bars(ticks_of(spark, landing)), str(tmp_path / "o"), str(tmp_path / "c"))
-    assert stream_ticks.await_late_rows(query) == 118
-
-
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     path, schema = str(tmp_path / "t"), spark.range(1).schema
     for _ in range(2):
@@ -184,14 +248,30 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert stream_tables.all_batches(spark, str(tmp_path / "none"), schema).count() == 0
 
 
-def test_compaction_keeps_the_last_versions(spark, tmp_path):
-    path, target = str(tmp_path / "t"), str(tmp_path / "u")
-    df = lambda *data: spark.createDataFrame(data, "k STRING, v INT")
-    stream_tables.write_batch(df(("a", 1), ("b", 1)), path, 0)
-    stream_tables.write_batch(df(("a", 2), ("c", 2)), path, 1)
-    schema = df(("a", 1)).schema
-    stream_tables.compact(spark, path, schema, ["k"], target)
-    stream_tables.write_batch(df(("c", 3)), target, 2)
-    assert rows(stream_tables.current(spark, target, schema, ["k"]), "k") == [("a", 2), ("b", 1), ("c", 3)]
-    stream_tables.compact(spark, str(tmp_path / "none"), schema, ["k"], str(tmp_path / "v"))
-    assert stream_tables.all_batches(spark, str(tmp_path / "v"), schema).count() == 0
+def test_log_keeps_the_last_versions_in_few_segments(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_tables, "FAN", 3)
+    path = tmp_path / "t"
+    schema = spark.createDataFrame([], "k INT, v INT").schema
+    log, want = stream_tables.Log(spark, str(path), schema, ["k"]), {}
+    frame = lambda data: spark.createDataFrame(data, schema)
+    for i in range(20):
+        assert {r.k: r.v for r in log.before(i).collect()} == want
+        changed = {i % 5: i, 10 + i: i}
+        log.put(frame(list(changed.items())), i)
+        if i in (4, 8, 9, 17):  # a batch runs again
+            assert {r.k: r.v for r in log.before(i).collect()} == want
+            log.put(frame(list(changed.items())), i)
+        want |= changed
+        assert {r.k: r.v for r in log.current().collect()} == want
+    segments = sum(1 for _ in path.glob("level=*/segment=*"))
+    assert segments <= 12  # of 20, and 8 merged ones
+
+
+def test_log_forgets_what_is_not_alive(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_tables, "FAN", 2)
+    schema = spark.createDataFrame([], "k INT, v INT").schema
+    log = stream_tables.Log(spark, str(tmp_path / "t"), schema, ["k"])
+    for i in range(16):
+        log.put(spark.createDataFrame([(i, i)], schema), i, F.col("k") >= i - 2)
+    assert sorted(r.k for r in log.before(16, F.col("k") >= 14).collect()) == [14, 15]
+    assert spark.read.parquet(str(tmp_path / "t")).filter("level > 0 AND k < 5").count() == 0
