@@ -4,6 +4,9 @@ import json
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,13 +25,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/pricebars-{label}-{uuid.uuid4().hex}"
+    return f"{_SCRATCH.get() or shared_folder(spark)}/pricebars-{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """New folders of this block are removed at its end; what is to stay is written to a folder named before."""
+    folder = new_folder(spark, "scratch")
+    token = _SCRATCH.set(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        remove(spark, folder)
 
 
-def materialise(df: DataFrame, label: str = "table") -> DataFrame:
+def materialise(df: DataFrame, label: str = "table", path: str | None = None) -> DataFrame:
     """Write once and read back: cuts lineage and outlives lost executors."""
-    path = new_folder(df.sparkSession, label)
+    path = path or new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
