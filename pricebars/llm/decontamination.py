@@ -6,8 +6,8 @@ diagonals that overlap by half, so one band holds them all; bands that reach the
 the band, which gives the place and the exact number of edits.  Nothing is lost on the way.
 
 Texts are scanned whole, each row by itself, so a passage in very many documents is no hot key.  The benchmark is
-cut into blocks of at most ``BLOCK`` characters; a block's items travel with the tasks and each block is one more pass of
-the same scan.
+cut into blocks of about ``BLOCK`` characters, one block to a pass over the texts: its items come to the driver, go out with the
+tasks, and the finds are written before the next block's turn, so neither the driver nor a task holds more than one.
 """
 
 from collections.abc import Iterator
@@ -18,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricebars.sources.store import materialise
+
 Q = 8
 #: Edits allowed, as a share of an item's characters; fewer where the lemma would not ask for a single shared q-gram.
 EDITS = 0.1
 #: Characters of the benchmark that are looked for in one pass.
 BLOCK = 200_000
-#: Characters of text that are scanned in one go.
-SCAN = 2_000_000
+#: Characters of text that are scanned in one go, and of items that are aligned in one go.
+SCAN, ALIGNED = 2_000_000, 500_000
 _BITS = 22
 _COST = 20  # a state of the alignment holds its cost above this bit and its start below
 _FOUND = "array<struct<item_id: long, start: int, end: int, edits: int>>"
@@ -76,18 +78,25 @@ def index(items: list[tuple[int, str]], edits: float = EDITS, q: int = Q) -> Ite
     h = np.concatenate([*hashes, np.empty(0, np.uint32)])
     order = np.argsort(h, kind="stable")
     count = np.array([len(x) for x in hashes], np.int64)
-    place = np.arange(len(h)) - np.repeat(np.cumsum(count) - count, count)
+    place = (np.arange(len(h)) - np.repeat(np.cumsum(count) - count, count))[order]
+    item, h = np.repeat(np.arange(len(kept)), count)[order], h[order]
+    # Of the places that a q-gram has within one half band of an item the first and the last are enough: a place of the
+    # text lies on at most two half bands with all of them, and these two give both.
+    cell = place // (budget[item] + 1)
+    same = (h[1:] == h[:-1]) & (item[1:] == item[:-1]) & (cell[1:] == cell[:-1])
+    ends = ~(np.r_[False, same] & np.r_[same, False]) if len(h) else np.empty(0, bool)
+    h, item, place = h[ends], item[ends], place[ends]
     starts = np.r_[0, np.bincount(h, minlength=1 << _BITS).cumsum()]
-    return Items(
-        [i for i, _ in kept], chars, size, budget, size - q + 1 - budget * q, starts.astype(np.int32),
-        np.repeat(np.arange(len(kept)), count)[order], place[order],
-    )
+    return Items([i for i, _ in kept], chars, size, budget, size - q + 1 - budget * q, starts.astype(np.int64), item, place)
 
 
 def candidates(text: np.ndarray, items: Items, ends: np.ndarray, q: int = Q) -> tuple[np.ndarray, ...]:
-    """Document, item and first diagonal of every band with enough q-grams of one document; these end at ``ends``."""
+    """Document, item and first diagonal of every band with enough q-grams of one document; these end at ``ends``.
+
+    A q-gram of the text counts in every band in which the item has it, at least once and at most twice.
+    """
     h = grams(text, q)
-    count = (items.starts[1:] - items.starts[:-1]).astype(np.uint16)
+    count = items.starts[1:] - items.starts[:-1]
     hit = np.flatnonzero(count[h])
     n = count[h[hit]].astype(np.int64)
     place = np.repeat(hit, n)
@@ -150,8 +159,12 @@ def scan(texts: list[str], items: Items) -> list[list[dict]]:
     starts = ends - [len(t) for t in texts]
     doc, item, low = candidates(joined, items, ends)
     order = np.argsort(items.size[item], kind="stable")
-    for begin in range(0, len(order), 256):
-        part = order[begin : begin + 256]
+    begin = 0
+    while begin < len(order):
+        # the states of an alignment are some hundred bytes for each character of its items
+        longest = items.size[item[order[min(begin + 255, len(order) - 1)]]]
+        part = order[begin : begin + max(1, min(256, ALIGNED // int(longest)))]
+        begin += len(part)
         chosen, own = item[part], doc[part]
         first, end, edits = align(joined, items, chosen, low[part], starts[own], ends[own])
         good = edits <= items.budget[chosen]
@@ -170,7 +183,7 @@ def _best(found: list[dict]) -> list[dict]:
     return sorted(kept, key=lambda f: (f["item_id"], f["start"]))
 
 
-def _matches(block: list[tuple[int, str]], edits: float) -> Column:
+def _matches(block: list[tuple[int, str]], edits: float, text: Column) -> Column:
     @F.arrow_udf(_FOUND)
     def looked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         items = index(block, edits)
@@ -185,7 +198,7 @@ def _matches(block: list[tuple[int, str]], edits: float) -> Column:
                     texts, size = [], 0
             yield pa.array(rows + scan(texts, items), _arrow())
 
-    return looked("text")
+    return looked(text)
 
 
 def _arrow() -> pa.DataType:
@@ -193,32 +206,42 @@ def _arrow() -> pa.DataType:
     return pa.list_(pa.struct([("item_id", pa.int64()), ("start", whole), ("end", whole), ("edits", whole)]))
 
 
-def blocks(benchmark: DataFrame, block: int = BLOCK) -> list[list[tuple[int, str]]]:
-    """The benchmark in blocks of about ``block`` characters, each brought over by itself."""
-    rows = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text")
+def blocks(benchmark: DataFrame, block: int = BLOCK) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark in blocks of about ``block`` characters, brought over one at a time; null items are left out."""
+    rows = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // block)
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1)))
-    return [[tuple(r) for r in rows.where(part == i).collect()] for i in range(n)]
+    for i in range(n):
+        yield [tuple(r) for r in rows.where(part == i).collect()]
+
+
+def _looked(docs: DataFrame, benchmark: DataFrame, edits: float, block: int) -> DataFrame:
+    """``row, matches``: the caller's columns as one struct, which no name of ours can clash with, and the finds."""
+    found = docs.select(F.struct("*").alias("row"), F.array().cast(_FOUND).alias("matches"))
+    for i, items in enumerate(blocks(benchmark, block)):
+        found = materialise(found, "matches") if i else found
+        found = found.select("row", F.concat("matches", _matches(items, edits, F.col("row.text"))).alias("matches"))
+    return found
 
 
-def with_matches(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
+def with_matches(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block: int = BLOCK) -> DataFrame:
     """``docs`` with ``matches``: the items a text holds within the edit budget, where, and with how many edits.
 
     Places are in the text in lower case with single blanks.  Null and empty texts, and an empty benchmark, give no
-    matches; rows are looked at one by one, so repeats match alike.  Null items, and items under 8 characters, match
-    nothing.  A column ``matches`` is replaced.
+    matches; rows are looked at one by one, so repeats match alike, and texts are read whole.  Null items, and items under 8
+    characters, match nothing.  A column ``matches`` is replaced; others stay as they are.
     """
-    found = [_matches(block, edits) for block in blocks(benchmark)]
-    return docs.withColumn("matches", F.concat(F.array().cast(_FOUND), *found))
+    found = _looked(docs, benchmark, edits, block)
+    return found.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "matches"], "matches")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block: int = BLOCK) -> DataFrame:
     """One row ``doc_id, item_id, start, end, edits`` for each item that a document holds."""
-    found = with_matches(docs.select("doc_id", "text"), benchmark, edits)
-    return found.select("doc_id", F.inline("matches"))
+    found = _looked(docs.select("doc_id", "text"), benchmark, edits, block)
+    return found.select("row.doc_id", F.inline("matches"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
-    """The rows of ``docs`` that hold no item."""
-    return with_matches(docs, benchmark, edits).where(F.size("matches") == 0).select(*docs.columns)
+def clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs`` that hold no item, all columns as they are; see ``with_matches`` for odd rows."""
+    return _looked(docs, benchmark, edits, block).where(F.size("matches") == 0).select("row.*")

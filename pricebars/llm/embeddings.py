@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricebars.llm.graph import components, files
+from pricebars.llm.graph import components
 from pricebars.llm.runs import bounds, forest, runs
 from pricebars.sources.store import materialise
 
@@ -158,15 +158,12 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, run: int = RUN) ->
     ).withColumn("usable", usable())
     good = rows.where("usable").drop("usable")
     equal = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("vec_id").alias("weight"))
-    # a vector takes as much room as ten rows of a few numbers, or so
-    count = rows.count()
-    equal = materialise(equal.withColumnRenamed("embedding", "vector").coalesce(files(10 * count)), "vectors")
+    equal = materialise(equal.withColumnRenamed("embedding", "vector"), "vectors")
     keyed = equal.mapInArrow(_keyed, _ROWS).repartition("key").sortWithinPartitions("key")
-    found = materialise(keyed.mapInArrow(_compared(least, run), _FOUND).coalesce(files(10 * TABLES * count)), "links")
+    found = materialise(keyed.mapInArrow(_compared(least, run), _FOUND), "links")
     linked, late = found.where("links is not null").select("rep", "links", "other"), found.where("links is null")
     if not late.isEmpty():
-        linked = linked.unionByName(_cells(late, least, run).coalesce(files(10 * TABLES * count)))
-        linked = materialise(linked, "links")
+        linked = materialise(linked.unionByName(_cells(late, least, run)), "links")
     grouped = components(linked.select(F.col("rep").alias("a"), F.col("other").alias("b")), linked.count())
     sums = linked.groupBy("rep").agg(F.sum("links").alias("links"))
     members = good.join(equal, (good["label"] == equal["label"]) & (good["embedding"] == equal["vector"]))
@@ -177,5 +174,4 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, run: int = RUN) ->
         F.coalesce("component", "rep").alias("component_id"),
     )
     alone = rows.where(~F.col("usable")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    out = counted.coalesce(files(count)).unionByName(alone.coalesce(files(count)))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return counted.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))

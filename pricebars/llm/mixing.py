@@ -34,7 +34,8 @@ def rates(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = S
     Targets are ``share`` of all words dealt out by weight; one that passes ``most`` times its source stops there
     and what is left goes to the others by weight, until none passes.  That is the water level L with
     sum(min(cap, weight * L)) = share: sources fill up in the order of cap/weight, so a running sum finds it.
-    The running sum is over one row per source.  Sources without words have target and rate 0.
+    The running sum is over one row per source.  Sources without words have target and rate 0, a null source is one,
+    and no rows give none.
     """
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     total = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -63,24 +64,30 @@ def uniform(seed: str = SEED, doc_id: str = "doc_id") -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
 
 
-def copies(docs: DataFrame, found: DataFrame, seed: str = SEED) -> DataFrame:
-    """``docs`` with ``source_size, target, rate`` of the source and the number of ``copies`` to emit.
-
-    Rows that share an id are drawn alike.  A null source is a source.  Columns of ``docs`` that have one of these
-    names are replaced.
-    """
-    new = ["source_size", "target", "rate", "copies"]
+def _rated(docs: DataFrame, found: DataFrame, seed: str) -> DataFrame:
+    """``row, source_size, target, rate, copies``: the caller's columns as one struct, which no name of ours can clash with."""
     found = materialise(found.withColumnRenamed("source", "_of"), "rates")
     if found.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         found = F.broadcast(found)
-    joined = docs.drop(*new).join(found, F.col("source").eqNullSafe(F.col("_of")), "left").drop("_of")
+    rows = docs.select(F.struct("*").alias("row"))
+    joined = rows.join(found, F.col("row.source").eqNullSafe(F.col("_of")), "left").drop("_of")
     whole = F.floor("rate")
-    extra = (uniform(seed) < F.col("rate") - whole).cast("long")
+    extra = (uniform(seed, "row.doc_id") < F.col("rate") - whole).cast("long")
     return joined.withColumn("copies", whole + extra)
 
 
+def copies(docs: DataFrame, found: DataFrame, seed: str = SEED) -> DataFrame:
+    """``docs`` with ``source_size, target, rate`` of the source and the number of ``copies`` to emit.
+
+    Rows that share an id are drawn alike, and a null id is one.  A null source is a source; one that ``found`` doesn't know has nulls.
+    Texts play no part.  Columns of ``docs`` that have one of these names are replaced; no rows give none.
+    """
+    new = ["source_size", "target", "rate", "copies"]
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c not in new]
+    return _rated(docs, found, seed).select(*own, *new)
+
+
 def mix(docs: DataFrame, found: DataFrame, seed: str = SEED) -> DataFrame:
-    """The rows of ``docs``, each as often as its source's rate asks for."""
-    return copies(docs, found, seed).where("copies > 0").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))
-    ).select(*docs.columns)
+    """The rows of ``docs``, all columns as they are, each as often as its source's rate asks for."""
+    rows = _rated(docs, found, seed).where("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

@@ -17,10 +17,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricebars.llm.graph import components, files
+from pricebars.llm.graph import components
+from pricebars.llm.groups import first_rows, text_id
 from pricebars.llm.runs import bounds, forest, runs
 from pricebars.llm.text import texts, words
-from pricebars.sources.store import materialise
+from pricebars.sources.store import materialise, new_folder, scratch
 
 SHINGLE = 3
 SEED = 42
@@ -126,13 +127,12 @@ def classes(
 ) -> DataFrame:
     """``fp, component_id`` of every fingerprint of ``doc_id, fp``: the smallest doc_id reachable by links."""
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep is not null")
-    count = prints.count()
-    each = materialise(least.coalesce(files(count)), "classes")
+    each = materialise(least, "classes")
     keys = [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(bits, distance))]
     keyed = each.select(F.explode(F.array(*keys)).alias("key"), "fp", "rep")
     dealt = keyed.repartition("key").sortWithinPartitions("key")
     linked = dealt.mapInArrow(_links(distance, run), "key long, fp long, a long, b long")
-    found = materialise(linked.coalesce(files(count * len(keys))), "links")
+    found = materialise(linked, "links")
     edges, late = found.where("b is not null").select("a", "b"), found.where("b is null")
     if not late.isEmpty():
         edges = edges.unionByName(_cells(late, distance, run))
@@ -150,8 +150,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     prints = materialise(fingerprints(docs), "prints")
     joined = prints.withColumnRenamed("fp", "own").join(classes(prints), F.col("own") == F.col("fp"), "left")
-    return joined.select("doc_id", F.col("own").alias("fp"), "component_id").coalesce(files(prints.count()))
+    return joined.select("doc_id", F.col("own").alias("fp"), "component_id")
 
 
 def hexadecimal(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
+
+
+def drop(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of linked fingerprints: the first, as ``groups.first_rows`` says.
+
+    Groups are made of fingerprints, not of ids: rows that share an id but not a group go or stay by themselves, rows
+    without an id are grouped like any other and come last, equal rows are one.
+    """
+    spark = docs.sparkSession
+    path = new_folder(spark, "later")
+    with scratch(spark):
+        prints = materialise(fingerprints(docs, *text_id()).withColumnRenamed("doc_id", "id"), "prints")
+        grouped = classes(prints.select(F.col("fp").alias("doc_id"), "fp")).withColumnRenamed("component_id", "component")
+        ids = prints.groupBy("id", "h1", "h2", "fp").agg(F.count(F.lit(1)).alias("n")).join(grouped, "fp")
+        return first_rows(docs, ids, path)

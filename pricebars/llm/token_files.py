@@ -12,6 +12,7 @@ whole files when a task is run again.
 import hashlib
 import json
 import os
+import sys
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
@@ -145,6 +146,18 @@ class Encoder:
         ]
 
 
+def encoder_of(name: str, end: int) -> Encoder:
+    """This process's encoder: what it has learnt serves all tasks that a Python worker runs, up to ``REMEMBERED`` pieces.
+
+    Functions travel with each task, and with them the globals of this module, so it is kept where they can't reach.
+    """
+    held = vars(sys).setdefault("_token_file_encoders", {})
+    if (name, end) not in held:
+        held.clear()
+        held[name, end] = Encoder(name, end)
+    return held[name, end]
+
+
 def width_of(name: str, end: int) -> int:
     """Bytes of an id: 2 where all ids of the vocabulary fit, else 4."""
     from tokenizers import Tokenizer
@@ -157,7 +170,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str = TOKENIZER, end: int = END
     width = width_of(tokenizer, end)
 
     def arrays(batches):
-        encoder = Encoder(tokenizer, end)
+        encoder = encoder_of(tokenizer, end)
         for batch in batches:
             rows = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
             yield pa.record_batch({"ids": pa.array([r.astype(f"<u{width}").tobytes() for r in rows], pa.binary())})
@@ -176,7 +189,7 @@ def _pack(tokenizer: str, end: int, width: int, dictionary: bytes) -> Callable:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared).compress
-        encoder = Encoder(tokenizer, end)
+        encoder = encoder_of(tokenizer, end)
         shard, block, before = TaskContext.get().partitionId(), 0, 0
         ids, counts, frames, held = [], [], [], 0
 

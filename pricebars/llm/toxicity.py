@@ -10,7 +10,7 @@ sample (``POSITIVES``, ``UNLABELLED``); the class prior is counted over all labe
 """
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -145,10 +145,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(index, np.array([w for w, _ in fitted]).reshape(CLASSIFIERS, len(index)), np.array([b for _, b in fitted]))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score``; every text is read whole, null and empty texts get the classifiers' bias."""
+def _scored(model: Model) -> Callable:
     @F.arrow_udf("double")
     def scored(column: pa.Array) -> pa.Array:
         return pa.array([model.score(t or "") for t in column.to_pylist()], pa.float64())
 
-    return docs.withColumn("score", scored("text"))
+    return scored
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``score``; every text is read whole, null and empty texts get the classifiers' bias.
+
+    Rows are scored one by one: repeated ones alike, none for an empty table.  A column ``score`` is replaced.
+    """
+    return docs.withColumn("score", _scored(model)("text"))
+
+
+def clean(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``least``, all columns as they are."""
+    return docs.where(_scored(model)("text") < least)
