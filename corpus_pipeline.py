@@ -1,7 +1,11 @@
 """From raw documents to token files: five stages, each on all that its predecessor kept.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as Parquet and read again as the
-next one's documents; all but the last keep the columns of ``documents``.  Empty tables pass through every stage.
+next one's documents; all but the last keep the columns of ``documents``, and any others, as they are.  Empty tables pass
+through every stage.
+
+The stage named decontamination drops near copies (``drop_near_copies``) before it looks for benchmark items: texts that share four
+fifths of their five-word shingles are mostly beyond the 3 bits that the links of the SimHash stage may differ in.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,63 +13,47 @@ from pyspark.sql import functions as F
 
 from pricebars.llm import decontamination, mixing, near_copies, simhash, token_files, toxicity
 from pricebars.llm.text import read
-from pricebars.sources.store import materialise, new_folder
+from pricebars.sources.store import materialise, new_folder, remove, scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below one half; the classifiers learn from this stage's documents."""
-    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("score < 0.5").select(*docs.columns)
+    """Documents whose toxicity score is below one half; the classifiers learn from this stage's documents.
 
+    Null and empty texts score the classifiers' bias; repeated rows score alike; every text is read whole.
+    """
+    with scratch(spark):
+        model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.clean(docs, model)
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the row with the smallest id, and of that id's rows there the first by text.
 
-    Groups are made of fingerprints, not of ids: rows that share an id but not a group go or stay by themselves, and
-    rows without an id are grouped like any other and come last.  Equal rows are one.
-    """
-    named = [F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash")]
-    prints = materialise(simhash.fingerprints(docs, *named).drop("doc_id"), "prints")
-    grouped = simhash.classes(prints.select(F.col("fp").alias("doc_id"), "fp"))
-    rank = F.struct(F.col("id").isNull().alias("nameless"), "id", "hash")
-    first = prints.groupBy("fp").agg(F.min(rank).alias("first")).join(grouped, "fp")
-    first = first.groupBy("component_id").agg(F.min("first").alias("first")).select("first.id", "first.hash")
-    repeats = prints.groupBy("id", "hash").agg(F.count("fp").alias("n")).where("n > 1")
-    first = first.join(repeats.withColumnsRenamed({"id": "_id", "hash": "_hash"}), F.expr("id <=> _id and hash = _hash"), "left")
-    first = materialise(first.select("id", "hash", "n"), "first")
-    kept = docs.select("*", *(c.alias(f"_{n}") for c, n in zip(named, ("id", "hash"))))
-    kept = kept.join(first, F.expr("_id <=> id and _hash = hash"))
-    # of rows with the same id and text the least by all columns
-    one = kept.where("n is not null").groupBy("_id", "_hash").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return kept.where("n is null").select(*docs.columns).unionByName(one)
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked fingerprints one row, the first; see ``simhash.drop``."""
+    return simhash.drop(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts that share four fifths of their five-word shingles the rows of the smallest id and first text."""
-    signs = materialise(near_copies.signed(docs), "signs")
-    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "node")
-    first = signs.groupBy("node").agg(F.min(rank).alias("first")).join(near_copies.classes(docs, signs), "node")
-    least = first.groupBy("component").agg(F.min("first").alias("least"))
-    later = materialise(first.join(least, "component").where("first.node <> least.node").select("node"), "later")
-    return docs.join(later, F.xxhash64("text") == F.col("node"), "left_anti").select(*docs.columns)
+    """Of each group of texts that share four fifths of their five-word shingles the first; see ``near_copies.drop``."""
+    return near_copies.drop(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, neither as it is nor with few edits; near copies go first.
 
-    Near copies are beyond the few bits that op7's contract fixes for the stage before, so they go here: the tests hold that
-    stage to op7's own links.
+    Null and empty texts hold none; repeated rows go or stay alike; every text is read whole.
     """
     return decontamination.clean(drop_near_copies(spark, docs, sf_dir), read(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the rates of their sources ask for."""
+    """Documents as often as the rates of their sources ask for; a null source is one, rows that share an id are drawn alike."""
     return mixing.mix(docs, mixing.rates(docs.select("source", mixing.size().alias("size"))))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of all documents, in ascending order, and what reading them back gives for each."""
+    """Token files of all documents, in ascending order, and what reading them back gives for each.
+
+    Null and empty texts are a document of the end alone; repeated rows follow each other; other columns play no part.
+    """
     path = new_folder(spark, "tokens")
     token_files.write(docs, path)
     return token_files.digest(spark, path).withColumn("path", F.lit(path))
@@ -84,9 +72,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """All stages.  A stage's documents and whatever else it wrote go when the next one's are there; the token files stay."""
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        path = new_folder(spark, name)
+        with scratch(spark):
+            docs = materialise(stage(spark, docs, sf_dir), path=path)
+        if last:
+            remove(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
