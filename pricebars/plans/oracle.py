@@ -640,6 +640,15 @@ FROM events""",
         "stream_week_bars": q(PE, select=bar_select("pe", "week")),
         "stream_rollup": q(PE, bars("bars", "pe", ["month", "year"]), select="SELECT * FROM bars"),
         "stream_late": STREAM_LATE,
+        "stream_closed": q(PE, select=f"""SELECT * FROM ({bar_select("pe", "day")}) WHERE CAST(time_index + 1 AS TIMESTAMP)
+            <= (SELECT max(ts) - INTERVAL 1 DAY FROM events WHERE value IS NOT NULL AND NOT isnan(value))"""),
+        "dq_lengths": """SELECT 'c_name' AS column_name, CAST(count(*) FILTER (WHERE length(c_name) > 10) AS BIGINT) AS n_too_long FROM customer
+            UNION ALL SELECT 'c_mktsegment', CAST(count(*) FILTER (WHERE length(c_mktsegment) > 9) AS BIGINT) FROM customer""",
+        "first_lines": """SELECT symbol, timeframe, time_index, line, "order", price, quantity FROM (
+            SELECT *, row_number() OVER (PARTITION BY "order" ORDER BY price, symbol, time_index, line, quantity) AS place FROM (
+                SELECT CAST(l_partkey AS VARCHAR) AS symbol, 'day' AS timeframe, CAST(l_shipdate AS DATE) AS time_index,
+                    l_linenumber AS line, l_orderkey AS "order", l_extendedprice / nullif(l_quantity, 0) AS price,
+                    l_quantity AS quantity FROM lineitem)) WHERE place = 1""",
         "model_lookup": both_scopes("SELECT * FROM predictions WHERE timeframe = 'week' AND model_name = 'holt_smoothing'"),
         "no_forecasts_yet": q(PO, PO_BARS, NATIONS, DIM, select="SELECT symbol, CAST(0 AS BIGINT) AS n FROM dim"),
         "dq_load_unique": f"""WITH last AS ({LAST_ORDERS}) SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem

@@ -661,6 +661,23 @@ def _last_orders(spark: SparkSession, folder: str) -> DataFrame:
     return lines.filter(F.col("l_orderkey") >= F.lit(first))
 
 
+@_query
+def dq_lengths(spark, folder):
+    """Texts longer than a column of the warehouse would hold."""
+    customer = tables.table(spark, folder, "customer")
+    return quality.violations_length(customer, {"c_name": 10, "c_mktsegment": 9})
+
+
+@_query
+def first_lines(spark, folder):
+    """One line per order, the cheapest by unit price, with the key columns first."""
+    lines = tables.lineitem_ticks(spark, folder).select(
+        F.col("seq.l_orderkey").alias("order"), "symbol", F.lit("day").alias("timeframe"), F.col("ts").alias("time_index"),
+        "price", F.col("seq.l_linenumber").alias("line"), F.col("seq.l_quantity").alias("quantity"),
+    )
+    return reshape.order_columns(reshape.dedupe(lines, ["order"], ["price", "symbol", "time_index", "line", "quantity"]))
+
+
 @_query
 def dq_load_unique(spark, folder):
     """Supplier and part pairs that the last order lines repeat, counted in all lines."""
@@ -824,6 +841,15 @@ def stream_rollup(spark, folder):
     return stream_bars.current_bars(spark, out).filter(F.col("timeframe").isin("month", "year"))
 
 
+@_query
+def stream_closed(spark, folder):
+    """Day bars whose window the watermark has closed, each once."""
+    out = store.new_folder(spark, "stream")
+    ticks = _stream(spark, folder)
+    stream_bars.closed_bars(ticks, f"{out}/bars", f"{out}/checkpoint").awaitTermination()
+    return spark.read.schema(stream_bars.BAR_SCHEMA).parquet(f"{out}/bars")
+
+
 @_query
 def stream_late(spark, folder):
     """The events that are late when all land in four parts, by the remainder of their number."""
