@@ -23,7 +23,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebars.sources.store import materialise, new_folder
+from pricebars.sources.store import materialise, new_folder, remove
 
 #: Lines of so many code points count, once so many documents hold them.
 SHORTEST, DOCUMENTS = 20, 3
@@ -64,13 +64,13 @@ class Runs:
     """Sorted runs in levels: ``levels[i]`` are names of bucketed tables, each some ``FANOUT`` ** i batches."""
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT):
-        self.spark, self.fanout, self.levels = spark, fanout, []
+        self.spark, self.fanout, self.levels, self.paths = spark, fanout, [], {}
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(self, rows: DataFrame) -> str:
         """A new run; whoever made ``rows`` has each bucket in one task, so a run is one sorted file a bucket."""
         name = f"run_{uuid.uuid4().hex}"
-        path = new_folder(self.spark, "run")
+        path = self.paths[name] = new_folder(self.spark, "run")
         rows.write.bucketBy(self.buckets, *_HASH).sortBy(*_HASH).option("path", path).saveAsTable(name)
         return name
 
@@ -102,8 +102,9 @@ class Runs:
         return self.tables()[0] if names else None
 
     def drop(self, names: Sequence[str] | None = None) -> None:
-        for name in names or [name for level in self.levels for name in level]:
+        for name in names or list(self.paths):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            remove(self.spark, self.paths.pop(name))
 
 
 def added(a: DataFrame, b: DataFrame, how: str) -> DataFrame:

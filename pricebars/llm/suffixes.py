@@ -8,10 +8,11 @@ Such strings are found with a suffix order that is exact up to their length:
 2.  *Sort triples.*  A sampled place's first name is the rank of the triple of 6-byte letters that begins there
     (18 bytes), from a sort by key ranges over all batches.
 3.  *Recurse on names.*  The names at offsets 0, 15 and 30, which are in the same residue class, are again a triple; its order is
-    that of the first 48 bytes.
-4.  *Merge the remaining suffixes.*  A string that begins 0, 1 or 2 bytes before a sampled place is placed by those
-    bytes, the place's triple and the bytes up to ``LENGTH``, so that suffixes of every residue meet in one order.
-5.  *Compare neighbours.*  Equal neighbours are equal strings; the smallest document among them keeps its own.
+    that of the first 48 bytes.  Strings of ``LENGTH`` bytes need no second level.
+4.  *Merge the remaining suffixes.*  A string that begins 0, 1 or 2 bytes before a sampled place is sorted by the
+    place's triple and the bytes that complete it before and behind, in one order for each of the three distances: whatever
+    residues two equal strings begin at, they meet in one of these.
+5.  *Compare neighbours.*  Equal neighbours of an order are equal strings; the smallest document among them keeps its own.
 
 Before that, what cannot repeat is left out, without loss: of equal whole texts only the first takes part, and of a text only
 the surroundings of anchors that several texts have.  An anchor is the place of the least hash of ``ANCHOR`` bytes in some
@@ -39,7 +40,7 @@ ANCHOR = 20
 #: Bytes of text in a batch, and keys that a range is meant to hold.
 BATCH_BYTES = 8 << 20
 RANGE = 1_000_000
-#: Batches and keys of each from which the bounds of the key ranges are taken.
+#: Batches from which the bounds of the key ranges are taken, and keys of each: more where there are many ranges.
 SAMPLED_BATCHES, SAMPLED_KEYS = 2_000, 64
 _LETTERS, _STEP = 18, 15
 _DEPTH = 48
@@ -258,12 +259,33 @@ def _distinct(*columns: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]
     return tuple(c[new] for c in ordered), of
 
 
-def _sample_keys(batches):
-    for batch in batches:
-        for row in batch.to_pylist():
-            first = np.sort(_Part(row).keys[0])
-            some = first[np.linspace(0, len(first) - 1, min(len(first), SAMPLED_KEYS)).astype(np.int64)]
-            yield pa.record_batch({"key": pa.array([some.tobytes()], pa.binary())})
+def _sample_keys(number: int) -> Callable:
+    """The first 16 bytes of some keys of each batch."""
+
+    def sample(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                first, second, _ = _Part(row).keys
+                order = np.argsort(first)
+                some = order[np.linspace(0, len(first) - 1, min(len(first), number)).astype(np.int64)]
+                yield pa.record_batch({"key": pa.array([np.column_stack([first[some], second[some]]).tobytes()], pa.binary())})
+
+    return sample
+
+
+def _range_of(bounds: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The range of each key: how many bounds (rows of two numbers, ascending) are not above it.
+
+    Where several bounds share their first 8 bytes, the next 8 decide, so a beginning that very many keys have is dealt
+    out to as many ranges as its keys ask for.
+    """
+    found = np.searchsorted(bounds[:, 0], first, side="right")
+    low = np.searchsorted(bounds[:, 0], first, side="left")
+    for at in np.unique(low[found > low]).tolist():
+        same = np.flatnonzero((low == at) & (found > at))
+        end = int(found[same[0]])
+        found[same] = at + np.searchsorted(bounds[at:end, 1], second[same], side="right")
+    return found
 
 
 def _ask_names(bounds: np.ndarray) -> Callable:
@@ -272,7 +294,7 @@ def _ask_names(bounds: np.ndarray) -> Callable:
             for row in batch.to_pylist():
                 part = _Part(row)
                 keys, of = part.distinct()
-                yield from _dealt(row["batch"], np.searchsorted(bounds, keys[0], side="right"), *keys, part.several(of))
+                yield from _dealt(row["batch"], _range_of(bounds, *keys[:2]), *keys, part.several(of))
 
     return ask
 
@@ -367,7 +389,7 @@ def _answer_strings(asked: pa.Table) -> pa.Table:
     for side in range(3):  # the bytes around are -2, -1, 48 and 49, from the highest; two of them complete a string
         string = of << 16 | (around >> 8 * side & 0xFFFF)
         has = np.flatnonzero(around >> 32 + side & 1)
-        _, at = np.unique(string[has], return_inverse=True)
+        _, at = _distinct(string[has])  # sorted, and each compared with the one before
         least = np.full(at.max(initial=-1) + 1, _NONE)
         np.minimum.at(least, at, doc[has])
         first = np.full(len(doc), _NONE)
@@ -448,12 +470,14 @@ def _copies(whole: DataFrame) -> DataFrame:
 
 
 def _bounds(parts: DataFrame, ranges: int) -> np.ndarray:
-    """Bounds of the key ranges, from a bounded sample of keys."""
+    """Bounds of the key ranges, from some eight keys for each range: 128 bytes of the driver's memory for a million keys."""
     n = parts.count()
     some = parts.where(F.pmod(F.xxhash64("batch"), F.lit(max(1, -(-n // SAMPLED_BATCHES)))) == 0)
-    found = some.mapInArrow(_sample_keys, "key binary").toArrow().column("key").to_pylist()
-    keys = np.sort(np.frombuffer(b"".join(found), np.uint64))
-    return np.unique(keys[np.linspace(0, len(keys) - 1, ranges + 1).astype(np.int64)[1:-1]]) if len(keys) else keys
+    number = max(SAMPLED_KEYS, -(-8 * ranges // max(1, min(n, SAMPLED_BATCHES))))
+    found = some.mapInArrow(_sample_keys(number), "key binary").toArrow().column("key").to_pylist()
+    keys = np.frombuffer(b"".join(found), np.uint64).reshape(-1, 2)
+    keys = keys[np.lexsort((keys[:, 1], keys[:, 0]))]
+    return np.unique(keys[np.linspace(0, len(keys) - 1, ranges + 1).astype(np.int64)[1:-1]], axis=0) if len(keys) else keys
 
 
 def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

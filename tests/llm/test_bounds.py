@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from test_near_copies import edited
 
 import corpus_pipeline
-from pricebars.llm import decontamination, near_copies, sampling, urls
+from pricebars.llm import decontamination, near_copies, sampling, suffixes, urls
 from pricebars.sources.store import materialise, shared_folder
 
 SMALL = "/root/testdata/sf0.001"
@@ -87,6 +87,42 @@ def test_scratch_goes_with_its_stage(spark):
     assert left == {"mixing", "tokens"}
 
 
+def test_key_ranges_split_a_common_beginning():
+    """Keys that all begin with the same 8 bytes still fall into many ranges, the same key always into one."""
+    draw = np.random.default_rng(1)
+    first = np.where(np.arange(4000) % 4 > 0, 77, draw.integers(0, 200, 4000)).astype(np.uint64)
+    second = draw.integers(0, 50, 4000).astype(np.uint64)
+    every = sorted(zip(first.tolist(), second.tolist()))
+    bounds = np.array(sorted({every[i] for i in range(100, 4000, 100)}), np.uint64)
+    got = suffixes._range_of(bounds, first, second)
+    want = [sum(tuple(b) <= (f, s) for b in bounds.tolist()) for f, s in zip(first.tolist(), second.tolist())]
+    assert got.tolist() == want and len(set(got[first == 77].tolist())) >= 25
+    none = np.empty((0, 2), np.uint64)
+    assert set(suffixes._range_of(none, first, second).tolist()) == {0}
+
+
+def test_repeats_in_texts_that_share_a_beginning_everywhere(spark, monkeypatch):
+    """Every line begins with the same 18 bytes; ranges of a few hundred keys."""
+    monkeypatch.setattr(suffixes, "RANGE", 300)
+    draw = random.Random(4)
+    lines = ["        Boilerplate " + text(800 + i, 12) for i in range(30)]
+    rows = [(i, "\n".join(draw.sample(lines, 6))) for i in range(25)]
+    seen, want = {}, {}
+    for i, t in rows:
+        b = t.encode()
+        for p in range(len(b) - 49):
+            seen.setdefault(b[p : p + 50], i)
+    for i, t in rows:
+        b = t.encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - 49):
+            if seen[b[p : p + 50]] < i:
+                gone[p : p + 50] = b"\1" * 50
+        want[i] = bytes(c for c, g in zip(b, gone) if not g)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: bytes(r.kept) for r in suffixes.remove_repeats(docs).collect()} == want
+
+
 def test_unseen_hosts(spark):
     """Names that are not in the table: those of the given pages, and seeds held out of it by fifths."""
     names = ("casino-win", "free-bets", "cheap-pills", "adult-x", "ads-track", "spam-farm")
