@@ -9,7 +9,7 @@ from pricebars.llm import (
     decontamination, embeddings, language_model, line_dedup, mixing, quality, resampling, simhash, suffixes, token_files,
     toxicity, urls, whitening,
 )
-from pricebars.llm.text import read, remainder
+from pricebars.llm.text import held_out, read
 from pricebars.sources.store import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,7 +76,7 @@ def _judged(spark, sf_dir, kind, least):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     scored = kind.score(docs, kind.fit(docs, read(spark, sf_dir, "labels")))
     return scored.select(
-        "doc_id", (remainder() == 0).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted")
+        "doc_id", held_out(0).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted")
     )
 
 
@@ -111,9 +111,9 @@ def op10_decontamination(spark, sf_dir):
 
 @_query
 def op2_language_model(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").withColumn("training", remainder() != 1)
+    docs = read(spark, sf_dir, "documents").withColumn("training", ~held_out(1))
     scored = language_model.score(docs)
-    return scored.withColumn("held_out", remainder() == 1).select(
+    return scored.withColumn("held_out", held_out(1)).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
 

@@ -15,8 +15,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def remainder(doc_id: str = "doc_id") -> Column:
-    """crc32 of the id as text, modulo 5: the folds of the labelled queries.  A null id counts as the empty text: fold 0."""
-    return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(5))
+    """crc32 of the id as text, modulo 5: the folds of the labelled queries; null without an id, which is learnt from nowhere."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5))
+
+
+def held_out(fold: int) -> Column:
+    """Whether a row is of the fold that a query doesn't learn from; one without an id is."""
+    return F.coalesce(remainder() == fold, F.lit(True))
 
 
 def texts(column: pa.Array) -> list[bytes]:
