@@ -1,11 +1,43 @@
 """Constraints as queries: each returns the violating keys, no rows when the table is sound."""
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: A pass of ``quantile`` counts in so many bits of the keys: some 2^14 rows come to the driver, whatever the table's size.
+BITS = 14
+
+
+def quantile(df: DataFrame, column: str, share: float, bits: int = BITS) -> float | None:
+    """The exact quantile of a whole-number column, interpolated between two neighbours as ``percentile`` does.
+
+    ``percentile`` brings every distinct value into one task.  Here each pass counts the keys by their leading bits and goes on with
+    the one range that holds the wanted place: a pass over 14 bits, so two for a range of 2^28 keys and five for all.
+    Nulls don't count; without any value there is no quantile.
+    """
+    keys = df.select(F.col(column).cast("bigint").alias("k")).filter(F.col("k").isNotNull())
+    n, low, high = keys.agg(F.count("k"), F.min("k"), F.max("k")).first()
+    if not n:
+        return None
+    place = (n - 1) * share
+    rank, before, same = math.floor(place), 0, n
+    while low < high:
+        shift = max(0, (high - low).bit_length() - bits)
+        near = keys.filter(F.col("k").between(F.lit(low), F.lit(high))).groupBy(F.shiftright("k", shift).alias("range"))
+        for key, same in sorted(map(tuple, near.agg(F.count(F.lit(1))).collect())):
+            if before + same > rank:
+                break
+            before += same
+        low, high = max(low, key << shift), min(high, (key + 1 << shift) - 1)
+    if place == rank or before + same > rank + 1:
+        return float(low)
+    above = keys.filter(F.col("k") > F.lit(low)).agg(F.min("k")).first()[0]
+    return (rank + 1 - place) * low + (place - rank) * above
+
+
 def touched(df: DataFrame, load: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of ``df`` whose keys occur in ``load``.
 

@@ -4,6 +4,7 @@ Queries about the gold layer read a warehouse of all orders, which the first of
 folder; the others run straight from the tables.
 """
 
+import math
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -657,8 +658,8 @@ def dq_fk_orphans(spark, folder):
 def _last_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The last tenth of the order lines by order number, as a load that has just been added."""
     lines = tables.table(spark, folder, "lineitem")
-    first = lines.agg(F.percentile("l_orderkey", 0.9).cast("bigint").alias("k")).first().k
-    return lines.filter(F.col("l_orderkey") >= F.lit(first))
+    first = quality.quantile(lines, "l_orderkey", 0.9)
+    return lines.filter(F.col("l_orderkey") >= F.lit(None if first is None else math.floor(first)))
 
 
 @_query
