@@ -99,16 +99,17 @@ def category_average(bars: DataFrame) -> DataFrame:
     )
 
 
-def with_category_average(bars: DataFrame) -> DataFrame:
-    """Put the category average on every bar.
+def with_category_average(bars: DataFrame, averages: DataFrame | None = None) -> DataFrame:
+    """Put the category average on every bar; ``averages`` are those of ``bars`` if they have been stored.
 
     Aggregated first and joined back: the averages are one small row per category and period, while a
     window over the category would pull a whole sector's bars of a period into one task.  Catalyst
-    broadcasts the averages when they are small; else AQE splits the skewed side of the join.
+    broadcasts the averages when they are small; else AQE splits the skewed side of the join.  Averages that are not stored
+    are judged by their parts, one of each task, and may be sorted and joined however few they are.
     """
     if not _has(bars, *PERIOD, "close_price"):
         return _nulls(bars, category_avg_close="double", category_count="bigint")
-    return bars.join(category_average(bars), PERIOD, "left")
+    return bars.join(category_average(bars) if averages is None else averages, PERIOD, "left")
 
 
 def enrich(bars: DataFrame, profiles: DataFrame) -> DataFrame:

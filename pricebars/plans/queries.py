@@ -324,10 +324,16 @@ def category_avg_join(spark, folder):
 
 @_query
 def category_avg_window(spark, folder):
-    """The average over (category, timeframe, date) on every bar of the part table's many symbols."""
-    rows = store.materialise(bars.ohlc_all(tables.lineitem_ticks(spark, folder)), "bars")
-    rows = features.with_category(rows, tables.part_profiles(spark, folder))
-    return features.with_category_average(rows).select(*BAR_KEY, "category", "category_avg_close", "category_count")
+    """The average over (category, timeframe, date) on every bar of the part table's many symbols.
+
+    The roll-up makes four rows of one and holds them by key, so its tasks are kept small; the category is joined there, once.
+    """
+    rows = bars.ohlc_all(tables.lineitem_ticks(spark, folder))
+    with store.small_tasks(spark):
+        rows = store.materialise(features.with_category(rows, tables.part_profiles(spark, folder).drop("name")), "bars")
+        averages = store.materialise(features.category_average(rows), "averages")
+    rows = features.with_category_average(rows, averages)
+    return rows.select(*BAR_KEY, "category", "category_avg_close", "category_count")
 
 
 @_query

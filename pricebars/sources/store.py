@@ -51,6 +51,34 @@ def materialise(df: DataFrame, label: str = "table", path: str | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A task reads some megabytes, of a file or of a shuffle, and there are partitions enough for that in a large table.
+_SMALL = {
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+}
+
+
+@contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """Queries that are run within this block have many small tasks instead of a few of 64 MB or more.
+
+    For steps that make far more of a row in memory than the compressed bytes by which Spark merges partitions: their tasks would
+    grow with the table up to that size.  The caller's settings are put back.
+    """
+    before = {name: spark.conf.get(name, None) for name in _SMALL}
+    for name, value in _SMALL.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def _hadoop(spark: SparkSession, path: str):
     """A path and its file system, whatever that is."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

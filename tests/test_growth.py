@@ -6,6 +6,7 @@ import pytest
 
 from pricebars.operators import quality
 from pricebars.plans import queries
+from pricebars.sources import store
 
 
 @pytest.mark.parametrize("bits", [3, quality.BITS])
@@ -42,3 +43,30 @@ def test_last_orders_gather_no_keys(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(queries.F, "percentile", gathers)
     assert queries._last_orders(spark, str(tmp_path)).count() == 101
+
+
+def test_bars_are_made_in_small_tasks(spark, monkeypatch):
+    """The roll-up and the averages run with small tasks, the caller's settings come back, and the result joins stored averages."""
+    name, seen, stored = "spark.sql.adaptive.advisoryPartitionSizeInBytes", [], store.materialise
+    before = spark.conf.get(name)
+
+    def watched(df, label="table", path=None):
+        seen.append((label, spark.conf.get(name)))
+        return stored(df, label, path)
+
+    monkeypatch.setattr(store, "materialise", watched)
+    assert queries.category_avg_window(spark, "/root/testdata/sf0.001").count() > 0
+    assert seen == [("bars", "8m"), ("averages", "8m")]
+    assert spark.conf.get(name) == before
+
+
+def test_small_tasks_put_settings_back(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(name, "99m")
+    try:
+        with pytest.raises(ValueError), store.small_tasks(spark):
+            assert spark.conf.get(name) == "16m"
+            raise ValueError
+        assert spark.conf.get(name) == "99m"
+    finally:
+        spark.conf.unset(name)
