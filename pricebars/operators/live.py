@@ -42,13 +42,15 @@ def tick_change(ticks: DataFrame) -> DataFrame:
     """Price minus the previous tick's price of the symbol, 0 for its first tick; ticks without a price are none.
 
     Every symbol is split by time, so no task holds all ticks of one.  Each slot is opened by an extra row with the last
-    price of the symbol's slot before, taken from a pre-aggregated table of one row per slot.
+    price of the symbol's slot before, taken from a pre-aggregated table of one row per slot.  Ticks are dealt out by slot
+    explicitly: those that a join has dealt by symbol would stay so, as that satisfies the windows too.
     """
     order = _order(ticks)
     slot = ["minute", "part"]
     rows = (
         ticks.filter(F.col("price").isNotNull() & ~F.isnan("price"))
         .withColumns({**dict(zip(slot, _slot(ticks))), "is_tick": F.lit(True)})
+        .repartition("symbol", *slot)
     )
     last_tick = F.max_by("price", F.col("ts") if order == ["ts"] else F.struct(*order))
     last = rows.groupBy("symbol", *slot).agg(last_tick.alias("last"))
@@ -58,7 +60,7 @@ def tick_change(ticks: DataFrame) -> DataFrame:
     ).filter(F.col("price").isNotNull())
     previous = F.lag("price").over(Window.partitionBy("symbol", *slot).orderBy("is_tick", *order))
     return (
-        rows.unionByName(openers, allowMissingColumns=True)
+        rows.unionByName(openers, allowMissingColumns=True).repartition("symbol", *slot)
         .withColumn("tick_change", F.coalesce(F.col("price") - previous, F.lit(0.0)))
         .filter("is_tick")
         .select(*ticks.columns, "tick_change", direction(F.col("tick_change")).alias("tick_status"))

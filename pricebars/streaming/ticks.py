@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pricebars.operators.live import tick_change
-from pricebars.sources.store import remove
+from pricebars.sources.store import remove, small_tasks
 from pricebars.streaming.tables import Log, all_batches, write_batch
 
 EVENT_SCHEMA = T.StructType(
@@ -170,16 +170,17 @@ def stream_tick_change(ticks: DataFrame, out: str, checkpoint: str) -> Streaming
     """Tick change per symbol across micro-batches, over all files landed so far.
 
     A batch is read from its source once and written; the rest works on what was written.  The state, one
-    row per symbol, is a :class:`Log`: a batch adds the symbols it moved.
+    row per symbol, is a :class:`Log`: a batch adds the symbols it moved.  Ticks are sorted in tasks that stay small.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = landed(batch, out, batch_id)
-        state = Log(spark, f"{out}/state", STATE_SCHEMA, ["symbol"])
-        write_batch(change_batch(rows, state.before(batch_id)), f"{out}/changes", batch_id)
-        written = spark.read.schema(CHANGE_SCHEMA).parquet(f"{out}/changes/batch={batch_id}")
-        fresh = written.filter(F.col("tick_status") != "late").select("event_id", *STATE_SCHEMA.names)
-        state.put(last_ticks(fresh), batch_id)
+        with small_tasks(spark):
+            rows = landed(batch, out, batch_id)
+            state = Log(spark, f"{out}/state", STATE_SCHEMA, ["symbol"])
+            write_batch(change_batch(rows, state.before(batch_id)), f"{out}/changes", batch_id)
+            written = spark.read.schema(CHANGE_SCHEMA).parquet(f"{out}/changes/batch={batch_id}")
+            fresh = written.filter(F.col("tick_status") != "late").select("event_id", *STATE_SCHEMA.names)
+            state.put(last_ticks(fresh), batch_id)
 
     return (
         ticks.writeStream.foreachBatch(handle)

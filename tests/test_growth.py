@@ -3,10 +3,12 @@
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from pricebars.operators import quality
 from pricebars.plans import queries
 from pricebars.sources import store
+from pricebars.streaming import ticks as stream_ticks
 
 
 @pytest.mark.parametrize("bits", [3, quality.BITS])
@@ -70,3 +72,20 @@ def test_small_tasks_put_settings_back(spark):
         assert spark.conf.get(name) == "99m"
     finally:
         spark.conf.unset(name)
+
+
+def test_first_batch_spreads_a_hot_symbol(spark, tmp_path):
+    """Without a state the join by symbol goes, but its shuffle stayed: all ticks of a symbol in one task."""
+    ts = F.timestamp_seconds(F.col("id") * 60)
+    spark.range(64).select(
+        F.col("id").alias("event_id"), F.lit("a").alias("symbol"), ts.alias("ts"), F.col("id").cast("double").alias("price")
+    ).write.parquet(f"{tmp_path}/ticks")
+    state = spark.createDataFrame([], stream_ticks.STATE_SCHEMA)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        changes = stream_ticks.change_batch(spark.read.parquet(f"{tmp_path}/ticks"), state)
+        rows = changes.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(r.tick_change for r in rows) == [0.0] + [1.0] * 63
+    assert len({r.task for r in rows}) > 1
