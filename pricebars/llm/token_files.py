@@ -41,6 +41,9 @@ BLOCK_BYTES, BLOCK_DOCS = 2 << 20, 4_096
 REMEMBERED = 200_000
 CUT = 2 << 20
 
+#: Shards of a part of the ids are numbered from its number times this.
+SHARDS = 1 << 24
+
 _BLOCKS = (
     "shard int, block int, first_doc long, last_doc long, first_token long, doc_ids array<long>, n_tokens array<long>, "
     "offsets array<long>, sha256 string, width int, payload binary"
@@ -183,14 +186,14 @@ def train_dictionary(docs: DataFrame, tokenizer: str = TOKENIZER, end: int = END
         return b""
 
 
-def _pack(tokenizer: str, end: int, width: int, dictionary: bytes) -> Callable:
+def _pack(tokenizer: str, end: int, width: int, dictionary: bytes, first_shard: int = 0) -> Callable:
     sha256 = hashlib.sha256(dictionary).hexdigest()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared).compress
         encoder = encoder_of(tokenizer, end)
-        shard, block, before = TaskContext.get().partitionId(), 0, 0
+        shard, block, before = first_shard + TaskContext.get().partitionId(), 0, 0
         ids, counts, frames, held = [], [], [], 0
 
         def closed():
@@ -230,11 +233,24 @@ def _schema() -> pa.Schema:
     ])
 
 
-def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END) -> None:
+def _parts(rows: DataFrame, parts: int) -> list[DataFrame]:
+    """The rows in about equal parts by ascending id, rows without one first; all rows of an id are in one part."""
+    shares = [i / parts for i in range(1, parts)]
+    found = rows.agg(F.percentile_approx("doc_id", shares, 1000).alias("b")).first().b if shares else None
+    bounds = [F.lit(b) for b in sorted(set(found or []))]
+    ends = zip([None, *bounds], [*bounds, None])
+    cuts = [(F.lit(True) if a is None else F.col("doc_id") >= a, F.lit(True) if b is None else F.col("doc_id") < b) for a, b in ends]
+    return [rows.where((F.col("doc_id").isNull() if i == 0 else F.lit(False)) | low & high) for i, (low, high) in enumerate(cuts)]
+
+
+def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END, parts: int = 1) -> None:
     """Write ``doc_id, text`` of every row to a new file set at ``path``.
 
     Null texts are empty: a document of ``end`` alone.  Rows without doc_id come first, rows that share one follow
     each other in an order fixed by their texts.  Other columns are ignored; no rows give a file set without blocks.
+
+    With ``parts`` the ids are shuffled and written so many ranges one after the other, each of which reads ``docs``: less disk,
+    as a range's shuffle files go before the next one's come.
     """
     dictionary = train_dictionary(docs, tokenizer, end)
     spark = docs.sparkSession
@@ -242,10 +258,12 @@ def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END
     spark.createDataFrame(known, "sha256 string, content binary").write.parquet(f"{path}/dictionary")
     order = ["doc_id", F.xxhash64("text")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    pack = _pack(tokenizer, end, width_of(tokenizer, end), dictionary)
+    width = width_of(tokenizer, end)
     with sparing(docs.sparkSession):
-        rows.mapInArrow(pack, _BLOCKS).write.parquet(f"{path}/blocks")
+        for i, part in enumerate(_parts(rows, parts)):
+            dealt = part.repartitionByRange(*order).sortWithinPartitions(*order)
+            packed = dealt.mapInArrow(_pack(tokenizer, end, width, dictionary, i * SHARDS), _BLOCKS)
+            packed.write.mode("append" if i else "errorifexists").parquet(f"{path}/blocks")
 
 
 def _dictionary(spark: SparkSession, path: str) -> tuple[str, bytes]:
