@@ -36,12 +36,15 @@ from pricebars.llm.blocks import pack, sparing, stored, unpack
 from pricebars.llm.text import pieces, texts
 
 LENGTH = 50
-ANCHOR = 20
+#: Longer anchors are more, but by chance in several texts more rarely.
+ANCHOR = 36
 #: Bytes of text in a batch, and keys that a range is meant to hold.
 BATCH_BYTES = 8 << 20
 RANGE = 1_000_000
 #: Batches from which the bounds of the key ranges are taken, and keys of each: more where there are many ranges.
 SAMPLED_BATCHES, SAMPLED_KEYS = 2_000, 64
+#: Anchors are told apart by the upper bits of their hashes; below, a batch has room for its texts of ``LENGTH`` bytes and more.
+_OWNER_BITS = 20
 _LETTERS, _STEP = 18, 15
 _DEPTH = 48
 _ASKED = "part long, batch long, payload binary"
@@ -68,13 +71,14 @@ def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size, window = len(text) - ANCHOR + 1, LENGTH - ANCHOR + 1
     if size < window:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    # 4 bytes, 8, 16, and 16 with the last 4: all 20 count
+    # 4 bytes, 8, 16, 32, and 32 with the last 4: all 36 count
     h = text.astype(np.uint64)
     h = h[:-1] << np.uint64(8) | h[1:]
     four = h[:-2] << np.uint64(16) | h[2:]
     eight = four[:-4] * np.uint64(0x9E3779B97F4A7C15) ^ four[4:]
     sixteen = eight[:-8] * np.uint64(0xD6E8FEB86659FD93) ^ eight[8:]
-    h = sixteen[:size] * np.uint64(0xC2B2AE3D27D4EB4F) ^ four[16 : 16 + size]
+    both = sixteen[:-16] * np.uint64(0xA0761D6478BD642F) ^ sixteen[16:]
+    h = both[:size] * np.uint64(0xC2B2AE3D27D4EB4F) ^ four[32 : 32 + size]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0x9FB21C651E98DF25)
     h ^= h >> np.uint64(28)
@@ -95,14 +99,14 @@ def _sliding(of: np.ufunc, x: np.ndarray, window: int) -> np.ndarray:
 
 
 def _anchored(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, place in it and hash of the anchors of a batch."""
+    """Document, place in it and hash, without its lowest bits, of the anchors of a batch."""
     text, docs, places, hashes = np.frombuffer(row["text"], np.uint8), [], [], []
     start = 0
     for d, n in enumerate(row["lengths"]):
         place, h = anchors(text[start : start + n])
         docs.append(np.full(len(place), d))
         places.append(place)
-        hashes.append(h)
+        hashes.append(h >> np.uint64(_OWNER_BITS))
         start += n
     return np.concatenate(docs), np.concatenate(places), np.concatenate(hashes)
 
@@ -114,18 +118,24 @@ def _ask_anchors(ranges: int) -> Callable:
         for batch in batches:
             for row in batch.to_pylist():
                 doc, _, h = _anchored(row)
-                order = np.lexsort((doc, h))
-                h, doc = h[order], doc[order]
+                owner = np.cumsum(np.diff(doc, prepend=doc[:1]) > 0)  # of the texts that have anchors
+                both = np.sort(h << np.uint64(_OWNER_BITS) | owner.astype(np.uint64))
+                h = both >> np.uint64(_OWNER_BITS)
                 starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, np.int64)
                 ends = np.r_[starts[1:], len(h)] - 1
-                several = (doc[starts] != doc[ends]).astype(np.uint8) if len(h) else np.empty(0, np.uint8)
-                yield from _dealt(row["batch"], _hash_part(h[starts], ranges), h[starts], several)
+                several = (both[starts] != both[ends]).astype(np.uint8) if len(h) else np.empty(0, np.uint8)
+                yield from _dealt(row["batch"], *_hash_part(h[starts], ranges), several)
 
     return ask
 
 
-def _hash_part(hashes: np.ndarray, ranges: int) -> np.ndarray:
-    return np.searchsorted(np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64), hashes, side="right")
+def _hash_part(hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """The range of each hash, and its place there in 32 bits: anchors that differ are rarely taken for one, which costs time only."""
+    bits = 64 - _OWNER_BITS
+    bounds = np.array([(i << bits) // ranges for i in range(ranges)], np.uint64)
+    part = np.searchsorted(bounds, hashes, side="right") - 1
+    surplus = max(0, (-(-(1 << bits) // ranges)).bit_length() - 32)
+    return part, (hashes - bounds[part] >> np.uint64(surplus)).astype(np.uint32)
 
 
 def _dealt(batch: int, part: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -148,7 +158,7 @@ def _answered(asked: pa.Table, answers: list[bytes]) -> pa.Table:
 
 def _answer_anchors(asked: pa.Table) -> pa.Table:
     """For each anchor whether several documents have it, whichever batches they are in."""
-    blocks = [unpack(b, "u8", "u1") for b in asked.column("payload").to_pylist()]
+    blocks = [unpack(b, "u4", "u1") for b in asked.column("payload").to_pylist()]
     h, several = (np.concatenate(c) for c in zip(*blocks))
     distinct, place = np.unique(h, return_inverse=True)
     count = np.bincount(place, 1.0 + several, len(distinct))
@@ -211,24 +221,27 @@ def _union(low: np.ndarray, high: np.ndarray, group: np.ndarray) -> tuple[np.nda
 
 
 class _Part:
-    """Sampled places of a batch's parts, and the keys of their triples of letters."""
+    """Sampled places of a batch's parts."""
 
     def __init__(self, row: dict):
         self.text = np.frombuffer(row["text"], np.uint8)
         self.lengths = np.array(row["lengths"], np.int64)
         self.docs = np.array(row["docs"], np.int64)
         self.begin = np.cumsum(self.lengths) - self.lengths
-        end = np.repeat(self.begin + self.lengths, self.lengths)
-        place = np.arange(len(self.text))
-        self.place = place[(place % 3 > 0) & (place + _LETTERS <= end)]
-        self.left = end[self.place] - self.place  # bytes up to the end of the part
-        eight = np.zeros(len(self.text) + 1, np.uint64)
-        padded = np.r_[self.text, np.zeros(8, np.uint8)].astype(np.uint64)
-        for i in range(8):
-            eight[:-1] = eight[:-1] << np.uint64(8) | padded[i : i + len(self.text)]
+        left = np.repeat(self.begin + self.lengths, self.lengths) - np.arange(len(self.text))
+        sampled = left >= _LETTERS
+        sampled[::3] = False
+        self.place = np.flatnonzero(sampled)
+        self.left = left[self.place]  # bytes up to the end of the part
+
+    def keys(self) -> tuple[np.ndarray, ...]:
+        """The triples of letters: the first 8 bytes at each place, the next 8, and the last 2."""
+        one = self.text.astype(np.uint64)
+        two = one[:-1] << np.uint64(8) | one[1:]
+        four = two[:-2] << np.uint64(16) | two[2:]
+        eight = four[:-4] << np.uint64(32) | four[4:]
         p = self.place
-        last = (padded[p + 16] << np.uint64(8) | padded[p + 17]).astype(np.uint16) if len(p) else np.empty(0, np.uint16)
-        self.keys = (eight[p], eight[np.minimum(p + 8, len(self.text))], last)
+        return eight[p], eight[p + 8], two[p + 16].astype(np.uint16)
 
     def owners(self) -> np.ndarray:
         """For each place the number of its text in the batch."""
@@ -244,30 +257,56 @@ class _Part:
 
     def distinct(self) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
         """The distinct keys in ascending order, and which of them each place has."""
-        return _distinct(*self.keys)
+        return _distinct(*self.keys())
 
 
-def _distinct(*columns: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-    order = np.lexsort(columns[::-1])
-    ordered = [c[order] for c in columns]
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for c in ordered:
-        new[1:] |= c[1:] != c[:-1]
+def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place for each distinct key, in ascending order, and the rank of every key among them."""
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.ones(len(order), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
     of = np.empty(len(order), np.int64)
     of[order] = np.cumsum(new) - 1
-    return tuple(c[new] for c in ordered), of
+    return order[new], of
+
+
+def _distinct(*columns: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """The distinct rows of numbers that are not negative, in ascending order, and which of them each row is.
+
+    Sorted by 64 bits at a time: a row's rank by the bits so far, and as many of the next as there is room for.
+    """
+    count = len(columns[0])
+    if not count:
+        return columns, np.empty(0, np.int64)
+    key, room = np.zeros(count, np.uint64), 64
+    for column in columns:
+        least = column.min()
+        width = int(column.max() - least).bit_length()
+        rest = (column - least).astype(np.uint64)
+        while width:
+            if not room:
+                key, room = _ranked(key)[1].astype(np.uint64), 64 - count.bit_length()
+            take = min(width, room)
+            width, room = width - take, room - take
+            bits = rest >> np.uint64(width) & np.uint64((1 << take) - 1)
+            key = key << np.uint64(take) | bits if take < 64 else bits
+    first, of = _ranked(key)
+    return tuple(c[first] for c in columns), of
 
 
 def _sample_keys(number: int) -> Callable:
-    """The first 16 bytes of some keys of each batch."""
+    """The first 16 bytes of some keys of each batch: evenly spaced in the order of many more, taken all over it."""
 
     def sample(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                first, second, _ = _Part(row).keys
+                part = _Part(row)
+                many = min(len(part.place), 64 * number)
+                part.place = part.place[np.linspace(0, len(part.place) - 1, many).astype(np.int64)]
+                first, second, _ = part.keys()
                 order = np.argsort(first)
-                some = order[np.linspace(0, len(first) - 1, min(len(first), number)).astype(np.int64)]
+                some = order[np.linspace(0, many - 1, min(many, number)).astype(np.int64)]
                 yield pa.record_batch({"key": pa.array([np.column_stack([first[some], second[some]]).tobytes()], pa.binary())})
 
     return sample
@@ -336,7 +375,7 @@ def _ask_strings(total: int, ranges: int, state: bool) -> Callable:
         blocks = [unpack(b, "u4", "u1") for b in names.column("payload").to_pylist()]
         _, of = part.distinct()
         shared = np.zeros(len(part.text) + 1, bool)
-        local = np.zeros(len(part.text) + 1, np.uint64)  # which distinct key of the batch: in the order of the names
+        local = np.zeros(len(part.text) + 1, np.uint32)  # which distinct key of the batch: in the order of the names
         if len(of):
             shared[part.place] = np.concatenate([s for _, s in blocks]).astype(bool)[of]
             local[part.place] = of
@@ -352,10 +391,7 @@ def _ask_strings(total: int, ranges: int, state: bool) -> Callable:
             inside = (before >= -at) if at < 0 else (left > at)
             byte = np.where(inside, part.text[np.clip(place + at, 0, max(0, len(part.text) - 1))], 0) if len(place) else place
             around = around << np.uint64(8) | byte.astype(np.uint64)
-        # a batch has fewer than 2**28 places: three of its keys and 35 bits around them make two numbers
-        one = local[place] << np.uint64(32) | local[place + _STEP]
-        two = local[place + 2 * _STEP] << np.uint64(35) | around
-        (one, two), key = _distinct(one, two)
+        (*triple, around), key = _distinct(local[place], local[place + _STEP], local[place + 2 * _STEP], around)
         if state:
             return _answered(
                 pa.table({"part": pa.array([None], pa.int64()), "batch": pa.array([row["batch"]], pa.int64())}),
@@ -366,11 +402,9 @@ def _ask_strings(total: int, ranges: int, state: bool) -> Callable:
             for (r, _), first, offset in zip(blocks, *(names.column(c).to_pylist() for c in ("first", "before")))
         ]) if blocks else np.empty(0, np.uint64)
         doc = np.array(row["doc_ids"], np.int64)[owner] if len(place) else np.empty(0, np.int64)
-        first = np.full(len(one), _NONE)
+        first = np.full(len(around), _NONE)
         np.minimum.at(first, key, doc)
-        low = np.uint64((1 << 32) - 1)
-        triple = [name[x.astype(np.int64)] for x in (one >> np.uint64(32), one & low, two >> np.uint64(35))]
-        around = two & np.uint64((1 << 35) - 1)
+        triple = [name[x] for x in triple]
         range_of = (triple[0].astype(np.float64) * ranges / max(total, 1)).astype(np.int64)
         asked = list(_dealt(row["batch"], np.minimum(range_of, ranges - 1), *triple, around, first))
         empty = {"part": pa.array([], pa.int64()), "batch": pa.array([], pa.int64()), "payload": pa.array([], pa.binary())}
@@ -489,7 +523,7 @@ def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
     size = whole.agg(F.sum(F.length("text"))).first()[0] or 0
     copies = stored(_copies(whole), "copies")
-    ranges = max(1, size // 13 // RANGE)
+    ranges = max(1, size // 8 // RANGE)
     asked = whole.mapInArrow(_ask_anchors(ranges), _ASKED)
     shared = stored(asked.groupBy("part").applyInArrow(_answer_anchors, _ASKED), "anchors")
     known = shared.unionByName(copies, allowMissingColumns=True)
