@@ -12,6 +12,7 @@ whole files when a task is run again.
 import hashlib
 import json
 import os
+import string
 import sys
 import zlib
 from array import array
@@ -37,9 +38,13 @@ SAMPLE = 1_000
 LEVEL = 1
 #: A block ends beyond so many compressed bytes or documents.
 BLOCK_BYTES, BLOCK_DOCS = 2 << 20, 4_096
-#: Pieces whose ids a task remembers, and bytes of text that it encodes at a time.
-REMEMBERED = 200_000
-CUT = 2 << 20
+#: Pieces whose ids a worker remembers beside those of the texts at hand, words that go through the tokenizer in one call, and
+#: bytes of text that are encoded at a time.
+REMEMBERED = 600_000
+WORDS = 500
+#: What the pattern leaves whole after letters; an apostrophe might begin an ending.
+_MARKS = "".join(set(string.punctuation) - {"'"})
+CUT = 4 << 20
 
 #: Shards of a part of the ids are numbered from its number times this.
 SHARDS = 1 << 24
@@ -64,8 +69,9 @@ class Encoder:
 
     A byte-level tokenizer splits texts by its pattern before it merges, and never joins what is on both sides of a blank or a
     line end that a visible character follows and that the cut comes before.  So texts are cut there, each distinct piece is
-    encoded once and remembered (beyond ``REMEMBERED`` pieces only those of the texts at hand stay), and the ids are put together.  A
-    text with other white space at a cut, and every text for another kind of tokenizer, is encoded whole.
+    encoded once and remembered, and the ids are put together.  Pieces are remembered in two halves: when the newer one has half of
+    ``REMEMBERED``, it becomes the older one, and what has not been met since goes.  A text with other white space at a cut,
+    and every text for another kind of tokenizer, is encoded whole.
     """
 
     def __init__(self, name: str, end: int):
@@ -81,37 +87,90 @@ class Encoder:
         self.cuts = (
             kind["normalizer"] is None and kind["model"]["type"] == "BPE" and not kind["model"].get("ignore_merges")
             and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+            and not any(self.hidden(t["content"]) for t in kind["added_tokens"])
         )
-        self.known: dict[str, bytes | None] = {}
+        # ids of pieces; those that may not be cut off have no ids but False
+        self.known: dict[str, bytes | bool] = {}
+        self.older: dict[str, bytes | bool] = {}
         # byte-level vocabularies write visible Latin-1 characters as they are, and the other bytes from 256 on
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
-        self.letters = {b: 256 + i for i, b in enumerate(hidden)}
+        self.letters = np.arange(256, dtype="<u4")
+        self.letters[hidden] = 256 + np.arange(len(hidden))
         self.blank = chr(self.letters[32])
-        self.marks = {m: self.word(m) for m in ".,!?;:"} if self.cuts else {}
-
-    def word(self, piece: str) -> bytes:
-        """Ids of letters only, perhaps after a blank, or of one mark: what the pattern leaves whole."""
-        if piece.isascii():
-            written = piece.replace(" ", self.blank)
-        else:
-            written = piece.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(written)]).tobytes()
+        self.marks: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.begins[[i for t, i in vocabulary.items() if t[:1] == self.blank]] = True
+        affixes = kind["model"].get("continuing_subword_prefix") or kind["model"].get("end_of_word_suffix")
+        self.joins = bool(affixes) or any(self.blank in t[1:] and self.may_join(t) for t in vocabulary)
+
+    @staticmethod
+    def hidden(added: str) -> bool:
+        """Whether an added token could lie in letters with marks behind them, or over a cut."""
+        letters = added.rstrip(_MARKS)
+        return not letters or letters.isalpha() or any(c.isspace() for c in added)
+
+    def may_join(self, token: str) -> bool:
+        """Whether a token may reach over the blank between two words of letters; only then do neighbours change a word's ids."""
+        bytes_of = {chr(c): b for b, c in enumerate(self.letters.tolist())}
+        try:
+            parts = bytes(bytes_of[c] for c in token).decode().split(" ")
+        except (KeyError, UnicodeDecodeError):
+            return any(a != self.blank and b == self.blank for a, b in zip(token, token[1:]))
+        return any(parts[:-1]) and all(p.isalpha() for p in parts if p)
+
+    def one(self, piece: str) -> bytes:
+        """Ids of letters only, perhaps after a blank, or of marks only: what the pattern leaves whole."""
+        return self.ids(piece).tobytes()
+
+    def ids(self, piece: str) -> np.ndarray:
+        written = self.letters[np.frombuffer(piece.encode(), np.uint8)].tobytes().decode("utf-32-le")
+        return np.array([t.id for t in self.tokenizer.model.tokenize(written)], "<u4")
+
+    def words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters only, each after a blank.
+
+        Many go through the model at once: no token reaches over the blank before a word, so it merges each as if it
+        were alone, and a word's ids start where a token begins with a blank.
+        """
+        for start in range(0, len(words), WORDS):
+            some = words[start : start + WORDS]
+            ids = np.empty(0, "<u4") if self.joins else self.ids(" " + " ".join(some))
+            starts = (4 * np.flatnonzero(self.begins[ids])).tolist()
+            if len(starts) == len(some):
+                joined = ids.tobytes()
+                yield from map(joined.__getitem__, map(slice, starts, [*starts[1:], len(joined)]))
+            else:
+                yield from (self.one(" " + w) for w in some)
 
     def learn(self, new: list[str]) -> None:
-        """Remember the ids of pieces; those that may not be cut off are remembered as None."""
-        known, word, rest, ended = self.known, self.word, [], []
+        """Remember the ids of pieces that are not among the newer ones."""
+        known, older, words, rest, ended = self.known, self.older, [], [], []
         for p in new:
-            if p.isalpha():
-                known[p] = word(" " + p)
-            elif p[-1:] in self.marks and p[:-1].isalpha():
-                ended.append(p)
+            if (ids := older.get(p)) is not None:
+                known[p] = ids
+            elif p.isalpha():
+                words.append(p)
+            elif (stem := p.rstrip(_MARKS)).isalpha():
+                ended.append((p, stem))
             elif p[:1] != "\x01" and ((first := p[1:2] if p[:1] == "\n" else p[:1]) <= " " or first.isspace()):
-                known[p] = None
+                known[p] = False
             else:
                 rest.append(p)
-        for p in ended:
-            known[p] = (known.get(p[:-1]) or word(" " + p[:-1])) + self.marks[p[-1]]
+        for stem in {stem for _, stem in ended if stem not in known}.difference(words):
+            if (ids := older.get(stem)) is not None:
+                known[stem] = ids
+            else:
+                words.append(stem)
+        known.update(zip(words, self.words(words)))
+        for p, stem in ended:
+            end = p[len(stem) :]
+            if (marks := self.marks.get(end)) is None:
+                marks = self.one(end)
+                if len(self.marks) < WORDS:
+                    self.marks[end] = marks
+            known[p] = known[stem] + marks
         chunks = [p[1:] if p[0] == "\x01" else p if p[0] == "\n" else " " + p for p in rest]
         for p, e in zip(rest, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
             known[p] = array("I", e.ids).tobytes()
@@ -128,14 +187,19 @@ class Encoder:
         coded = split.flatten().dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        new = [p for p in distinct if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {p: self.known[p] for p in distinct if p in self.known}  # frequent pieces are among these
-        self.learn(new)
-        ids = [self.known[p] for p in distinct]
-        bad = np.array([i is None for i in ids])
-        flat = np.frombuffer(b"".join([i or b"" for i in ids]), "<u4")
-        size = np.array([len(i or b"") // 4 for i in ids], np.int64)
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        found = list(map(self.known.get, distinct))
+        new = [k for k, i in enumerate(found) if i is None]
+        self.learn([distinct[k] for k in new])
+        for k in new:
+            found[k] = self.known[distinct[k]]
+        bad = np.zeros(len(found), bool)
+        if False in found:
+            bad[:] = [i is False for i in found]
+            found = [i or b"" for i in found]
+        flat = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         at = (np.cumsum(size) - size)[codes]
         n = size[codes]
         after = np.cumsum(n)
