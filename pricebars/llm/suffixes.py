@@ -71,17 +71,16 @@ def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size, window = len(text) - ANCHOR + 1, LENGTH - ANCHOR + 1
     if size < window:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    # 4 bytes, 8, 16, 32, and 32 with the last 4: all 36 count
-    h = text.astype(np.uint64)
-    h = h[:-1] << np.uint64(8) | h[1:]
-    four = h[:-2] << np.uint64(16) | h[2:]
-    eight = four[:-4] * np.uint64(0x9E3779B97F4A7C15) ^ four[4:]
-    sixteen = eight[:-8] * np.uint64(0xD6E8FEB86659FD93) ^ eight[8:]
-    both = sixteen[:-16] * np.uint64(0xA0761D6478BD642F) ^ sixteen[16:]
-    h = both[:size] * np.uint64(0xC2B2AE3D27D4EB4F) ^ four[32 : 32 + size]
+    # 8 bytes, 16, 32, and 32 with the last 8: all 36 count
+    eight = _eight(text, "<u8")
+    sixteen = eight[:-8] * np.uint64(0xD6E8FEB86659FD93)
+    sixteen ^= eight[8:]
+    h = sixteen[:-16] * np.uint64(0xA0761D6478BD642F)
+    h ^= sixteen[16:]
+    h = h[:size] * np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= eight[28:]
     h ^= h >> np.uint64(31)
-    h *= np.uint64(0x9FB21C651E98DF25)
-    h ^= h >> np.uint64(28)
+    h *= np.uint64(0x9FB21C651E98DF25)  # the upper bits count
     least = _sliding(np.minimum, h, window)
     padded = np.zeros(len(least) + 2 * (window - 1), np.uint64)
     padded[window - 1 : window - 1 + len(least)] = least
@@ -89,6 +88,11 @@ def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place, h[place]
 
 
+def _eight(text: np.ndarray, kind: str, place: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """The 8 bytes from each place, or from every place that has them, as a number."""
+    return np.ndarray(max(0, len(text) - 7), kind, text, strides=(1,))[place].astype(np.uint64)
+
+
 def _sliding(of: np.ufunc, x: np.ndarray, window: int) -> np.ndarray:
     """Least or greatest of every ``window`` neighbours, by doubling."""
     width = 1
@@ -236,12 +240,10 @@ class _Part:
 
     def keys(self) -> tuple[np.ndarray, ...]:
         """The triples of letters: the first 8 bytes at each place, the next 8, and the last 2."""
-        one = self.text.astype(np.uint64)
-        two = one[:-1] << np.uint64(8) | one[1:]
-        four = two[:-2] << np.uint64(16) | two[2:]
-        eight = four[:-4] << np.uint64(32) | four[4:]
-        p = self.place
-        return eight[p], eight[p + 8], two[p + 16].astype(np.uint16)
+        return self.keys_at(self.place)
+
+    def keys_at(self, p: np.ndarray) -> tuple[np.ndarray, ...]:
+        return _eight(self.text, ">u8", p), _eight(self.text, ">u8", p + 8), _eight(self.text, ">u8", p + 10).astype(np.uint16)
 
     def owners(self) -> np.ndarray:
         """For each place the number of its text in the batch."""
@@ -255,15 +257,33 @@ class _Part:
         np.maximum.at(other, of, owner)
         return (one < other).astype(np.uint8)
 
-    def distinct(self) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-        """The distinct keys in ascending order, and which of them each place has."""
-        return _distinct(*self.keys())
-
-
-def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One place for each distinct key, in ascending order, and the rank of every key among them."""
-    order = np.argsort(key)
-    ordered = key[order]
+    def grouped(self) -> tuple[np.ndarray, np.ndarray]:
+        """One place for each distinct key, in ascending order of the keys, and which of them each place has.
+
+        The letters of all places are sorted first, then the triples of their ranks.
+        """
+        if not len(self.place):
+            return self.place, self.place
+        present = np.bincount(self.text, minlength=256) > 0
+        wide = int(present.sum() - 1).bit_length()
+        one = (np.cumsum(present) - 1).astype(np.uint64)[self.text]
+        three = (one[:-2] << np.uint64(wide) | one[1:-1]) << np.uint64(wide) | one[2:]
+        letter = _ranked(three[:-3] << np.uint64(3 * wide) | three[3:], 6 * wide)[1].astype(np.uint32)
+        first, of = _grouped(*(letter[self.place + at] for at in range(0, _LETTERS, 6)))
+        return self.place[first], of
+
+
+def _ranked(key: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """One row for each distinct key of ``width`` bits, in ascending order, and the rank of every key among them."""
+    low = len(key).bit_length()
+    if width + low <= 64:  # the row goes in the lower bits: sorting numbers is several times as fast as sorting rows by them
+        both = key << np.uint64(low) | np.arange(len(key), dtype=np.uint64)
+        both.sort()
+        order = (both & np.uint64((1 << low) - 1)).astype(np.int64)
+        ordered = both >> np.uint64(low)
+    else:
+        order = np.argsort(key)
+        ordered = key[order]
     new = np.ones(len(order), bool)
     np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
     of = np.empty(len(order), np.int64)
@@ -271,14 +291,14 @@ def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[new], of
 
 
-def _distinct(*columns: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-    """The distinct rows of numbers that are not negative, in ascending order, and which of them each row is.
+def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One of each distinct rows of numbers that are not negative, in ascending order, and which of them each row is.
 
     Sorted by 64 bits at a time: a row's rank by the bits so far, and as many of the next as there is room for.
     """
     count = len(columns[0])
     if not count:
-        return columns, np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     key, room = np.zeros(count, np.uint64), 64
     for column in columns:
         least = column.min()
@@ -286,12 +306,17 @@ def _distinct(*columns: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]
         rest = (column - least).astype(np.uint64)
         while width:
             if not room:
-                key, room = _ranked(key)[1].astype(np.uint64), 64 - count.bit_length()
+                key, room = _ranked(key, 64)[1].astype(np.uint64), 64 - count.bit_length()
             take = min(width, room)
             width, room = width - take, room - take
             bits = rest >> np.uint64(width) & np.uint64((1 << take) - 1)
             key = key << np.uint64(take) | bits if take < 64 else bits
-    first, of = _ranked(key)
+    return _ranked(key, 64 - room)
+
+
+def _distinct(*columns: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """The distinct rows in ascending order, and which of them each row is."""
+    first, of = _grouped(*columns)
     return tuple(c[first] for c in columns), of
 
 
@@ -332,7 +357,8 @@ def _ask_names(bounds: np.ndarray) -> Callable:
         for batch in batches:
             for row in batch.to_pylist():
                 part = _Part(row)
-                keys, of = part.distinct()
+                place, of = part.grouped()
+                keys = part.keys_at(place)
                 yield from _dealt(row["batch"], _range_of(bounds, *keys[:2]), *keys, part.several(of))
 
     return ask
@@ -373,7 +399,7 @@ def _ask_strings(total: int, ranges: int, state: bool) -> Callable:
         part = _Part(row)
         names = names.sort_by("part")
         blocks = [unpack(b, "u4", "u1") for b in names.column("payload").to_pylist()]
-        _, of = part.distinct()
+        _, of = part.grouped()
         shared = np.zeros(len(part.text) + 1, bool)
         local = np.zeros(len(part.text) + 1, np.uint32)  # which distinct key of the batch: in the order of the names
         if len(of):

@@ -27,11 +27,9 @@ def test_short_common_passages_are_not_sorted(spark, monkeypatch):
     assert tables["parts"].agg(F.sum(F.length("text"))).first()[0] in (None, 0)
 
 
-def test_places_are_found_without_making_keys(monkeypatch):
-    """The last step needs the places only; keys cost most."""
+def test_places_and_their_keys():
     row = {"text": b"ab" * 60, "lengths": [70, 50], "docs": [0, 1]}
     part = suffixes._Part(row)
-    assert not hasattr(part, "eight") and callable(part.keys)
     assert part.place.tolist() == [p for p in range(120) if p % 3 and p + 18 <= (70 if p < 70 else 120)]
     first, second, last = part.keys()
     for p, a, b, c in zip(part.place.tolist(), first.tolist(), second.tolist(), last.tolist()):
@@ -65,3 +63,23 @@ def test_ranges_of_hashes(ranges):
     same = part[1:] == part[:-1]
     assert (place[1:][same] >= place[:-1][same]).all()  # a wrapped number would fall
     assert len(set(zip(part.tolist(), place.tolist()))) > 19_900
+
+
+@pytest.mark.parametrize("letters", [1, 2, 100, 256])
+def test_places_grouped_by_key(letters):
+    draw = np.random.default_rng(letters)
+    some = draw.integers(0, letters, 40).astype(np.uint8)
+    text = np.concatenate([np.r_[some[a : a + 30], draw.integers(0, letters, 3).astype(np.uint8)] for a in draw.integers(0, 11, 60)])
+    part = suffixes._Part({"text": text.tobytes(), "lengths": [len(text) - 100, 83, 17], "docs": [0, 1, 2]})
+    place, of = part.grouped()
+    strings = [text[p : p + 18].tobytes() for p in part.place]
+    assert [text[p : p + 18].tobytes() for p in place] == sorted(set(strings))
+    assert [sorted(set(strings))[k] for k in of] == strings
+    none = suffixes._Part({"text": b"short", "lengths": [5], "docs": [0]})
+    assert [len(x) for x in none.grouped()] == [0, 0] and [len(x) for x in none.keys()] == [0, 0, 0]
+
+
+def test_ranks_of_wide_and_narrow_keys():
+    key = np.random.default_rng(8).integers(0, 50, 500).astype(np.uint64)
+    (a, b), (c, d) = suffixes._ranked(key, 6), suffixes._ranked(key << np.uint64(58), 64)
+    assert (b == d).all() and key[a].tolist() == key[c].tolist() == sorted(set(key.tolist()))
