@@ -164,8 +164,8 @@ def _answer_anchors(asked: pa.Table) -> pa.Table:
     """For each anchor whether several documents have it, whichever batches they are in."""
     blocks = [unpack(b, "u4", "u1") for b in asked.column("payload").to_pylist()]
     h, several = (np.concatenate(c) for c in zip(*blocks))
-    distinct, place = np.unique(h, return_inverse=True)
-    count = np.bincount(place, 1.0 + several, len(distinct))
+    first, place = _ranked(h.astype(np.uint64), 32)
+    count = np.bincount(place, 1.0 + several, len(first))
     cuts = np.cumsum([len(b[0]) for b in blocks])[:-1]
     return _answered(asked, [pack(r) for r in np.split((count[place] > 1).astype(np.uint8), cuts)])
 
@@ -189,15 +189,17 @@ def _candidates(whole: pa.Table, answers: pa.Table) -> pa.Table:
     copies = {d for x in answers.column("copies").to_pylist() if x for d in x}
     answers = answers.filter(pa.compute.is_valid(answers.column("payload")))
     doc, place, h = _anchored(row)
-    distinct, of = np.unique(h, return_inverse=True)
+    _, of = _ranked(h, 64 - _OWNER_BITS)
     (shared,) = _joined(answers, "u1")
     keep = shared.astype(bool)[of] if len(h) else np.empty(0, bool)
     keep &= ~np.isin(doc, list(copies))
-    doc, place = doc[keep], place[keep]
+    first, last = _strings(doc, place, h)
+    doc, first, last = doc[keep], first[keep], last[keep]
     lengths = np.array(row["lengths"], np.int64)
     begin = np.cumsum(lengths) - lengths
-    low = begin[doc] + np.maximum(place - (LENGTH - ANCHOR), 0)
-    high = begin[doc] + np.minimum(place + LENGTH, lengths[doc])
+    low = begin[doc] + np.maximum(first, 0)
+    low = np.minimum.accumulate(low[::-1])[::-1]  # equal hashes may have it fall
+    high = begin[doc] + np.minimum(last + LENGTH, lengths[doc])
     text = np.frombuffer(row["text"], np.uint8)
     starts, ends = _union(low, high, doc)
     owner = np.searchsorted(begin + lengths, starts, side="right")
@@ -211,6 +213,16 @@ def _candidates(whole: pa.Table, answers: pa.Table) -> pa.Table:
     })
 
 
+def _strings(doc: np.ndarray, place: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Between which places the strings begin that have each anchor for their least: none reaches a smaller neighbour."""
+    first, last = place - (LENGTH - ANCHOR), place.copy()
+    same = doc[1:] == doc[:-1]
+    left, right = np.flatnonzero(same & (h[:-1] < h[1:])), np.flatnonzero(same & (h[1:] < h[:-1]))
+    first[left + 1] = np.maximum(first[left + 1], place[left] + 1)
+    last[right] = np.minimum(last[right], place[right + 1] - (LENGTH - ANCHOR) - 1)
+    return first, last
+
+
 def _union(low: np.ndarray, high: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs covered by intervals that come in ascending order; runs of different groups stay apart."""
     if not len(low):

@@ -83,3 +83,21 @@ def test_ranks_of_wide_and_narrow_keys():
     key = np.random.default_rng(8).integers(0, 50, 500).astype(np.uint64)
     (a, b), (c, d) = suffixes._ranked(key, 6), suffixes._ranked(key << np.uint64(58), 64)
     assert (b == d).all() and key[a].tolist() == key[c].tolist() == sorted(set(key.tolist()))
+
+
+@pytest.mark.parametrize("letters", [2, 3, 26])
+def test_strings_of_an_anchor(letters):
+    """Every string begins where its least anchor says that its strings may, and there are fewer places than the anchor could reach."""
+    draw = np.random.default_rng(letters)
+    docs = [draw.integers(97, 97 + letters, n).astype(np.uint8) for n in (49, 50, 300, 2000)] + [np.tile(np.frombuffer(b"ab", np.uint8), 200)]
+    found = [suffixes.anchors(d) for d in docs]
+    doc = np.concatenate([np.full(len(p), i) for i, (p, _) in enumerate(found)])
+    place, h = (np.concatenate(x) for x in zip(*found))
+    first, last = suffixes._strings(doc, place, h >> np.uint64(20))
+    for i, d in enumerate(docs):
+        own = doc == i
+        for p in range(len(d) - 49):
+            inside = own & (place >= p) & (place + suffixes.ANCHOR <= p + 50)
+            least = inside & (h == h[inside].min())
+            assert least.any() and (first[least] <= p).all() and (p <= last[least]).all()
+    assert (last - first)[doc == 3].mean() < 11
