@@ -33,18 +33,19 @@ def unpack(block: bytes, *types: str) -> list[np.ndarray]:
     return columns
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write once, compressed well, and read back."""
+def stored(df: DataFrame, label: str, reading: dict[str, str] | None = None) -> DataFrame:
+    """Write once, compressed well, and read back, with ``reading`` as options if there are any."""
     path = new_folder(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.options(**reading or {}).schema(df.schema).parquet(path)
 
 
 @contextmanager
-def sparing(spark: SparkSession) -> Iterator[None]:
-    """Within this block queries that are run keep little in memory and leave no shuffle files behind."""
-    before = {name: spark.conf.get(name, None) for name in _SETTINGS}
-    for name, value in _SETTINGS.items():
+def sparing(spark: SparkSession, more: dict[str, str] | None = None) -> Iterator[None]:
+    """Within this block queries that are run keep little in memory and leave no shuffle files behind; ``more`` settings hold, too."""
+    settings = _SETTINGS | (more or {})
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         yield
